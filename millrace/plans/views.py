@@ -6,7 +6,7 @@ expression (`*_SQL`).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.topics import assign_offsets
 
@@ -53,14 +53,19 @@ RECORDS_SQL = (
 )
 
 
-def log_lines(events: DataFrame) -> DataFrame:
-    """`event_id, user_id, ts, value`: each event as a log line. Works on a stream of events too."""
+def log_level() -> Column:
+    """Severity of an event by its type."""
     level = F.lit(None).cast("string")
     for kind, name in LEVELS.items():
         level = F.when(F.col("event_type") == kind, name).otherwise(level)
+    return level
+
+
+def log_lines(events: DataFrame) -> DataFrame:
+    """`event_id, user_id, ts, value`: each event as a log line. Works on a stream of events too."""
     source = F.element_at(F.array(*[F.lit(s) for s in SOURCES]), (F.col("user_id") % 5 + 1).cast("int"))
     time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    line = F.concat_ws(" ", level, source, time, F.lit("This is message"), F.col("event_id").cast("string"))
+    line = F.concat_ws(" ", log_level(), source, time, F.lit("This is message"), F.col("event_id").cast("string"))
     return events.select("event_id", "user_id", "ts", line.alias("value"))
 
 
