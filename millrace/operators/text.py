@@ -44,17 +44,19 @@ def inverted_index(
     form: str = "pairs",
     tokenizer: str = "space",
     lower: bool = False,
+    files: DataFrame | None = None,
     files_per_row: int = 50_000,
 ) -> DataFrame:
     """Where each word occurs.
 
     "pairs": `word, file, n`. "set": `word, n, files` (total and sorted files).
-    "postings": `word, postings` with `file:n;file:n`, sorted by file.
+    "postings": `word, n, postings` with `file:n;file:n`, sorted by file.
 
     The last two hold a word's files in one row. How many rows that needs is measured on the
-    file column: while there are at most `files_per_row` files, a word is one row; beyond that
-    its files are spread over several rows numbered in `block`, each about that long, so that
-    no task has to hold an unbounded list. `n` is the word's total in every block.
+    file column (of `files`, if that is cheaper to read than `df`): while there are at most
+    `files_per_row` files, a word is one row; beyond that its files are spread over several rows
+    numbered in `block`, each about that long, so that no task has to hold an unbounded list.
+    `n` is the word's total in every block.
     """
     pairs = (
         df.select(F.explode(words(column, tokenizer, lower)).alias("word"), F.col(file_column).alias("file"))
@@ -63,27 +65,24 @@ def inverted_index(
     )
     if form == "pairs":
         return pairs
-    files = df.select(F.approx_count_distinct(file_column).alias("n")).first()["n"]
-    blocks = max(1, math.ceil(files / files_per_row))
-    if form == "postings":
-        row = F.array_join(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("file", "n"))),
-                lambda entry: F.concat(entry["file"], F.lit(":"), entry["n"].cast("string")),
-            ),
-            ";",
-        )
-        if blocks == 1:
-            return pairs.groupBy("word").agg(row.alias("postings"))
-        return _in_blocks(pairs, blocks).groupBy("word", "block").agg(row.alias("postings"))
     if form == "set":
         row = F.sort_array(F.collect_list("file")).alias("files")
-        if blocks == 1:
-            return pairs.groupBy("word").agg(F.sum("n").alias("n"), row)
-        totals = pairs.groupBy("word").agg(F.sum("n").alias("n"))
-        listed = _in_blocks(pairs, blocks).groupBy("word", "block").agg(row)
-        return listed.join(totals, "word").select("word", "block", "n", "files")
-    raise ValueError(f"unknown form {form!r}")
+    elif form == "postings":
+        entries = F.transform(
+            F.sort_array(F.collect_list(F.struct("file", "n"))),
+            lambda entry: F.concat(entry["file"], F.lit(":"), entry["n"].cast("string")),
+        )
+        row = F.array_join(entries, ";").alias("postings")
+    else:
+        raise ValueError(f"unknown form {form!r}")
+    measured = df if files is None else files
+    known = measured.agg(F.approx_count_distinct(file_column)).first()[0]
+    blocks = max(1, math.ceil(known / files_per_row))
+    if blocks == 1:
+        return pairs.groupBy("word").agg(F.sum("n").alias("n"), row)
+    totals = pairs.groupBy("word").agg(F.sum("n").alias("n"))
+    listed = _in_blocks(pairs, blocks).groupBy("word", "block").agg(row)
+    return listed.join(totals, "word").select("word", "block", "n", form if form == "postings" else "files")
 
 
 def _in_blocks(pairs: DataFrame, blocks: int) -> DataFrame:

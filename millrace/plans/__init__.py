@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("tables", "functions", "streams", "learning", "jobs")
+MODULES = ("tables", "functions", "jobs", "streams", "learning")
 
 
 def all_queries():

@@ -9,7 +9,7 @@ from millrace.operators import logs, reports, tables as O, text
 from millrace.plans import views as V
 from millrace.plans.catalog import query
 from millrace.plans.functions import trip_distance
-from millrace.plans.tables import LOWER_BLANK_SQL, SPACE_SQL, source_lookup
+from millrace.plans.tables import LOWER_BLANK_SQL, SPACE_SQL, document_index, source_lookup
 from millrace.session import new_folder
 from millrace.sources import files
 
@@ -31,10 +31,7 @@ def r01(spark, sf_dir):
         FROM (SELECT word, file, count(*) AS n FROM w GROUP BY 1, 2) GROUP BY 1""",
 )
 def r02(spark, sf_dir):
-    lines = V.text_lines(table(spark, sf_dir, "documents"))
-    settings = {"tokenizer": "whitespace", "lower": True}
-    totals = text.word_count(lines, **settings)
-    return text.inverted_index(lines, form="postings", **settings).join(totals, "word").select("word", "n", "postings")
+    return document_index(spark, sf_dir, form="postings", tokenizer="whitespace", lower=True)
 
 
 @query(

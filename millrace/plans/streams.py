@@ -1 +1,483 @@
-"""Not yet filled."""
+"""Queries for streams, stream joins and keyed-record topics.
+
+A streaming query is run over everything its source holds, into files of the shared folder,
+and its table is returned.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from millrace.operators import logs, topics
+from millrace.plans import views as V
+from millrace.plans.catalog import query
+from millrace.plans.jobs import SLIDING_SQL
+from millrace.session import new_folder
+from millrace.sources import files, payload, topics as S
+from millrace.streaming import joins, run, words
+
+table = V.table
+
+DELAY = "3 minutes"
+# A window is written once the watermark has passed its end: the newest event minus the delay.
+CLOSED = "(SELECT max(ts) - INTERVAL 3 MINUTES FROM events)"
+
+
+# --- file streams -----------------------------------------------------------------------------
+
+
+@query("s10_stream_files", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'view'")
+def s10(spark, sf_dir):
+    events = V.event_stream(spark, sf_dir).where(F.col("event_type") != "view")
+    return run.result(events.select("event_id", "user_id", "event_type"))
+
+
+@query(
+    "s11_stream_to_files",
+    f"WITH {V.LOG_SQL} SELECT event_id, level, source, ts AS event_time FROM log",
+)
+def s11(spark, sf_dir):
+    lines = V.log_lines(V.event_stream(spark, sf_dir))
+    parsed = logs.plain_times(logs.parse_log(lines, keep=["event_id"]), "event_time")
+    path = new_folder(spark, "report")
+    run.stream_to_files(parsed, path, "csv", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS").awaitTermination()
+    written = files.read_csv(
+        spark, path, "event_id BIGINT, level STRING, source STRING, event_time TIMESTAMP_NTZ", header=False
+    )
+    return written
+
+
+# --- topics -----------------------------------------------------------------------------------
+
+
+def stored_topic(spark, sf_dir):
+    """Events as records in the connector's schema (binary key and value), kept in partition order."""
+    rows = V.records(table(spark, sf_dir, "events"))
+    encoded = rows.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        "topic",
+        "partition",
+        "offset",
+        F.col("timestamp").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    return topics.write_topic(encoded, new_folder(spark, "topic"))
+
+
+@query(
+    "s12_decode_records",
+    f'WITH {V.RECORDS_SQL} SELECT key, value, topic, "partition", "offset", "timestamp" FROM records',
+)
+def s12(spark, sf_dir):
+    stored = stored_topic(spark, sf_dir)
+    folder = stored.inputFiles()[0].rsplit("/", 1)[0]
+    arriving = run.stream_files(spark, folder, schema=stored.schema)
+    decoded = S.decode_records(arriving).drop("timestampType")
+    return logs.plain_times(run.result(decoded), "timestamp")
+
+
+@query(
+    "s13_encode_records",
+    f"WITH {V.LOG_SQL} SELECT hex(encode(source)) AS key, hex(encode(value)) AS value, 'log.messages' AS topic FROM log",
+)
+def s13(spark, sf_dir):
+    lines = V.keyed_lines(V.event_stream(spark, sf_dir))
+    sent = run.result(S.encode_records(lines, "value", "key", "topic"))
+    return sent.select(F.hex("key").alias("key"), F.hex("value").alias("value"), "topic")
+
+
+@query(
+    "s14_read_earliest_limited",
+    f'WITH {V.RECORDS_SQL} SELECT "partition", "offset", key FROM records WHERE "offset" < 2',
+)
+def s14_earliest(spark, sf_dir):
+    rows = V.records(table(spark, sf_dir, "events"))
+    return S.read_position(rows, "earliest", limit=2).select("partition", "offset", "key")
+
+
+@query(
+    "s14_read_from_time",
+    f"""WITH {V.RECORDS_SQL} SELECT "partition", "offset", key FROM records
+        WHERE "timestamp" >= TIMESTAMP '2024-01-20 12:00:00'""",
+)
+def s14_time(spark, sf_dir):
+    rows = V.records(table(spark, sf_dir, "events"))
+    return S.read_position(rows, datetime(2024, 1, 20, 12)).select("partition", "offset", "key")
+
+
+@query(
+    "s14_read_last_period",
+    f"""WITH {V.RECORDS_SQL} SELECT "partition", "offset", key FROM records
+        WHERE "timestamp" >= (SELECT max(ts) FROM events) - INTERVAL 2 DAYS""",
+)
+def s14_period(spark, sf_dir):
+    rows = V.records(table(spark, sf_dir, "events"))
+    return S.read_position(rows, timedelta(days=2)).select("partition", "offset", "key")
+
+
+COMMITTED_SQL = """committed AS (SELECT "partition", count(*) AS current_offset FROM records
+  WHERE "timestamp" < TIMESTAMP '2024-01-25 00:00:00' GROUP BY 1)"""
+
+
+def committed_offsets(rows):
+    """Positions of a group that has read everything up to the 25th."""
+    read = rows.where(F.col("timestamp") < F.lit("2024-01-25 00:00:00").cast("timestamp_ntz"))
+    return read.groupBy("partition").agg(F.count("*").alias("current_offset"))
+
+
+@query(
+    "s14_shift_position",
+    f"""WITH {V.RECORDS_SQL}, {COMMITTED_SQL} SELECT "partition", "offset", key FROM records
+        JOIN committed USING ("partition") WHERE "offset" >= current_offset - 10""",
+)
+def s14_shift(spark, sf_dir):
+    rows = V.records(table(spark, sf_dir, "events"))
+    return S.read_position(rows, -10, committed=committed_offsets(rows)).select("partition", "offset", "key")
+
+
+@query("s15_decode_payload", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def s15_decode(spark, sf_dir):
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    schema = StructType([StructField("k", IntegerType(), True)])
+    events = table(spark, sf_dir, "events").select("event_id", "props")
+    return payload.decode_payload(events, schema, "props").select("event_id", "payload.k")
+
+
+@query(
+    "s15_encode_payload",
+    """SELECT event_id, '{"event_type":"' || event_type || '","error_of":'
+              || CASE WHEN event_type = 'error' THEN CAST(user_id AS VARCHAR) ELSE 'null' END || '}' AS value FROM events""",
+)
+def s15_encode(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn(
+        "error_of", F.when(F.col("event_type") == "error", F.col("user_id"))
+    )
+    return payload.encode_payload(events, ["event_type", "error_of"]).select("event_id", "value")
+
+
+@query(
+    "t15_keyed_order",
+    f"""WITH {V.RECORDS_SQL} SELECT key, count(*) AS records, min("partition") AS first_partition,
+            max("partition") AS last_partition, CAST(0 AS BIGINT) AS violations FROM records GROUP BY 1""",
+)
+def t15(spark, sf_dir):
+    return topics.order_violations(V.records(table(spark, sf_dir, "events")))
+
+
+@query("t16_message_key", f"WITH {V.LOG_SQL} SELECT event_id, source AS key FROM log")
+def t16(spark, sf_dir):
+    lines = V.log_lines(table(spark, sf_dir, "events"))
+    return lines.select("event_id", logs.log_key().alias("key"))
+
+
+@query(
+    "t17_group_lag",
+    f"""WITH {V.RECORDS_SQL}, {COMMITTED_SQL}
+        SELECT "partition", current_offset, log_end_offset, log_end_offset - current_offset AS lag
+        FROM committed JOIN (SELECT "partition", max("offset") + 1 AS log_end_offset FROM records GROUP BY 1)
+          USING ("partition")""",
+)
+def t17(spark, sf_dir):
+    rows = V.records(table(spark, sf_dir, "events"))
+    return topics.group_lag(rows, committed_offsets(rows))
+
+
+@query(
+    "r14_topic_listing",
+    f"""WITH {V.RECORDS_SQL} SELECT "partition", "offset", key || ':' || value AS line FROM records""",
+)
+def r14(spark, sf_dir):
+    rows = S.read_position(V.records(table(spark, sf_dir, "events")), "earliest")
+    return topics.key_value_listing(topics.in_partition_order(rows))
+
+
+# --- log streams ------------------------------------------------------------------------------
+
+IMPORTANT_SQL = f"WITH {V.LOG_SQL} SELECT source AS key, value FROM log WHERE level IN ('ERROR', 'FATAL')"
+
+
+@query("t01_important_lines", IMPORTANT_SQL)
+def t01(spark, sf_dir):
+    return logs.important(V.keyed_lines(table(spark, sf_dir, "events")))
+
+
+@query("r07_important_stream", IMPORTANT_SQL)
+def r07(spark, sf_dir):
+    lines = V.keyed_lines(V.event_stream(spark, sf_dir))
+    received = S.decode_records(S.encode_records(lines, "value", "key"))
+    chosen = logs.important(received)
+    return S.decode_records(run.result(S.encode_records(chosen, "value", "key")))
+
+
+@query("t02_parse_log", f"WITH {V.LOG_SQL} SELECT event_id, level, source, ts AS event_time FROM log")
+def t02(spark, sf_dir):
+    parsed = logs.parse_log(V.log_lines(table(spark, sf_dir, "events")), keep=["event_id"])
+    return logs.plain_times(parsed, "event_time")
+
+
+def parsed_stream(spark, sf_dir):
+    return logs.parse_log(V.log_lines(V.event_stream(spark, sf_dir)))
+
+
+@query("t03_sliding_counts_stream", f"SELECT * FROM ({SLIDING_SQL}) WHERE \"end\" <= {CLOSED}")
+def t03(spark, sf_dir):
+    counts = logs.windowed_counts(
+        parsed_stream(spark, sf_dir), "10 minutes", "5 minutes", ["source", "level"], DELAY
+    )
+    return logs.plain_times(run.result(counts), "start", "end")
+
+
+@query(
+    "r08_log_report_stream",
+    f"SELECT * FROM ({SLIDING_SQL}) WHERE \"end\" <= {CLOSED}",
+)
+def r08_stream(spark, sf_dir):
+    counts = logs.windowed_counts(
+        parsed_stream(spark, sf_dir), "10 minutes", "5 minutes", ["source", "level"], DELAY
+    )
+    path = new_folder(spark, "report")
+    run.stream_to_files(counts, path, "csv").awaitTermination()
+    schema = "start TIMESTAMP, end TIMESTAMP, source STRING, level STRING, n BIGINT"
+    return logs.plain_times(files.read_csv(spark, path, schema, header=False), "start", "end")
+
+
+BAND_SQL = f"""WITH {V.LOG_SQL}
+  SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS start, time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS "end",
+         count(CASE WHEN level NOT IN ('ERROR', 'FATAL') THEN 1 END) AS low,
+         count(CASE WHEN level IN ('ERROR', 'FATAL') THEN 1 END) AS high FROM log GROUP BY 1, 2"""
+
+
+@query("t04_tumbling_bands_stream", f"SELECT * FROM ({BAND_SQL}) WHERE \"end\" <= {CLOSED}")
+def t04(spark, sf_dir):
+    bands = logs.band_counts(parsed_stream(spark, sf_dir), "5 minutes", delay=DELAY)
+    return logs.plain_times(run.result(bands), "start", "end")
+
+
+@query(
+    "t05_windowed_words_stream",
+    f"""WITH {V.LOG_SQL}, w AS (SELECT unnest(regexp_split_to_array(value, '\\s')) AS word,
+                                       time_bucket(INTERVAL 5 SECONDS, ts) AS b FROM log)
+        SELECT b - s * INTERVAL 5 SECONDS AS start, b - s * INTERVAL 5 SECONDS + INTERVAL 10 SECONDS AS "end", word,
+               count(*) AS n FROM w, (VALUES (0), (1)) v(s) GROUP BY 1, 2, 3""",
+)
+def t05(spark, sf_dir):
+    lines = V.log_lines(V.event_stream(spark, sf_dir)).select("value", F.col("ts").alias("timestamp"))
+    counts = words.windowed_word_count(lines, "10 seconds", "5 seconds").orderBy("start", "n")
+    return logs.plain_times(run.result(counts, "complete"), "start", "end")
+
+
+@query(
+    "t06_running_words_stream",
+    "SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations) GROUP BY 1",
+)
+def t06(spark, sf_dir):
+    schema = table(spark, sf_dir, "conversations").schema
+    arriving = run.stream_files(spark, f"{sf_dir}/conversations.parquet", schema=schema)
+    return run.result(words.running_word_count(arriving, "text"), "complete")
+
+
+TUMBLING_SQL = """SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS start,
+  time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS "end", event_type, count(*) AS n FROM {} GROUP BY 1, 2, 3"""
+
+
+@query("t07_watermark", f"SELECT * FROM ({TUMBLING_SQL.format('events')}) WHERE \"end\" <= {CLOSED}")
+def t07(spark, sf_dir):
+    counts = logs.windowed_counts(
+        V.event_stream(spark, sf_dir), "5 minutes", keys=["event_type"], delay=DELAY, time="ts"
+    )
+    return logs.plain_times(run.result(counts), "start", "end")
+
+
+LATE_SQL = "(event_type = 'signup' AND ts < TIMESTAMP '2024-01-10 00:00:00')"
+
+
+@query(
+    "t08_late_rows_dropped",
+    f"SELECT * FROM ({TUMBLING_SQL.format(f'(SELECT * FROM events WHERE NOT {LATE_SQL})')}) WHERE \"end\" <= {CLOSED}",
+)
+def t08(spark, sf_dir):
+    # Early signups arrive after everything else, when the watermark has long passed them.
+    events = table(spark, sf_dir, "events")
+    late = (F.col("event_type") == "signup") & (F.col("ts") < F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+
+    def build(arriving):
+        return logs.windowed_counts(
+            V.timed(arriving), "5 minutes", keys=["event_type"], delay=DELAY, time="ts"
+        )
+
+    return logs.plain_times(run.replay([events.where(~late), events.where(late)], build), "start", "end")
+
+
+def halves(spark, sf_dir):
+    """The events table in two arrivals, split in the middle of the month."""
+    events = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    return [events.where(early), events.where(~early)]
+
+
+@query("t09_update_mode", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
+def t09_update(spark, sf_dir):
+    def build(arriving):
+        return arriving.groupBy("event_type").agg(
+            F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
+        )
+
+    return run.replay(halves(spark, sf_dir), build, "update", ["event_type"])
+
+
+@query("t09_complete_mode", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
+def t09_complete(spark, sf_dir):
+    def build(arriving):
+        return arriving.groupBy("user_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "user_id")
+
+    return run.replay(halves(spark, sf_dir), build, "complete")
+
+
+@query("t10_interval_trigger", "SELECT event_id, event_type FROM events WHERE event_type = 'error'")
+def t10(spark, sf_dir):
+    errors = V.event_stream(spark, sf_dir, "error").select("event_id", "event_type")
+    path = new_folder(spark, "result")
+    running = run.stream_to_files(errors, path, trigger={"processingTime": "1 second"})
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.schema(errors.schema).parquet(path)
+
+
+@query("t11_checkpoint_restart", "SELECT event_id, event_type, value FROM events")
+def t11(spark, sf_dir):
+    # The second arrival is read by a restarted query; every row is written exactly once.
+    return run.replay(halves(spark, sf_dir), lambda arriving: arriving.select("event_id", "event_type", "value"))
+
+
+@query("t12_effectively_once", "SELECT event_id, value FROM events WHERE event_type = 'purchase'")
+def t12(spark, sf_dir):
+    # Each batch is delivered twice, as after a failure between writing and committing.
+    purchases = V.event_stream(spark, sf_dir, "purchase").select("event_id", "value")
+    path = new_folder(spark, "result")
+    write = run.DELIVERY["exactly_once"](path)
+
+    def twice(batch, batch_id):
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    run.drain(purchases, twice)
+    return run.batches(spark, path, purchases.schema).drop("batch_id")
+
+
+# --- joins of streams ---------------------------------------------------------------------------
+
+
+@query(
+    "j04_stream_static_inner",
+    "SELECT event_id, c_name, c_mktsegment FROM events JOIN customer ON user_id = c_custkey",
+)
+def j04(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "user_id")
+    joined = joins.enrich(V.event_stream(spark, sf_dir), customers, "user_id")
+    return run.result(joined.select("event_id", "c_name", "c_mktsegment"))
+
+
+@query(
+    "j05_stream_static_left",
+    """SELECT event_id, c_name FROM events LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey""",
+)
+def j05_left(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0).withColumnRenamed("c_custkey", "user_id")
+    joined = joins.enrich(V.event_stream(spark, sf_dir), customers, "user_id", "left_outer")
+    return run.result(joined.select("event_id", "c_name"))
+
+
+@query(
+    "j05_static_stream_right",
+    """SELECT event_id, c_name FROM events LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey""",
+)
+def j05_right(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0).withColumnRenamed("c_custkey", "user_id")
+    joined = joins.enrich(customers, V.event_stream(spark, sf_dir), "user_id", "right_outer")
+    return run.result(joined.select("event_id", "c_name"))
+
+
+PAIR_SQL = """SELECT v.user_id, v.event_id AS view_id, v.ts AS view_time, c.event_id AS click_id, c.ts AS click_time
+  FROM (SELECT * FROM events WHERE event_type = 'view') v {} JOIN (SELECT * FROM events WHERE event_type = 'click') c
+    ON v.user_id = c.user_id AND c.ts >= v.ts AND c.ts <= v.ts + INTERVAL 1 HOUR"""
+
+
+def clicks_after_views(events, other, how="inner", delays=(None, None)):
+    """Clicks of a user within an hour after a view of the same user."""
+    views = events.where(F.col("event_type") == "view").select(
+        "user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_time")
+    )
+    clicks = other.where(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_time")
+    )
+    return joins.interval_join(views, clicks, ["user_id"], "view_time", "click_time", "1 hour", *delays, how)
+
+
+@query("j06_interval_join", PAIR_SQL.format(""))
+def j06(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return clicks_after_views(events, table(spark, sf_dir, "events"))
+
+
+@query("j06_interval_join_stream", PAIR_SQL.format(""))
+def j06_stream(spark, sf_dir):
+    joined = clicks_after_views(
+        V.event_stream(spark, sf_dir), V.event_stream(spark, sf_dir), delays=("2 hours", "3 hours")
+    )
+    return logs.plain_times(run.result(joined), "view_time", "click_time")
+
+
+@query("j07_interval_left_join_stream", PAIR_SQL.format("LEFT"))
+def j07(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    # Lone views are written when the watermark has passed their hour. A last arrival, a view and a
+    # click of nobody the day after, lets it pass all of them.
+    day_after = F.max("ts") + F.expr("INTERVAL 1 DAY")
+    closing = events.agg(F.max("event_id").alias("event_id"), day_after.alias("ts")).select(
+        "event_id",
+        "ts",
+        F.lit(-1).cast("bigint").alias("user_id"),
+        F.explode(F.array(F.lit("view"), F.lit("click"))).alias("event_type"),
+        F.lit(0.0).alias("value"),
+        F.lit("{}").alias("props"),
+    )
+
+    def build(arriving):
+        return clicks_after_views(V.timed(arriving), V.timed(arriving), "left_outer", ("2 hours", "3 hours"))
+
+    joined = run.replay([events, closing.select(*events.columns)], build)
+    return logs.plain_times(joined.where(F.col("user_id") >= 0), "view_time", "click_time")
+
+
+WINDOW_JOIN_SQL = """SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS start,
+    time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS "end", user_id % 5 AS source,
+    count(CASE WHEN event_type = 'view' THEN 1 END) AS left_n, count(CASE WHEN event_type = 'click' THEN 1 END) AS right_n
+  FROM events GROUP BY 1, 2, 3 HAVING left_n > 0 AND right_n > 0"""
+
+
+def windowed_sides(events):
+    by_source = events.withColumn("source", F.col("user_id") % 5)
+    return tuple(by_source.where(F.col("event_type") == kind) for kind in ("view", "click"))
+
+
+@query("j08_window_join", WINDOW_JOIN_SQL)
+def j08(spark, sf_dir):
+    views, clicks = windowed_sides(table(spark, sf_dir, "events"))
+    return joins.window_join(views, clicks, ["source"], "5 minutes", "ts")
+
+
+@query(
+    "j08_window_join_stream",
+    f"""SELECT * FROM ({WINDOW_JOIN_SQL}) WHERE "end" <= (SELECT least(max(ts) FILTER (event_type = 'view'),
+          max(ts) FILTER (event_type = 'click')) - INTERVAL 3 MINUTES FROM events)""",
+)
+def j08_stream(spark, sf_dir):
+    views, clicks = windowed_sides(V.event_stream(spark, sf_dir))
+    joined = joins.window_join(views, clicks, ["source"], "5 minutes", "ts", DELAY, DELAY)
+    return logs.plain_times(run.result(joined), "start", "end")

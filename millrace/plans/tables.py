@@ -370,18 +370,24 @@ def a03(spark, sf_dir):
         FROM w GROUP BY 1""",
 )
 def a04(spark, sf_dir):
-    index = text.inverted_index(V.text_lines(table(spark, sf_dir, "documents")), form="set", lower=True)
+    index = document_index(spark, sf_dir, form="set", lower=True)
     return index.withColumn("files", F.array_join("files", ";"))
 
 
+def document_index(spark, sf_dir, **settings):
+    """Index over the lines of all documents; the number of sources is measured without the texts."""
+    documents = table(spark, sf_dir, "documents")
+    files_only = documents.select(F.col("source").alias("file"))
+    return text.inverted_index(V.text_lines(documents), files=files_only, **settings)
+
+
 @query(
     "a05_index_postings",
     f"""{LOWER_BLANK_SQL} SELECT word, string_agg(file || ':' || n, ';' ORDER BY file) AS postings
         FROM (SELECT word, file, count(*) AS n FROM w GROUP BY 1, 2) GROUP BY 1""",
 )
 def a05(spark, sf_dir):
-    lines = V.text_lines(table(spark, sf_dir, "documents"))
-    return text.inverted_index(lines, form="postings", tokenizer="whitespace", lower=True)
+    return document_index(spark, sf_dir, form="postings", tokenizer="whitespace", lower=True).drop("n")
 
 
 @query("a06_max_per_key", "SELECT l_suppkey, max(l_extendedprice) AS max_price FROM lineitem GROUP BY 1")

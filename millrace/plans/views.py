@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.topics import assign_offsets
+from millrace.streaming.run import stream_files
 
 # Names of the five source systems.
 SOURCES = ["web", "e-mail", "database", "firewall", "ml-model"]
@@ -88,6 +89,19 @@ def records(events: DataFrame) -> DataFrame:
     )
 
 
+def event_stream(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    """The events table as a stream, its time ready for a watermark; optionally some kinds only."""
+    schema = table(spark, sf_dir, "events").schema
+    events = stream_files(spark, f"{sf_dir}/events.parquet", schema=schema)
+    if kinds:
+        events = events.where(F.col("event_type").isin(*kinds))
+    return timed(events)
+
+
+def timed(events: DataFrame) -> DataFrame:
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 # --- calls ------------------------------------------------------------------------------------
 
 CALLS_SQL = """calls AS (

@@ -121,7 +121,7 @@ DELIVERY = {"exactly_once": replace_batch, "at_least_once": append_batch, "at_mo
 
 def merge_keyed(path: str, keys: Sequence[str], schema: StructType, spark: SparkSession) -> DataFrame:
     """Current table of an update stream written by `replace_batch`: the newest row of each key."""
-    rows = _batches(spark, path, schema)
+    rows = batches(spark, path, schema)
     value = F.struct(*[name for name in schema.names if name not in keys])
     newest = rows.groupBy(*keys).agg(F.max_by(value, "batch_id").alias("_row"))
     return newest.select(*keys, "_row.*").select(*schema.names)
@@ -129,7 +129,7 @@ def merge_keyed(path: str, keys: Sequence[str], schema: StructType, spark: Spark
 
 def last_result(path: str, schema: StructType, spark: SparkSession) -> DataFrame:
     """Result of a complete-mode stream written by `replace_batch`: the rows of its last batch."""
-    rows = _batches(spark, path, schema)
+    rows = batches(spark, path, schema)
     return rows.where(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).select(*schema.names)
 
 
@@ -180,7 +180,8 @@ def replay(
     return table
 
 
-def _batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All rows written by `replace_batch`, each with its `batch_id`."""
     return spark.read.schema(StructType(schema.fields).add("batch_id", "long")).parquet(path)
 
 

@@ -90,8 +90,10 @@ def main() -> int:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for setting in filter(None, os.environ.get("EXTRA_CONF", "").split(";")):
+        spark = spark.config(*setting.split("=", 1))
+    spark = spark.getOrCreate()
     spark.sparkContext.setLogLevel("OFF" if os.environ.get("QUIET") else "ERROR")
     db = connect(sf_dir)
     queries, sql = registry.queries(), registry.oracle_sql()
