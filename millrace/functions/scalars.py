@@ -47,12 +47,16 @@ def haversine(
     lon2: str | Column,
     radius: float = EARTH_RADIUS_KM * ROUTE_FACTOR,
 ) -> Column:
-    """Great-circle distance in the unit of `radius` between points given in degrees."""
+    """Great-circle distance in the unit of `radius` between points given in degrees.
+
+    Written so that the squared half chord occurs once: Spark repeats an expression wherever a
+    column made from it is used.
+    """
     lat1, lon1, lat2, lon2 = map(_column, (lat1, lon1, lat2, lon2))
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2.0 * radius) * F.atan2(F.sqrt(chord), F.sqrt(F.lit(1.0) - chord))
+    half_lat = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
+    half_lon = F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
+    chord = half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon
+    return F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
 
 
 def speed(distance: str | Column, seconds: str | Column) -> Column:

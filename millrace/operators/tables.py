@@ -47,10 +47,11 @@ def deviation_bounds(df: DataFrame, column: str, k: float = 1.0) -> DataFrame:
 def drop_outliers(df: DataFrame, column: str, k: float = 1.0) -> DataFrame:
     """Rows within `k` standard deviations of the mean.
 
-    The bounds are a subquery of the plan, run once: no value passes through the driver.
+    The two bounds are computed right away and become literals: one scan for them, and a filter
+    that the source can use, however many such steps follow each other.
     """
-    bounds = deviation_bounds(df, column, k).select(F.struct("low", "high").alias("bounds")).scalar()
-    return df.where(F.col(column).between(bounds["low"], bounds["high"]))
+    bounds = deviation_bounds(df, column, k).first()
+    return df.where(F.col(column).between(F.lit(bounds["low"]), F.lit(bounds["high"])))
 
 
 def error_bands(

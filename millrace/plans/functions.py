@@ -217,10 +217,16 @@ def f19(spark, sf_dir):
 
 @query(
     "f20_great_circle",
-    f"WITH {V.TRIPS_SQL} SELECT id, round(distance, 6) AS distance FROM distances",
+    f"""WITH {V.TRIPS_SQL} SELECT id, round(distance, 6) AS distance,
+            round(atan2(dropoff_latitude - pickup_latitude, dropoff_longitude - pickup_longitude), 6) AS direction
+        FROM distances""",
 )
 def f20(spark, sf_dir):
-    return V.trips(table(spark, sf_dir, "lineitem")).select("id", F.round(trip_distance(), 6).alias("distance"))
+    north = F.col("dropoff_latitude") - F.col("pickup_latitude")
+    east = F.col("dropoff_longitude") - F.col("pickup_longitude")
+    return V.trips(table(spark, sf_dir, "lineitem")).select(
+        "id", F.round(trip_distance(), 6).alias("distance"), F.round(F.atan2(north, east), 6).alias("direction")
+    )
 
 
 def trip_distance():

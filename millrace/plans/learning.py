@@ -1 +1,676 @@
-"""Not yet filled."""
+"""Queries for feature preparation, models, tuning and evaluation, and the learning jobs."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator,
+    MulticlassClassificationEvaluator,
+    RegressionEvaluator,
+)
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import functions as F
+
+from millrace.ml import metrics, models, prep, tuning
+from millrace.operators import tables as O
+from millrace.plans import views as V
+from millrace.plans.catalog import query
+from millrace.plans.jobs import measured_trips
+from millrace.plans.tables import TRIP_BOX
+from millrace.session import cut_lineage, new_folder
+from millrace.sources import files
+
+table = V.table
+
+# The English words that carry no meaning of their own.
+STOP_WORDS = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers "
+    "herself it its itself they them their theirs themselves what which who whom this that these those am is are "
+    "was were be been being have has had having do does did doing a an the and but if or because as until while "
+    "of at by for with about against between into through during before after above below to from up down in out "
+    "on off over under again further then once here there when where why how all any both each few more most "
+    "other some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll "
+    "she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've "
+    "you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't "
+    "shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's "
+    "who's why's would"
+).split()
+
+
+def rounded(df, digits=6):
+    """All double columns rounded."""
+    return df.withColumns({c: F.round(c, digits) for c, kind in df.dtypes if kind == "double"})
+
+
+# --- preparation ------------------------------------------------------------------------------
+
+
+@query(
+    "m01_string_index",
+    """SELECT o_orderpriority AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS DOUBLE)
+              AS index, count(*) AS n FROM orders GROUP BY 1""",
+)
+def m01(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("value"))
+    indexed = prep.index_strings("value", "index").fit(orders).transform(orders)
+    return indexed.groupBy("value", "index").agg(F.count("*").alias("n"))
+
+
+@query(
+    "m01_string_index_table",
+    """SELECT p_name, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, p_name) - 1 AS DOUBLE) AS index
+       FROM part JOIN lineitem ON p_partkey = l_partkey GROUP BY 1""",
+)
+def m01_table(spark, sf_dir):
+    part, lineitem = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    return prep.index_table(lineitem.join(part, lineitem.l_partkey == part.p_partkey), "p_name")
+
+
+NUMBERS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query(
+    "m02_assemble",
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem",
+)
+def m02(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", *NUMBERS)
+    values = vector_to_array("features")
+    return prep.assemble(NUMBERS).transform(lines).select(
+        "l_orderkey", "l_partkey", "l_suppkey", *[values[n].alias(f"f{n}") for n in range(3)]
+    )
+
+
+@query(
+    "m03_min_max_scale",
+    "WITH b AS (SELECT "
+    + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in NUMBERS)
+    + " FROM lineitem) SELECT l_orderkey, l_partkey, l_suppkey, "
+    + ", ".join(f"round(({c} - lo_{c}) / (hi_{c} - lo_{c}), 9) AS f{n}" for n, c in enumerate(NUMBERS))
+    + " FROM lineitem, b",
+)
+def m03(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", *NUMBERS)
+    fitted = prep.build_pipeline([prep.assemble(NUMBERS), prep.scale()]).fit(lines)
+    values = vector_to_array("scaled")
+    return fitted.transform(lines).select(
+        "l_orderkey", "l_partkey", "l_suppkey", *[F.round(values[n], 9).alias(f"f{n}") for n in range(3)]
+    )
+
+
+def payment_features(spark, sf_dir):
+    payments = V.card_payments(table(spark, sf_dir, "embeddings"))
+    return payments, [prep.assemble(O.columns_with_prefix(payments, "V")), prep.scale()]
+
+
+@query("m04_principal_components")
+def m04(spark, sf_dir):
+    payments, stages = payment_features(spark, sf_dir)
+    reduced = prep.build_pipeline([*stages, prep.reduce(3)]).fit(payments).transform(payments)
+    values = vector_to_array("reduced")
+    return reduced.select("id", *[F.round(values[n], 6).alias(f"pc{n + 1}") for n in range(3)])
+
+
+TOKENS_SQL = """tokens AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\\W'), lambda x: x <> '')
+                AS words FROM documents)"""
+STOP_SQL = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
+FILTERED_SQL = f"""{TOKENS_SQL}, filtered AS (
+  SELECT doc_id, list_filter(words, lambda x: NOT list_contains([{STOP_SQL}], x)) AS words FROM tokens)"""
+DIGEST_SQL = "doc_id, CAST(len(words) AS INTEGER) AS n, md5(array_to_string(words, ' ')) AS digest"
+
+
+def word_digest(df, column):
+    joined = F.array_join(column, " ").cast("binary")
+    return df.select("doc_id", F.size(column).alias("n"), F.md5(joined).alias("digest"))
+
+
+@query("m05_regex_tokens", f"WITH {TOKENS_SQL} SELECT {DIGEST_SQL} FROM tokens")
+def m05(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return word_digest(prep.tokenize().transform(documents), "words")
+
+
+def filtered_words(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return prep.remove_stop_words().transform(prep.tokenize().transform(documents)).select("doc_id", "filtered")
+
+
+@query("m06_stop_words", f"WITH {FILTERED_SQL} SELECT {DIGEST_SQL} FROM filtered")
+def m06(spark, sf_dir):
+    return word_digest(filtered_words(spark, sf_dir), "filtered")
+
+
+@query(
+    "m07_hashed_term_counts",
+    f"WITH {FILTERED_SQL} SELECT count(*) AS documents, CAST(sum(len(words)) AS DOUBLE) AS terms FROM filtered",
+)
+def m07(spark, sf_dir):
+    # Buckets may be shared by several words, but no occurrence may get lost.
+    hashed = prep.hash_terms().transform(filtered_words(spark, sf_dir))
+    summed = hashed.agg(F.count("*").alias("documents"), Summarizer.sum(F.col("features")).alias("sums"))
+    total = F.aggregate(vector_to_array("sums"), F.lit(0.0), lambda a, b: a + b)
+    return summed.select("documents", total.alias("terms"))
+
+
+@query(
+    "m08_vocabulary",
+    f"""WITH {FILTERED_SQL}, t AS (SELECT doc_id, unnest(words) AS term FROM filtered),
+        c AS (SELECT term, count(*) AS uses, count(DISTINCT doc_id) AS docs FROM t GROUP BY 1)
+        SELECT term, docs FROM c WHERE docs >= 5 QUALIFY row_number() OVER (ORDER BY uses DESC) <= 10000""",
+)
+def m08(spark, sf_dir):
+    words = filtered_words(spark, sf_dir)
+    fitted = prep.count_terms().fit(words)
+    counts = fitted.transform(words).agg(Summarizer.numNonZeros(F.col("features")).alias("docs"))
+    # The vocabulary has at most 10,000 entries by definition.
+    terms = spark.createDataFrame(list(enumerate(fitted.vocabulary)), "place INT, term STRING")
+    per_place = counts.select(F.posexplode(vector_to_array("docs")).alias("place", "docs"))
+    return per_place.join(F.broadcast(terms), "place").select("term", F.col("docs").cast("bigint").alias("docs"))
+
+
+# --- models -----------------------------------------------------------------------------------
+
+
+def price_rows(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_quantity", "l_discount", "l_tax", F.col("l_extendedprice").alias("price")
+    )
+
+
+@query(
+    "m09_linear_regression",
+    """SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+              round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept FROM lineitem""",
+)
+def m09(spark, sf_dir):
+    rows = prep.assemble(["l_quantity"]).transform(price_rows(spark, sf_dir))
+    fitted = models.linear_regression("price", "features").fit(rows)
+    line = [(float(fitted.coefficients[0]), float(fitted.intercept))]
+    return spark.createDataFrame(line, "slope DOUBLE, intercept DOUBLE").select(
+        F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept")
+    )
+
+
+SPLIT_SQL = "substr(md5(l_orderkey || '|42'), 1, 8) <= 'cccccccc'"
+
+
+@query(
+    "m10_linear_report",
+    f"""WITH train AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem WHERE {SPLIT_SQL}),
+        test AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem WHERE NOT {SPLIT_SQL}),
+        line AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM train),
+        errors AS (SELECT 'train' AS part, y, y - a - b * x AS e FROM train, line
+                   UNION ALL SELECT 'test', y, y - a - b * x FROM test, line),
+        quality AS (SELECT part, sqrt(avg(e * e)) AS rmse, 1 - sum(e * e) / (var_pop(y) * count(*)) AS r2
+                    FROM errors GROUP BY 1)
+        SELECT 'model' AS part, 'coefficient_0' AS name, round(b, 3) AS value FROM line
+        UNION ALL SELECT 'model', 'intercept', round(a, 3) FROM line
+        UNION ALL SELECT part, 'rmse', round(rmse, 3) FROM quality
+        UNION ALL SELECT part, 'r2', round(r2, 3) FROM quality""",
+)
+def m10(spark, sf_dir):
+    rows = prep.assemble(["l_quantity"]).transform(price_rows(spark, sf_dir))
+    train, test = O.hash_split(rows, ["l_orderkey"])
+    return models.linear_report(models.linear_regression("price", "features").fit(train), test, digits=3)
+
+
+def split_prices(spark, sf_dir):
+    """Prepared training and test rows, written once: every fit and every pass re-reads them."""
+    train, test = O.hash_split(price_rows(spark, sf_dir), ["l_orderkey"])
+    fitted = prep.build_pipeline([prep.assemble(NUMBERS), prep.scale()]).fit(train)
+    return tuple(cut_lineage(fitted.transform(part).select("l_orderkey", "scaled", "price")) for part in (train, test))
+
+
+def evaluated(estimator, train, test, label):
+    return rounded(metrics.regression_metrics(estimator.fit(train).transform(test), label))
+
+
+@query("m11_generalized_linear")
+def m11(spark, sf_dir):
+    return evaluated(models.generalized_linear("price"), *split_prices(spark, sf_dir), "price")
+
+
+@query("m12_boosted_trees")
+def m12(spark, sf_dir):
+    return evaluated(models.boosted_trees("price"), *split_prices(spark, sf_dir), "price")
+
+
+@query("m13_forest_regressor")
+def m13(spark, sf_dir):
+    return evaluated(models.forest_regressor("price"), *split_prices(spark, sf_dir), "price")
+
+
+def classified(estimator, train, test, label):
+    predicted = cut_lineage(estimator.fit(train).transform(test).select(label, "prediction"))
+    return rounded(metrics.classification_metrics(predicted, label))
+
+
+def split_payments(spark, sf_dir):
+    """All payments in training and test part with scaled features, written once."""
+    payments, stages = payment_features(spark, sf_dir)
+    train, test = O.hash_split(payments, ["id"])
+    fitted = prep.build_pipeline(stages).fit(train)
+    return tuple(cut_lineage(fitted.transform(part).select("id", "scaled", "fraud")) for part in (train, test))
+
+
+@query("m14_logistic_regression")
+def m14(spark, sf_dir):
+    model = models.logistic_regression("fraud", "scaled", threshold=0.3)
+    return classified(model, *split_payments(spark, sf_dir), "fraud")
+
+
+@query("m15_forest_classifier")
+def m15(spark, sf_dir):
+    return classified(models.forest_classifier("fraud", "scaled"), *split_payments(spark, sf_dir), "fraud")
+
+
+@query("m16_linear_svm")
+def m16(spark, sf_dir):
+    return classified(models.linear_svm("fraud"), *split_payments(spark, sf_dir), "fraud")
+
+
+@query("m17_fit_transform")
+def m17(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_returnflag", *NUMBERS, F.col("l_extendedprice").alias("price")
+    )
+    train, test = O.hash_split(rows, ["l_orderkey"])
+    stages = [prep.index_strings("l_returnflag", "flag"), prep.assemble(["flag", *NUMBERS]), prep.scale()]
+    _, predicted = prep.fit_predict(
+        prep.build_pipeline(stages, models.linear_regression("price")), train, test
+    )
+    return predicted.select("l_orderkey", "price", F.round("prediction", 4).alias("prediction"))
+
+
+@query("m19_cross_validation")
+def m19(spark, sf_dir):
+    train, _ = split_prices(spark, sf_dir)
+    estimator = models.linear_regression("price")
+    choices = tuning.grid({estimator.regParam: [0.0, 0.3], estimator.maxIter: [10, 20]})
+    _, report = tuning.tune(estimator, train, choices, RegressionEvaluator(labelCol="price"))
+    return report
+
+
+@query("m20_validation_split")
+def m20(spark, sf_dir):
+    train, _ = split_prices(spark, sf_dir)
+    estimator = models.generalized_linear("price")
+    choices = tuning.grid({estimator.maxIter: [15, 20, 25], estimator.regParam: [0.6, 0.9]})
+    _, report = tuning.tune(estimator, train, choices, RegressionEvaluator(labelCol="price"), folds=None)
+    return report
+
+
+@query(
+    "m21_best_parameters",
+    "SELECT 'regParam=0.0' AS params, true AS best",
+)
+def m21(spark, sf_dir):
+    # One feature is twice the label, so a heavy penalty must lose.
+    trips = V.trips(table(spark, sf_dir, "lineitem")).select("id", "trip_duration", "passenger_count")
+    rows = prep.assemble(["passenger_count", "doubled"]).transform(
+        trips.withColumn("doubled", F.col("trip_duration") * 2)
+    )
+    train = cut_lineage(rows.select("features", "trip_duration"))
+    estimator = models.linear_regression("trip_duration", "features")
+    choices = tuning.grid({estimator.regParam: [500.0, 0.0]})
+    evaluator = RegressionEvaluator(labelCol="trip_duration")
+    _, report = tuning.tune(estimator, train, choices, evaluator, folds=2)
+    return report.where("best").select("params", "best")
+
+
+# --- samples ----------------------------------------------------------------------------------
+
+
+@query(
+    "m22_hash_split",
+    """SELECT o_orderkey, CASE WHEN substr(md5(o_orderkey || '|42'), 1, 8) <= 'cccccccc' THEN 'train' ELSE 'test' END
+              AS part FROM orders""",
+)
+def m22(spark, sf_dir):
+    train, test = O.hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query("m22_random_split")
+def m22_random(spark, sf_dir):
+    train, test = cut_lineage(table(spark, sf_dir, "orders").select("o_orderkey")).randomSplit([0.8, 0.2], 42)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query(
+    "m23_balanced_sample",
+    """SELECT doc_id, toxic FROM labels WHERE toxic = 1
+       UNION ALL (SELECT doc_id, toxic FROM labels WHERE toxic = 0 ORDER BY md5(doc_id || '|42'), doc_id
+                  LIMIT (SELECT count(*) FROM labels WHERE toxic = 1))""",
+)
+def m23(spark, sf_dir):
+    return O.balance(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "toxic", "doc_id")
+
+
+# --- evaluation -------------------------------------------------------------------------------
+
+GUESS_SQL = "(SELECT l_extendedprice AS y, l_quantity * 1500 AS p FROM lineitem)"
+
+
+def guesses(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 1500).alias("prediction")
+    )
+
+
+@query(
+    "m24_regression_metrics",
+    f"""SELECT round(avg((y - p) * (y - p)), 2) AS mse, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+               round(avg(abs(y - p)), 4) AS mae,
+               round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2 FROM {GUESS_SQL}""",
+)
+def m24(spark, sf_dir):
+    measured = metrics.regression_metrics(guesses(spark, sf_dir), "y")
+    digits = {"mse": 2, "rmse": 4, "mae": 4, "r2": 6}
+    return measured.select(*[F.round(name, d).alias(name) for name, d in digits.items()])
+
+
+@query(
+    "m25_log_errors",
+    f"""SELECT round(sqrt(avg(pow(ln(1 + p) - ln(1 + y), 2))), 6) AS rmsle,
+               round(ln(sqrt(avg((y - p) * (y - p)))), 6) AS log_rmse FROM {GUESS_SQL}""",
+)
+def m25(spark, sf_dir):
+    return rounded(metrics.regression_metrics(guesses(spark, sf_dir), "y").select("rmsle", "log_rmse"))
+
+
+SCORED_SQL = """scored AS (SELECT quality, CAST(n_chars AS DOUBLE) AS score,
+  CASE WHEN n_chars > 1000 THEN 1.0e0 ELSE 0.0e0 END AS prediction FROM labels JOIN documents USING (doc_id))"""
+
+
+def scored(spark, sf_dir):
+    """Labelled documents with their length as a score and a guess made from it."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return table(spark, sf_dir, "labels").join(documents, "doc_id").select(
+        "quality",
+        F.col("n_chars").cast("double").alias("score"),
+        F.when(F.col("n_chars") > 1000, 1.0).otherwise(0.0).alias("prediction"),
+    )
+
+
+@query(
+    "a17_confusion",
+    f"WITH {SCORED_SQL} SELECT quality AS label, prediction, count(*) AS n FROM scored GROUP BY 1, 2",
+)
+def a17(spark, sf_dir):
+    return metrics.confusion(scored(spark, sf_dir), "quality")
+
+
+@query(
+    "m26_area_under_roc",
+    f"""WITH {SCORED_SQL}, r AS (SELECT quality, rank() OVER (ORDER BY score)
+            + (count(*) OVER (PARTITION BY score) - 1) / 2.0e0 AS r FROM scored)
+        SELECT round((sum(r) FILTER (quality = 1) - p * (p + 1) / 2.0e0) / (p * n), 9) AS auc
+        FROM r, (SELECT count(*) FILTER (quality = 1) AS p, count(*) FILTER (quality <> 1) AS n FROM scored)
+        GROUP BY p, n""",
+)
+def m26(spark, sf_dir):
+    return rounded(metrics.auc(scored(spark, sf_dir), "quality", "score"), 9)
+
+
+@query(
+    "m27_weighted_metrics",
+    f"""WITH {SCORED_SQL}, c AS (SELECT CAST(quality AS DOUBLE) AS cls, count(*) AS actual,
+            count(*) FILTER (quality = prediction) AS hit FROM scored GROUP BY 1),
+        g AS (SELECT prediction AS cls, count(*) AS predicted FROM scored GROUP BY 1)
+        SELECT round(sum(actual * coalesce(hit / predicted, 0)) / sum(actual), 9) AS "precision",
+               round(sum(hit) / sum(actual), 9) AS recall, round(sum(hit) / sum(actual), 9) AS accuracy
+        FROM c LEFT JOIN g USING (cls)""",
+)
+def m27(spark, sf_dir):
+    return rounded(metrics.classification_metrics(scored(spark, sf_dir), "quality"), 9)
+
+
+CORRELATED = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
+
+
+@query(
+    "m28_pearson",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS i, '{b}' AS j, round("
+        + ("CAST(1 AS DOUBLE)" if a == b else f"corr({a}, {b})")
+        + ", 6) AS corr FROM lineitem"
+        + (" GROUP BY 1, 2" if a == b else "")
+        for a in CORRELATED
+        for b in CORRELATED
+    ),
+)
+def m28(spark, sf_dir):
+    return rounded(metrics.correlation(table(spark, sf_dir, "lineitem").select(*CORRELATED), CORRELATED))
+
+
+RANKS_SQL = ", ".join(
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0e0 AS {c}" for c in CORRELATED
+)
+
+
+@query(
+    "m29_spearman",
+    f"WITH r AS (SELECT {RANKS_SQL} FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS i, '{b}' AS j, round("
+        + ("CAST(1 AS DOUBLE)" if a == b else f"corr({a}, {b})")
+        + ", 6) AS corr FROM r"
+        + (" GROUP BY 1, 2" if a == b else "")
+        for a in CORRELATED
+        for b in CORRELATED
+    ),
+)
+def m29(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(*CORRELATED)
+    return rounded(metrics.correlation(rows, CORRELATED, "spearman"))
+
+
+@query("m30_write_predictions")
+def m30(spark, sf_dir):
+    train, test = split_prices(spark, sf_dir)
+    predicted = models.linear_regression("price").fit(train).transform(test)
+    path = new_folder(spark, "predictions")
+    files.write_csv(predicted.select("l_orderkey", "prediction"), path)
+    return files.read_csv(spark, path, "id BIGINT, prediction DOUBLE", header=False)
+
+
+# --- jobs -------------------------------------------------------------------------------------
+
+CLEAN_SQL = f"""{V.TRIPS_SQL},
+boxed AS (SELECT * FROM distances WHERE pickup_longitude BETWEEN -74.25 AND -73.7
+  AND dropoff_longitude BETWEEN -74.25 AND -73.7 AND pickup_latitude BETWEEN 40.6 AND 40.9
+  AND dropoff_latitude BETWEEN 40.6 AND 40.9),
+near AS (SELECT * FROM boxed, (SELECT avg(distance) AS m, stddev_samp(distance) AS s FROM boxed)
+         WHERE distance BETWEEN m - s AND m + s AND passenger_count > 0),
+clean AS (SELECT * FROM near, (SELECT avg(trip_duration) AS m2, stddev_samp(trip_duration) AS s2 FROM near)
+          WHERE trip_duration BETWEEN m2 - s2 AND m2 + s2)"""
+
+
+def clean_trips(trips):
+    """Complete trips within the area, of usual length and duration, with passengers.
+
+    The trips are passed over three times, so they are written once with their distances.
+    """
+    trips = O.within(O.drop_missing(cut_lineage(trips)), TRIP_BOX)
+    trips = O.drop_outliers(trips, "distance").where(F.col("passenger_count") > 0)
+    return O.drop_outliers(trips, "trip_duration")
+
+
+@query("r10_clean_trips", f"WITH {CLEAN_SQL} SELECT id, round(distance, 6) AS distance, trip_duration FROM clean")
+def r10_clean(spark, sf_dir):
+    trips = clean_trips(measured_trips(spark, sf_dir))
+    return trips.select("id", F.round("distance", 6).alias("distance"), "trip_duration")
+
+
+TRIP_FEATURES = ["vendor_id", "passenger_count", "hour", "day", "flag_ind", "distance"]
+
+
+def prepared_trips(spark, sf_dir):
+    """Features of the cleaned trips, in training and test part, written once for all models."""
+    label = "trip_duration"
+    clean = cut_lineage(clean_trips(measured_trips(spark, sf_dir)))
+    train, test = O.hash_split(clean, ["id"])
+    stages = [prep.index_strings("store_and_fwd_flag", "flag_ind"), prep.assemble(TRIP_FEATURES), prep.scale()]
+    fitted = prep.build_pipeline(stages).fit(train)
+    return [cut_lineage(fitted.transform(part).select("id", "scaled", label)) for part in (train, test)]
+
+
+def all_reports(reports):
+    """Reports of several models below each other."""
+    named = [report.select(F.lit(name).alias("model"), "*") for name, report in reports.items()]
+    return reduce(lambda a, b: a.unionByName(b), named)
+
+
+@query("r10_trip_models")
+def r10_models(spark, sf_dir):
+    label = "trip_duration"
+    train, test = prepared_trips(spark, sf_dir)
+    evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
+    linear, glr = models.linear_regression(label), models.generalized_linear(label)
+    gbt, forest = models.boosted_trees(label), models.forest_regressor(label)
+    single, crossed = {"folds": None, "ratio": 0.8}, {"folds": 3}
+    tuned = {
+        "generalized": (glr, {glr.maxIter: [15, 25], glr.regParam: [0.6, 0.9]}, single),
+        "boosted": (gbt, {gbt.maxIter: [5, 10]}, single),
+        "forest": (forest, {forest.maxDepth: [5], forest.numTrees: [10, 20]}, crossed),
+    }
+    reports = {"linear": evaluated(linear, train, test, label)}
+    for name, (estimator, choices, how) in tuned.items():
+        best, _ = tuning.tune(estimator, train, tuning.grid(choices), evaluator, **how)
+        reports[name] = rounded(metrics.regression_metrics(best.transform(test), label))
+    return all_reports(reports)
+
+
+@query("r10_error_bands")
+def r10_bands(spark, sf_dir):
+    train, test = prepared_trips(spark, sf_dir)
+    predicted = models.linear_regression("trip_duration").fit(train).transform(test)
+    return O.error_bands(predicted, "trip_duration")
+
+
+def class_report(model, test, label):
+    """Weighted metrics next to the area under the ROC curve, from predictions written once."""
+    score = "probability" if "probability" in model.transform(test).columns else "rawPrediction"
+    predicted = cut_lineage(
+        model.transform(test).select(label, "prediction", vector_to_array(score)[1].alias("score"))
+    )
+    both = metrics.classification_metrics(predicted, label).withColumn(
+        "auc", metrics.auc(predicted, label, "score").scalar()
+    )
+    return rounded(both)
+
+
+@query("r11_fraud_models")
+def r11(spark, sf_dir):
+    payments, stages = payment_features(spark, sf_dir)
+    train, test = O.hash_split(cut_lineage(O.balance(payments, "fraud", "id")), ["id"])
+    scaled = prep.build_pipeline(stages).fit(train)
+    train, test = (cut_lineage(scaled.transform(part).select("id", "scaled", "fraud")) for part in (train, test))
+    f1 = MulticlassClassificationEvaluator(labelCol="fraud", metricName="f1")
+    roc = BinaryClassificationEvaluator(labelCol="fraud")
+    reduced = prep.reduce(3)
+    logistic = models.logistic_regression("fraud", "reduced")
+    svm = models.linear_svm("fraud", "reduced")
+    forest = models.forest_classifier("fraud", "reduced")
+    # The number of components is tuned together with the model, hence a pipeline of both.
+    choices = {
+        "logistic": (logistic, {reduced.k: [3, 6], logistic.threshold: [0.5, 0.75]}, f1),
+        "svm": (svm, {reduced.k: [3, 6]}, roc),
+        "forest": (forest, {reduced.k: [3, 6], forest.maxDepth: [3]}, roc),
+    }
+    reports = {}
+    for name, (estimator, grid, evaluator) in choices.items():
+        whole = prep.build_pipeline([reduced], estimator)
+        best, _ = tuning.tune(whole, train, tuning.grid(grid), evaluator, folds=3)
+        reports[name] = class_report(best, test, "fraud")
+    return all_reports(reports)
+
+
+@query("r12_text_models")
+def r12(spark, sf_dir):
+    raw = V.messages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    clean = prep.strip_digits(O.drop_missing(raw))
+    # The rarer class is kept whole and the other one sampled down to its size.
+    balanced = cut_lineage(O.balance(clean, "target", "id", kept=0, sampled=1))
+    words = prep.build_pipeline([prep.tokenize(), prep.remove_stop_words()]).fit(balanced).transform(balanced)
+    train, test = O.hash_split(words.select("id", "filtered", "target"), ["id"])
+    roc = BinaryClassificationEvaluator(labelCol="target")
+    f1 = MulticlassClassificationEvaluator(labelCol="target", metricName="f1")
+    logistic, forest = models.logistic_regression("target"), models.forest_classifier("target")
+    choices = {
+        "logistic": (prep.hash_terms(), logistic, {logistic.maxIter: [10], logistic.threshold: [0.5, 0.8]}, f1),
+        "forest": (prep.count_terms(), forest, {forest.maxDepth: [4], forest.numTrees: [20, 30]}, roc),
+    }
+    reports = {}
+    for name, (features, estimator, grid, evaluator) in choices.items():
+        fitted = prep.build_pipeline([features]).fit(train)
+        parts = [cut_lineage(fitted.transform(part).select("id", "features", "target")) for part in (train, test)]
+        best, _ = tuning.tune(estimator, parts[0], tuning.grid(grid), evaluator, folds=3)
+        reports[name] = class_report(best, parts[1], "target")
+    return all_reports(reports)
+
+
+@query("r13_fire_models")
+def r13_fires(spark, sf_dir):
+    path = new_folder(spark, "csv")
+    files.write_csv(V.fire_strings(table(spark, sf_dir, "lineitem")), path, header=True)
+    fires = files.cast_columns(files.read_csv_strings(spark, path, V.FIRE_COLUMNS), V.FIRE_TYPES)
+    fires = O.drop_missing(fires.drop("X", "Y", "month", "day"))
+    train, test = O.hash_split(fires, fires.columns)
+    stages = [prep.assemble([c for c in fires.columns if c != "area"]), prep.scale()]
+    fitted = prep.build_pipeline(stages).fit(train)
+    train, test = (cut_lineage(fitted.transform(part).select("scaled", "area")) for part in (train, test))
+    forest = models.forest_regressor("area")
+    best, _ = tuning.tune(
+        forest,
+        train,
+        tuning.grid({forest.maxDepth: [5], forest.numTrees: [10, 20]}),
+        RegressionEvaluator(labelCol="area"),
+    )
+    return all_reports(
+        {
+            "linear": evaluated(models.linear_regression("area"), train, test, "area"),
+            "forest": rounded(metrics.regression_metrics(best.transform(test), "area")),
+        }
+    )
+
+
+@query("r13_rating_model")
+def r13_ratings(spark, sf_dir):
+    rated = O.drop_missing(V.ratings(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")))
+    train, test = O.hash_split(rated, ["game_id"])
+    stages = [prep.index_strings("nickname", "player"), prep.assemble(["player", "score"]), prep.scale()]
+    _, predicted = prep.fit_predict(prep.build_pipeline(stages, models.linear_regression("rating")), train, test)
+    return rounded(metrics.regression_metrics(predicted, "rating"))
+
+
+@query("r13_duration_report")
+def r13_durations(spark, sf_dir):
+    played = V.games(table(spark, sf_dir, "orders"))
+    train, test = O.hash_split(played, ["game_id"])
+    # The duration is the label and therefore no feature.
+    inputs = ["initial_time_seconds", "increment_seconds", "max_overtime_minutes", "winner_index"]
+    fitted = prep.build_pipeline([prep.index_strings("winner", "winner_index"), prep.assemble(inputs)]).fit(train)
+    train, test = (fitted.transform(part).select("features", "game_duration_seconds") for part in (train, test))
+    train = cut_lineage(train)
+    model = models.linear_regression("game_duration_seconds", "features").fit(train)
+    return models.linear_report(model, test, digits=4)
+
+
+@query(
+    "r13_residuals",
+    """WITH line AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
+                     FROM lineitem)
+       SELECT l_orderkey, round(l_extendedprice - a - b * l_quantity, 2) AS residual FROM lineitem, line""",
+)
+def r13_residuals(spark, sf_dir):
+    rows = prep.assemble(["l_quantity"]).transform(price_rows(spark, sf_dir))
+    fitted = models.linear_regression("price", "features").fit(rows)
+    return models.residuals(fitted.transform(rows), "price").select(
+        "l_orderkey", F.round("residual", 2).alias("residual")
+    )
+
+

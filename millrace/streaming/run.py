@@ -7,13 +7,16 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from millrace.session import new_folder
 
 ONCE: Mapping[str, Any] = {"availableNow": True}
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def stream_files(
     spark: SparkSession,
@@ -59,9 +62,22 @@ def run_stream(
         writer = writer.trigger(**trigger)
     if name:
         writer = writer.queryName(name)
-    if callable(sink):
-        return writer.foreachBatch(sink).start()
-    return writer.format(sink).options(**options).start()
+    writer = writer.foreachBatch(sink) if callable(sink) else writer.format(sink).options(**options)
+    return _start(df.sparkSession, writer)
+
+
+def _start(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+    """Start with state that may outgrow memory, unless the session names a state store itself.
+
+    A query takes its settings along when it starts, so the session's own are put back.
+    """
+    if spark.conf.get(STATE_STORE, ""):
+        return writer.start()
+    spark.conf.set(STATE_STORE, STATE_ON_DISK)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.unset(STATE_STORE)
 
 
 def drain(df: DataFrame, sink: str | Callable[[DataFrame, int], None], **settings: Any) -> StreamingQuery:
