@@ -104,13 +104,17 @@ def correlation(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     "spearman" correlates ranks, equal values sharing their mean rank.
     """
     columns = list(columns)
+    df = df.select(*[F.col(column).cast("double").alias(column) for column in columns])
     if method == "spearman":
-        for column in columns:
-            ranks = average_ranks(df.where(F.col(column).isNotNull()), column, f"_rank_{column}")
-            df = df.join(ranks, column)
+        ranks = average_ranks(df, columns)
+        for place, column in enumerate(columns):
+            own = ranks.where(F.col("place") == place).select(
+                F.col("value").alias(column), F.col("rank").alias(f"_rank_{column}")
+            )
+            df = df.join(own, column)
         inputs = {column: F.col(f"_rank_{column}") for column in columns}
     else:
-        inputs = {column: F.col(column).cast("double") for column in columns}
+        inputs = {column: F.col(column) for column in columns}
     pairs = [(a, b) for n, a in enumerate(columns) for b in columns[n + 1 :]]
     measured = df.agg(*[F.corr(inputs[a], inputs[b]).alias(f"{a}|{b}") for a, b in pairs])
     cells = []

@@ -20,44 +20,80 @@ def running_total(
 
     `weights` maps each new column to the column it sums, the row itself included.
     """
-    # Ranges are fixed once, in a written copy: both uses below see the same partition numbers.
-    placed = cut_lineage(df.repartitionByRange(*order_by).withColumn("_range", F.spark_partition_id()))
-    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    # One row per range, so at most `spark.sql.shuffle.partitions` rows.
-    offsets = (
-        placed.groupBy("_range")
-        .agg(*[F.sum(weight).alias(f"_of_{out}") for out, weight in weights.items()])
-        .select(
-            "_range",
-            *[F.coalesce(F.sum(f"_of_{out}").over(before), F.lit(0)).alias(f"_before_{out}") for out in weights],
-        )
-    )
+    placed, ranges = _ranges(df, order_by, weights)
     inside = W.partitionBy("_range").orderBy(*order_by).rowsBetween(W.unboundedPreceding, 0)
     summed = placed.select(
         "*", *[F.sum(weight).over(inside).alias(f"_in_{out}") for out, weight in weights.items()]
-    ).join(F.broadcast(offsets), "_range")
+    ).join(F.broadcast(ranges), "_range")
     return summed.select(
         *df.columns, *[(F.col(f"_in_{out}") + F.col(f"_before_{out}")).alias(out) for out in weights]
     )
 
 
+def _ranges(
+    df: DataFrame, order_by: Sequence[str | Column], weights: Mapping[str, str]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with the number of their `_range`, and per range its sums and the sums of all before it.
+
+    Ranges are fixed in a written copy, so that every use sees the same numbers. There are at most
+    `spark.sql.shuffle.partitions` of them, which bounds the second table.
+    """
+    placed = cut_lineage(df.repartitionByRange(*order_by).withColumn("_range", F.spark_partition_id()))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    sums = placed.groupBy("_range").agg(*[F.sum(weight).alias(f"_of_{out}") for out, weight in weights.items()])
+    return placed, sums.select(
+        "*", *[F.coalesce(F.sum(f"_of_{out}").over(before), F.lit(0)).alias(f"_before_{out}") for out in weights]
+    )
+
+
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
-    """One row with `q0, q1, …`: the smallest value that at least each share of the rows does not exceed."""
+    """One row with `q0, q1, …`: the smallest value that at least each share of the rows does not exceed.
+
+    Values are counted and placed in ranges; only ranges that hold one of the wanted values are
+    sorted.
+    """
     counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    ranked = cut_lineage(running_total(counted, [column], {"_upto": "_n"}).select(column, "_upto"))
-    ranked = ranked.withColumn("_total", ranked.agg(F.max("_upto")).scalar())
-    reached = [F.col("_upto") >= F.greatest(F.lit(1), F.ceil(F.col("_total") * share)) for share in shares]
-    return ranked.agg(
-        *[F.min(F.when(hit, F.col(column))).alias(f"q{place}") for place, hit in enumerate(reached)]
+    placed, ranges = _ranges(counted, [column], {"upto": "_n"})
+    total = F.sum("_of_upto").over(W.partitionBy())
+    target = F.greatest(F.lit(1), F.ceil(F.col("_total") * F.col("share")))
+    asked = F.array(*[F.struct(F.lit(n).alias("place"), F.lit(float(s)).alias("share")) for n, s in enumerate(shares)])
+    wanted = (
+        ranges.withColumn("_total", total)
+        .select("*", F.inline(asked))
+        .withColumn("_target", target)
+        .where((F.col("_before_upto") < F.col("_target")) & (F.col("_before_upto") + F.col("_of_upto") >= F.col("_target")))
+        .select("_range", "place", "_before_upto", "_target")
+    )
+    inside = W.partitionBy("_range", "place").orderBy(column).rowsBetween(W.unboundedPreceding, 0)
+    reached = (
+        placed.join(F.broadcast(wanted), "_range")
+        .withColumn("_upto", F.col("_before_upto") + F.sum("_n").over(inside))
+        .where(F.col("_upto") >= F.col("_target"))
+    )
+    return reached.agg(
+        *[F.min(F.when(F.col("place") == n, F.col(column))).alias(f"q{n}") for n in range(len(shares))]
     )
 
 
-def average_ranks(df: DataFrame, column: str, out: str = "rank") -> DataFrame:
-    """`column, out`: the rank of each distinct value, equal values sharing the mean of their ranks."""
-    counted = df.groupBy(column).agg(F.count("*").alias("_n"))
-    return running_total(counted, [column], {"_upto": "_n"}).select(
-        column, (F.col("_upto") - (F.col("_n") - 1) / F.lit(2.0)).alias(out)
+def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`place, value, rank` for each distinct value of the numeric column at `place` in `columns`.
+
+    Equal values share the mean of their ranks; missing values have none. All columns are ranked
+    together: values are counted first, and one running total over (place, value) serves them all.
+    """
+    cells = F.array(*[F.struct(F.lit(n).alias("place"), F.col(c).cast("double").alias("value")) for n, c in enumerate(columns)])
+    counted = (
+        df.select(F.explode(cells).alias("cell"))
+        .select("cell.*")
+        .where(F.col("value").isNotNull())
+        .groupBy("place", "value")
+        .agg(F.count("*").alias("_n"))
     )
+    ranked = cut_lineage(running_total(counted, ["place", "value"], {"_upto": "_n"}))
+    # One row per column.
+    firsts = ranked.groupBy("place").agg(F.min(F.col("_upto") - F.col("_n")).alias("_before"))
+    rank = F.col("_upto") - F.col("_before") - (F.col("_n") - 1) / F.lit(2.0)
+    return ranked.join(F.broadcast(firsts), "place").select("place", "value", rank.alias("rank"))
 
 
 def numbered(df: DataFrame, order_by: Sequence[str | Column], out: str) -> DataFrame:

@@ -64,12 +64,12 @@ def view_share(views: DataFrame, chapters: DataFrame, distinct_views: bool = Fal
     Repeated views count each time unless `distinct_views`.
     """
     per_course = chapters.groupBy("course_id").agg(F.count("chapter_id").alias("chapters"))
-    # Repeats of one (user, chapter) are merged before the join, so a popular chapter is carried
-    # once per user and not once per view.
-    seen = views.groupBy("user_id", "chapter_id").agg(F.count("*").alias("times"))
-    times = F.lit(1).cast("bigint") if distinct_views else F.col("times")
+    if distinct_views:
+        views = views.distinct()
     watched = (
-        seen.join(chapters, "chapter_id").groupBy("user_id", "course_id").agg(F.sum(times).alias("watched"))
+        views.join(chapters, "chapter_id")
+        .groupBy("user_id", "course_id")
+        .agg(F.count("chapter_id").alias("watched"))
     )
     return group_ratio(watched, per_course, "course_id", "watched", "chapters", "share")
 

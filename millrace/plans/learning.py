@@ -19,7 +19,7 @@ from millrace.plans import views as V
 from millrace.plans.catalog import query
 from millrace.plans.jobs import measured_trips
 from millrace.plans.tables import TRIP_BOX
-from millrace.session import cut_lineage, new_folder
+from millrace.session import cut_lineage, new_folder, spread
 from millrace.sources import files
 
 table = V.table
@@ -128,12 +128,12 @@ def word_digest(df, column):
 
 @query("m05_regex_tokens", f"WITH {TOKENS_SQL} SELECT {DIGEST_SQL} FROM tokens")
 def m05(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return word_digest(prep.tokenize().transform(documents), "words")
 
 
 def filtered_words(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return prep.remove_stop_words().transform(prep.tokenize().transform(documents)).select("doc_id", "filtered")
 
 
@@ -592,11 +592,13 @@ def r11(spark, sf_dir):
 @query("r12_text_models")
 def r12(spark, sf_dir):
     raw = V.messages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    clean = prep.strip_digits(O.drop_missing(raw))
-    # The rarer class is kept whole and the other one sampled down to its size.
-    balanced = cut_lineage(O.balance(clean, "target", "id", kept=0, sampled=1))
-    words = prep.build_pipeline([prep.tokenize(), prep.remove_stop_words()]).fit(balanced).transform(balanced)
-    train, test = O.hash_split(words.select("id", "filtered", "target"), ["id"])
+    words = prep.remove_stop_words().transform(prep.tokenize().transform(prep.strip_digits(O.drop_missing(raw))))
+    kept = cut_lineage(words.select("id", "filtered", "target"))
+    # The rarer class is kept whole and the other one sampled down to its size. The sample is drawn
+    # from ids alone; the words are read once more for the chosen ones.
+    chosen = O.balance(kept.select("id", "target"), "target", "id", kept=0, sampled=1)
+    balanced = cut_lineage(kept.join(chosen.select("id"), "id", "left_semi"))
+    train, test = O.hash_split(balanced, ["id"])
     roc = BinaryClassificationEvaluator(labelCol="target")
     f1 = MulticlassClassificationEvaluator(labelCol="target", metricName="f1")
     logistic, forest = models.logistic_regression("target"), models.forest_classifier("target")

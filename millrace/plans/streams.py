@@ -52,8 +52,8 @@ def s11(spark, sf_dir):
 # --- topics -----------------------------------------------------------------------------------
 
 
-def stored_topic(spark, sf_dir):
-    """Events as records in the connector's schema (binary key and value), kept in partition order."""
+def store_topic(spark, sf_dir, path):
+    """Keep events as records in the connector's schema (binary key and value), in partition order."""
     rows = V.records(table(spark, sf_dir, "events"))
     encoded = rows.select(
         F.col("key").cast("binary").alias("key"),
@@ -64,7 +64,7 @@ def stored_topic(spark, sf_dir):
         F.col("timestamp").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
-    return topics.write_topic(encoded, new_folder(spark, "topic"))
+    return topics.write_topic(encoded, path)
 
 
 @query(
@@ -72,9 +72,9 @@ def stored_topic(spark, sf_dir):
     f'WITH {V.RECORDS_SQL} SELECT key, value, topic, "partition", "offset", "timestamp" FROM records',
 )
 def s12(spark, sf_dir):
-    stored = stored_topic(spark, sf_dir)
-    folder = stored.inputFiles()[0].rsplit("/", 1)[0]
-    arriving = run.stream_files(spark, folder, schema=stored.schema)
+    path = new_folder(spark, "topic")
+    stored = store_topic(spark, sf_dir, path)
+    arriving = run.stream_files(spark, path, schema=stored.schema)
     decoded = S.decode_records(arriving).drop("timestampType")
     return logs.plain_times(run.result(decoded), "timestamp")
 

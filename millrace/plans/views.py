@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.topics import assign_offsets
+from millrace.session import spread
 from millrace.streaming.run import stream_files
 
 # Names of the five source systems.
@@ -29,7 +30,8 @@ LINES_SQL = "lines AS (SELECT source AS file, unnest(string_split(text, chr(10))
 
 def text_lines(documents: DataFrame) -> DataFrame:
     """`file, value`: one row per line of each document."""
-    return documents.select(F.col("source").alias("file"), F.explode(F.split("text", "\n")).alias("value"))
+    texts = spread(documents.select(F.col("source").alias("file"), "text"))
+    return texts.select("file", F.explode(F.split("text", "\n")).alias("value"))
 
 
 # --- logs and records -------------------------------------------------------------------------

@@ -69,3 +69,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give work per row to all cores when a source comes in fewer pieces than there are cores.
+
+    A table of one file and row group is read by one task. Only such tables are redistributed;
+    one with enough splits, as every large one has, is passed on without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
