@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.order import numbered
 
@@ -70,6 +70,12 @@ def count_terms(
     return CountVectorizer(inputCol=column, outputCol=out, vocabSize=size, minDF=min_docs)
 
 
+def sparse_entries(column: str) -> tuple[Column, Column]:
+    """Places and values of a sparse vector as two arrays, without filling in its zeros."""
+    parts = F.unwrap_udt(column)
+    return parts["indices"], parts["values"]
+
+
 def strip_digits(df: DataFrame, column: str = "text") -> DataFrame:
     return df.withColumn(column, F.regexp_replace(column, "\\d+", ""))
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-BUCKET_ROWS = 65_536
+MIN_BUCKET_ROWS = 65_536
+MAX_BUCKETS = 1_000_000
 
 
 def assign_partition(df: DataFrame, partitions: int, key: str = "key") -> DataFrame:
@@ -12,13 +13,19 @@ def assign_partition(df: DataFrame, partitions: int, key: str = "key") -> DataFr
     return df.withColumn("partition", F.pmod(F.hash(key), F.lit(partitions)).cast("int"))
 
 
-def assign_offsets(df: DataFrame, sequence: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def assign_offsets(df: DataFrame, sequence: str, bucket_rows: int | None = None) -> DataFrame:
     """Consecutive offsets from 0 per `partition`, in the order of the unique integer `sequence`.
 
     A partition may hold most of the rows, so it is never numbered in one task: rows are numbered
-    within buckets of the sequence, and bucket sizes are added up beforehand.
+    within buckets of the sequence, and bucket sizes are added up beforehand. The bucket width is
+    taken from the span of the sequence, so that neither the rows of a bucket nor the buckets
+    exceed about a million each; a sequence with large gaps is better numbered by
+    `millrace.operators.order.numbered` first.
     """
-    bucketed = df.withColumn("_bucket", F.floor(F.col(sequence) / bucket_rows))
+    if bucket_rows is None:
+        low, high = df.agg(F.min(sequence), F.max(sequence)).first()
+        bucket_rows = max(MIN_BUCKET_ROWS, ((high or 0) - (low or 0)) // MAX_BUCKETS + 1)
+    bucketed = df.withColumn("_bucket", F.call_function("div", F.col(sequence), F.lit(bucket_rows)))
     before = W.partitionBy("partition").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         bucketed.groupBy("partition", "_bucket")

@@ -10,7 +10,6 @@ from pyspark.ml.evaluation import (
     RegressionEvaluator,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from millrace.ml import metrics, models, prep, tuning
@@ -144,30 +143,32 @@ def m06(spark, sf_dir):
 
 @query(
     "m07_hashed_term_counts",
-    f"WITH {FILTERED_SQL} SELECT count(*) AS documents, CAST(sum(len(words)) AS DOUBLE) AS terms FROM filtered",
+    f"WITH {FILTERED_SQL} SELECT doc_id, CAST(len(words) AS DOUBLE) AS terms FROM filtered",
 )
 def m07(spark, sf_dir):
-    # Buckets may be shared by several words, but no occurrence may get lost.
-    hashed = prep.hash_terms().transform(filtered_words(spark, sf_dir))
-    summed = hashed.agg(F.count("*").alias("documents"), Summarizer.sum(F.col("features")).alias("sums"))
-    total = F.aggregate(vector_to_array("sums"), F.lit(0.0), lambda a, b: a + b)
-    return summed.select("documents", total.alias("terms"))
+    # Words may share a bucket, but no occurrence may get lost.
+    _, counts = prep.sparse_entries("features")
+    total = F.aggregate(counts, F.lit(0.0), lambda a, b: a + b)
+    return prep.hash_terms().transform(filtered_words(spark, sf_dir)).select("doc_id", total.alias("terms"))
 
 
 @query(
     "m08_vocabulary",
     f"""WITH {FILTERED_SQL}, t AS (SELECT doc_id, unnest(words) AS term FROM filtered),
         c AS (SELECT term, count(*) AS uses, count(DISTINCT doc_id) AS docs FROM t GROUP BY 1)
-        SELECT term, docs FROM c WHERE docs >= 5 QUALIFY row_number() OVER (ORDER BY uses DESC) <= 10000""",
+        SELECT term, docs, uses FROM c WHERE docs >= 5 QUALIFY row_number() OVER (ORDER BY uses DESC) <= 10000""",
 )
 def m08(spark, sf_dir):
-    words = filtered_words(spark, sf_dir)
+    words = cut_lineage(filtered_words(spark, sf_dir))
     fitted = prep.count_terms().fit(words)
-    counts = fitted.transform(words).agg(Summarizer.numNonZeros(F.col("features")).alias("docs"))
     # The vocabulary has at most 10,000 entries by definition.
     terms = spark.createDataFrame(list(enumerate(fitted.vocabulary)), "place INT, term STRING")
-    per_place = counts.select(F.posexplode(vector_to_array("docs")).alias("place", "docs"))
-    return per_place.join(F.broadcast(terms), "place").select("term", F.col("docs").cast("bigint").alias("docs"))
+    places, counts = prep.sparse_entries("features")
+    entries = fitted.transform(words).select(F.inline(F.arrays_zip(places.alias("place"), counts.alias("uses"))))
+    per_place = entries.toDF("place", "uses").groupBy("place").agg(
+        F.count("*").alias("docs"), F.sum("uses").cast("bigint").alias("uses")
+    )
+    return per_place.join(F.broadcast(terms), "place").select("term", "docs", "uses")
 
 
 # --- models -----------------------------------------------------------------------------------

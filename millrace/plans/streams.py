@@ -94,7 +94,7 @@ def s13(spark, sf_dir):
     f'WITH {V.RECORDS_SQL} SELECT "partition", "offset", key FROM records WHERE "offset" < 2',
 )
 def s14_earliest(spark, sf_dir):
-    rows = V.records(table(spark, sf_dir, "events"))
+    rows = V.stored_records(spark, sf_dir)
     return S.read_position(rows, "earliest", limit=2).select("partition", "offset", "key")
 
 
@@ -104,7 +104,7 @@ def s14_earliest(spark, sf_dir):
         WHERE "timestamp" >= TIMESTAMP '2024-01-20 12:00:00'""",
 )
 def s14_time(spark, sf_dir):
-    rows = V.records(table(spark, sf_dir, "events"))
+    rows = V.stored_records(spark, sf_dir)
     return S.read_position(rows, datetime(2024, 1, 20, 12)).select("partition", "offset", "key")
 
 
@@ -114,7 +114,7 @@ def s14_time(spark, sf_dir):
         WHERE "timestamp" >= (SELECT max(ts) FROM events) - INTERVAL 2 DAYS""",
 )
 def s14_period(spark, sf_dir):
-    rows = V.records(table(spark, sf_dir, "events"))
+    rows = V.stored_records(spark, sf_dir)
     return S.read_position(rows, timedelta(days=2)).select("partition", "offset", "key")
 
 
@@ -134,7 +134,7 @@ def committed_offsets(rows):
         JOIN committed USING ("partition") WHERE "offset" >= current_offset - 10""",
 )
 def s14_shift(spark, sf_dir):
-    rows = V.records(table(spark, sf_dir, "events"))
+    rows = V.stored_records(spark, sf_dir)
     return S.read_position(rows, -10, committed=committed_offsets(rows)).select("partition", "offset", "key")
 
 
@@ -165,7 +165,7 @@ def s15_encode(spark, sf_dir):
             max("partition") AS last_partition, CAST(0 AS BIGINT) AS violations FROM records GROUP BY 1""",
 )
 def t15(spark, sf_dir):
-    return topics.order_violations(V.records(table(spark, sf_dir, "events")))
+    return topics.order_violations(V.stored_records(spark, sf_dir))
 
 
 @query("t16_message_key", f"WITH {V.LOG_SQL} SELECT event_id, source AS key FROM log")
@@ -182,7 +182,7 @@ def t16(spark, sf_dir):
           USING ("partition")""",
 )
 def t17(spark, sf_dir):
-    rows = V.records(table(spark, sf_dir, "events"))
+    rows = V.stored_records(spark, sf_dir)
     return topics.group_lag(rows, committed_offsets(rows))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.topics import assign_offsets
-from millrace.session import spread
+from millrace.session import cut_lineage, spread
 from millrace.streaming.run import stream_files
 
 # Names of the five source systems.
@@ -91,6 +91,11 @@ def records(events: DataFrame) -> DataFrame:
     )
 
 
+def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic as it is kept: offsets are given once, when records are written."""
+    return cut_lineage(records(table(spark, sf_dir, "events")))
+
+
 def event_stream(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     """The events table as a stream, its time ready for a watermark; optionally some kinds only."""
     schema = table(spark, sf_dir, "events").schema

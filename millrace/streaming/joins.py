@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -41,8 +41,11 @@ def interval_join(
         left = left.withWatermark(left_time, left_delay)
     if right_delay:
         right = right.withWatermark(right_time, right_delay)
-    width = seconds(within)
-    slice_of = lambda column: F.floor(F.unix_micros(F.col(column).cast("timestamp")) / (width * 1_000_000))
+    width = F.lit(seconds(within) * 1_000_000)
+
+    def slice_of(column: str) -> Column:
+        return F.call_function("div", F.unix_micros(F.col(column).cast("timestamp")), width)
+
     left = left.withColumn("_slice", slice_of(left_time))
     renamed = {key: f"_right_{key}" for key in keys}
     right = right.withColumnsRenamed(renamed).withColumn(
