@@ -127,7 +127,7 @@ SLIDING_SQL = f"""WITH {V.LOG_SQL}, b AS (SELECT level, source, time_bucket(INTE
 
 @query("r08_log_report_batch", SLIDING_SQL)
 def r08(spark, sf_dir):
-    parsed = logs.parse_log(V.log_lines(table(spark, sf_dir, "events")))
+    parsed = logs.parse_log(V.stored_lines(spark, sf_dir))
     counted = logs.windowed_counts(parsed, "10 minutes", "5 minutes", ["source", "level"])
     return logs.plain_times(logs.ordered_report(counted, "source", "level"), "start", "end")
 

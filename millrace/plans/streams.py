@@ -215,7 +215,7 @@ def r07(spark, sf_dir):
 
 @query("t02_parse_log", f"WITH {V.LOG_SQL} SELECT event_id, level, source, ts AS event_time FROM log")
 def t02(spark, sf_dir):
-    parsed = logs.parse_log(V.log_lines(table(spark, sf_dir, "events")), keep=["event_id"])
+    parsed = logs.parse_log(V.stored_lines(spark, sf_dir), keep=["event_id"])
     return logs.plain_times(parsed, "event_time")
 
 

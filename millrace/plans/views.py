@@ -72,6 +72,11 @@ def log_lines(events: DataFrame) -> DataFrame:
     return events.select("event_id", "user_id", "ts", line.alias("value"))
 
 
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines of the whole events table."""
+    return log_lines(spread(table(spark, sf_dir, "events")))
+
+
 def keyed_lines(events: DataFrame) -> DataFrame:
     """Log lines with their key and partition, without offsets; works on a stream."""
     return log_lines(events).select(

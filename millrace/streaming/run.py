@@ -14,6 +14,8 @@ from millrace.session import new_folder
 
 ONCE: Mapping[str, Any] = {"availableNow": True}
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+STORES_PER_CORE = 2
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -67,17 +69,28 @@ def run_stream(
 
 
 def _start(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
-    """Start with state that may outgrow memory, unless the session names a state store itself.
+    """Start with settings fit for state, then put the session's own back.
 
-    A query takes its settings along when it starts, so the session's own are put back.
+    State may outgrow memory, so it is kept on disk unless the session names a state store itself.
+    Stateful operators are not re-planned at run time and open a store per partition. On a single
+    machine, whose cores are known, more than a few per core add stores but no parallelism; on a
+    cluster `spark.sql.shuffle.partitions` stands as it is. A query takes the settings along when
+    it starts, and a restarted one those of its checkpoint.
     """
-    if spark.conf.get(STATE_STORE, ""):
-        return writer.start()
-    spark.conf.set(STATE_STORE, STATE_ON_DISK)
+    wanted = {}
+    if not spark.conf.get(STATE_STORE, ""):
+        wanted[STATE_STORE] = STATE_ON_DISK
+    most = STORES_PER_CORE * spark.sparkContext.defaultParallelism
+    if spark.sparkContext.master.startswith("local") and int(spark.conf.get(PARTITIONS)) > most:
+        wanted[PARTITIONS] = str(most)
+    before = {key: spark.conf.get(key, "") for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         return writer.start()
     finally:
-        spark.conf.unset(STATE_STORE)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
 
 
 def drain(df: DataFrame, sink: str | Callable[[DataFrame, int], None], **settings: Any) -> StreamingQuery:
