@@ -272,17 +272,28 @@ def m16(spark, sf_dir):
     return classified(models.linear_svm("fraud"), *split_payments(spark, sf_dir), "fraud")
 
 
-@query("m17_fit_transform")
-def m17(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_returnflag", *NUMBERS, F.col("l_extendedprice").alias("price")
-    )
-    train, test = O.hash_split(rows, ["l_orderkey"])
-    stages = [prep.index_strings("l_returnflag", "flag"), prep.assemble(["flag", *NUMBERS]), prep.scale()]
+LINE_SQL = f"""line AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b,
+  regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem WHERE {SPLIT_SQL})"""
+
+
+def line_predictions(spark, sf_dir):
+    """Prices of the test rows from a pipeline fitted to the training rows, on the scaled quantity."""
+    train, test = O.hash_split(price_rows(spark, sf_dir), ["l_orderkey"])
+    stages = [prep.assemble(["l_quantity"]), prep.scale()]
     _, predicted = prep.fit_predict(
         prep.build_pipeline(stages, models.linear_regression("price")), train, test
     )
-    return predicted.select("l_orderkey", "price", F.round("prediction", 4).alias("prediction"))
+    return predicted
+
+
+@query(
+    "m17_fit_transform",
+    f"""WITH {LINE_SQL} SELECT l_orderkey, l_extendedprice AS price, round(a + b * l_quantity, 3) AS prediction
+        FROM lineitem, line WHERE NOT {SPLIT_SQL}""",
+)
+def m17(spark, sf_dir):
+    predicted = line_predictions(spark, sf_dir)
+    return predicted.select("l_orderkey", "price", F.round("prediction", 3).alias("prediction"))
 
 
 @query("m19_cross_validation")
@@ -465,17 +476,20 @@ RANKS_SQL = ", ".join(
     ),
 )
 def m29(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select(*CORRELATED)
+    rows = spread(table(spark, sf_dir, "lineitem").select(*CORRELATED))
     return rounded(metrics.correlation(rows, CORRELATED, "spearman"))
 
 
-@query("m30_write_predictions")
+@query(
+    "m30_write_predictions",
+    f"""WITH {LINE_SQL} SELECT l_orderkey AS id, round(a + b * l_quantity, 3) AS prediction
+        FROM lineitem, line WHERE NOT {SPLIT_SQL}""",
+)
 def m30(spark, sf_dir):
-    train, test = split_prices(spark, sf_dir)
-    predicted = models.linear_regression("price").fit(train).transform(test)
     path = new_folder(spark, "predictions")
-    files.write_csv(predicted.select("l_orderkey", "prediction"), path)
-    return files.read_csv(spark, path, "id BIGINT, prediction DOUBLE", header=False)
+    files.write_csv(line_predictions(spark, sf_dir).select("l_orderkey", "prediction"), path)
+    written = files.read_csv(spark, path, "id BIGINT, prediction DOUBLE", header=False)
+    return written.select("id", F.round("prediction", 3).alias("prediction"))
 
 
 # --- jobs -------------------------------------------------------------------------------------

@@ -142,3 +142,25 @@ def test_stream_static_right_join_side(spark, tmp_path):
 
 def test_interval_lengths():
     assert joins.seconds("90 seconds") == 90 and joins.seconds("1 hour") == 3600 and joins.seconds("2 days") == 172800
+
+
+def test_text_and_csv_streams(spark, tmp_path):
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "a.txt").write_text(
+        "ERROR web 2022-12-01 10:07:00.5 This is message 1\nINFO web 2022-12-01 10:08:00 This is message 2\n"
+    )
+    lines = run.stream_files(spark, str(tmp_path / "logs"), "text")
+    parsed = run.result(logs.parse_log(lines))
+    assert sorted((r["level"], r["event_time"].minute) for r in parsed.collect()) == [("ERROR", 7), ("INFO", 8)]
+    one = run.stream_files(spark, str(tmp_path / "logs" / "a.txt"), "text")
+    assert run.result(one).count() == 2
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "m.csv").write_text("ERROR,0,2022-12-01,10:07:00,hello\nWARN,4,2022-12-01,10:09:00,\n")
+    schema = "loglevel STRING, source INT, day STRING, time STRING, message STRING"
+    messages = run.stream_files(spark, str(tmp_path / "csv"), "csv", schema, header=False)
+    timed = messages.select(
+        F.col("loglevel").alias("level"),
+        F.concat_ws(" ", "day", "time").cast("timestamp").alias("event_time"),
+    )
+    bands = run.result(logs.band_counts(timed, "5 minutes"), "complete")
+    assert [(r["low"], r["high"]) for r in bands.collect()] == [(1, 1)]
