@@ -8,6 +8,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
     PCA,
     CountVectorizer,
+    CountVectorizerModel,
     HashingTF,
     MinMaxScaler,
     RegexTokenizer,
@@ -70,6 +71,31 @@ def count_terms(
     return CountVectorizer(inputCol=column, outputCol=out, vocabSize=size, minDF=min_docs)
 
 
+def frequent_terms(
+    df: DataFrame, id_column: str, column: str = "filtered", size: int = 10_000, min_docs: int = 5
+) -> list[str]:
+    """The terms `count_terms` keeps, with ties at the limit decided by name; at most `size` of them."""
+    return [
+        row["term"]
+        for row in df.select(id_column, F.explode(column).alias("term"))
+        .groupBy(id_column, "term")
+        .agg(F.count("*").alias("uses"))
+        .groupBy("term")
+        .agg(F.sum("uses").alias("uses"), F.count("*").alias("docs"))
+        .where(F.col("docs") >= min_docs)
+        .orderBy(F.desc("uses"), "term")
+        .limit(size)
+        .collect()
+    ]
+
+
+def count_known_terms(
+    terms: Sequence[str], column: str = "filtered", out: str = "features"
+) -> CountVectorizerModel:
+    """Counts of the given terms, without a fit."""
+    return CountVectorizerModel.from_vocabulary(list(terms), inputCol=column, outputCol=out)
+
+
 def sparse_entries(column: str) -> tuple[Column, Column]:
     """Places and values of a sparse vector as two arrays, without filling in its zeros."""
     parts = F.unwrap_udt(column)

@@ -156,13 +156,14 @@ def m07(spark, sf_dir):
     "m08_vocabulary",
     f"""WITH {FILTERED_SQL}, t AS (SELECT doc_id, unnest(words) AS term FROM filtered),
         c AS (SELECT term, count(*) AS uses, count(DISTINCT doc_id) AS docs FROM t GROUP BY 1)
-        SELECT term, docs, uses FROM c WHERE docs >= 5 QUALIFY row_number() OVER (ORDER BY uses DESC) <= 10000""",
+        SELECT term, docs, uses FROM c WHERE docs >= 5 ORDER BY uses DESC, term LIMIT 10000""",
 )
 def m08(spark, sf_dir):
     words = cut_lineage(filtered_words(spark, sf_dir))
-    fitted = prep.count_terms().fit(words)
+    vocabulary = prep.frequent_terms(words, "doc_id")
+    fitted = prep.count_known_terms(vocabulary)
     # The vocabulary has at most 10,000 entries by definition.
-    terms = spark.createDataFrame(list(enumerate(fitted.vocabulary)), "place INT, term STRING")
+    terms = spark.createDataFrame(list(enumerate(vocabulary)), "place INT, term STRING")
     places, counts = prep.sparse_entries("features")
     entries = fitted.transform(words).select(F.inline(F.arrays_zip(places.alias("place"), counts.alias("uses"))))
     per_place = entries.toDF("place", "uses").groupBy("place").agg(

@@ -101,3 +101,32 @@ def test_linear_report_tells_training_and_test_apart(spark):
         models.linear_regression("y", "features").fit(train), test).collect()}
     assert report[("model", "coefficient_0")] == 2.0 and report[("model", "intercept")] == 1.0
     assert report[("train", "rmse")] == 0.0 and report[("test", "rmse")] == 1.0
+
+
+def test_frequent_terms_are_those_of_the_vectorizer(spark):
+    draw = random.Random(8)
+    rows = [(n, [f"w{int(draw.random() ** 2 * 30)}" for _ in range(20)]) for n in range(60)]
+    frame = spark.createDataFrame(rows, "id INT, filtered ARRAY<STRING>").repartition(4)
+    fitted = prep.count_terms(min_docs=20.0).fit(frame)
+    terms = prep.frequent_terms(frame, "id", min_docs=20)
+    assert set(terms) == set(fitted.vocabulary) and 0 < len(terms) < 30
+    assert prep.frequent_terms(frame, "id", size=3, min_docs=1) == terms[:3]
+    places, counts = prep.sparse_entries("features")
+    counted = prep.count_known_terms(terms).transform(frame).select("id", places.alias("p"), counts.alias("c"))
+    by_id = dict(rows)
+    for row in counted.collect():
+        assert {terms[p]: c for p, c in zip(row["p"], row["c"])} == {
+            t: by_id[row["id"]].count(t) for t in set(by_id[row["id"]]) & set(terms)
+        }
+
+
+def test_components_project_like_the_eigenvectors(spark):
+    import numpy
+
+    draw = random.Random(2)
+    points = numpy.array([[draw.random(), draw.random() * 3, draw.random() * 0.2] for _ in range(80)])
+    frame = spark.createDataFrame([(Vectors.dense(p),) for p in points.tolist()], ["scaled"])
+    got = numpy.array([r["reduced"].toArray() for r in prep.reduce(2).fit(frame).transform(frame).collect()])
+    _, vectors = numpy.linalg.eigh(numpy.cov(points.T))
+    expected = points @ vectors[:, ::-1][:, :2]
+    assert numpy.allclose(numpy.abs(got), numpy.abs(expected), atol=1e-8)
