@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import named, scalars as X
-from millrace.operators import reports, tables as O, text
+from millrace.operators import reports, text
 from millrace.plans import views as V
 from millrace.plans.catalog import query
-from millrace.session import new_folder
 from millrace.sources import files
 
 table = V.table

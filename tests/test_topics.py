@@ -53,10 +53,13 @@ def test_same_key_same_partition_and_order(spark, tmp_path):
     )
     # Each file holds an unbroken run of a partition's offsets.
     assert parts.where("hi - lo + 1 != n").count() == 0
-    wrong = stored.withColumn("timestamp", F.when(F.col("seq") == 500, F.lit("2000-01-01").cast("timestamp_ntz")).otherwise(F.col("timestamp")))
+    early = F.lit("2000-01-01").cast("timestamp_ntz")
+    wrong = stored.withColumn("timestamp", F.when(F.col("seq") == 500, early).otherwise(F.col("timestamp")))
     assert topics.order_violations(wrong).agg(F.sum("violations")).first()[0] == 1
 
 
 def test_listing_shows_missing_keys(spark):
-    frame = spark.createDataFrame([(0, 0, None, "Plot"), (0, 1, "genre", "[rts]")], "partition INT, offset BIGINT, key STRING, value STRING")
+    frame = spark.createDataFrame(
+        [(0, 0, None, "Plot"), (0, 1, "genre", "[rts]")], "partition INT, offset BIGINT, key STRING, value STRING"
+    )
     assert [r["line"] for r in topics.key_value_listing(frame).orderBy("offset").collect()] == ["null:Plot", "genre:[rts]"]
