@@ -71,3 +71,30 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     done = remove_repeated_spans(table(spark, sf_dir, "documents"))
     return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+OP2_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.e, v.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank",
+       vec_id, score
+FROM s QUALIFY "rank" <= 5"""
+
+
+@query("op2_exact_top_k", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.topk import top_inner_products
+
+    return top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
