@@ -98,3 +98,32 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.pieces import SPACE, decode, encode
+
+    ids = table(spark, sf_dir, "documents").select("doc_id", "text", encode(spark, F.col("text")).alias("ids"))
+    back = ids.select("doc_id", "text", "ids", decode(spark, F.col("ids")).alias("decoded"))
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.translate("text", SPACE, " ")).alias("round_trip"),
+        "ids",
+    )
+
+
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
