@@ -127,3 +127,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.toxicity import toxicity
 
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.language import languages
+
+    return languages(table(spark, sf_dir, "documents"))

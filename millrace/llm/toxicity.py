@@ -1,7 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; every other training text, labelled or not, is unlabelled.
-The classifier is linear over the share of hashed words of a text. With the class prior p, loss l
+Confirmed toxic texts are the positives; texts drawn from all training documents, their
+labels unread, are the unlabelled.
+The classifier is linear over the hashed words and stems present in a text. With the class prior p, loss l
 and scores g the risk is p E_P[l(g)] + max(0, E_U[l(-g)] - p E_P[l(-g)]): the unlabelled loss less
 the part that toxic texts among them cause, never below zero. Where a batch drives that part
 under zero, the step goes the other way, so that the classifier does not overfit the positives.
@@ -22,7 +23,11 @@ POSITIVES = 4_000
 UNLABELLED = 12_000
 TRAIN_BYTES = 8_192
 _BITS = 18
-_FEATURES = 2_048
+_FEATURES = 512
+_STEM = 5
+_LEAST_TEXTS = 3
+_LEAST_LIFT = 2.0
+_LEAST_SIGMA = 5.0
 _SLICE = 1 << 18
 
 
@@ -41,11 +46,13 @@ _LOWER = _letters()
 
 
 def word_buckets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hashed word of every word of a slice."""
+    """Row and hash of every word of a slice, and of its stem, the first few bytes."""
     low = _LOWER[data]
     starts, ends, rows = word_bounds(low, bounds)
-    names = Names(BYTE_VALUES[0][low]).of(starts, ends)
-    return rows, (mixed(names) >> np.uint64(64 - _BITS)).astype(np.int64)
+    names = Names(BYTE_VALUES[0][low])
+    stems = np.minimum(ends, starts + _STEM)
+    both = np.r_[names.of(starts, ends), names.of(starts, stems) ^ np.uint64(0xA5A5A5A5)]
+    return np.r_[rows, rows], (mixed(both) >> np.uint64(64 - _BITS)).astype(np.int64)
 
 
 @dataclass
@@ -85,12 +92,26 @@ def _dense(texts: list[bytes], column: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
+def distinct(texts: list[bytes]) -> list[bytes]:
+    """Training texts without most copies and near-copies: the first of those that share the least
+    hash of their words under each of two orders. Else words of one much-copied text look telling."""
+    rows, buckets = _presence(texts)
+    least = []
+    for salt in (11, 12):
+        order = np.full(len(texts), np.iinfo(np.uint64).max, dtype=np.uint64)
+        np.minimum.at(order, rows, mixed(buckets.astype(np.uint64) * np.uint64(2 * salt + 1) + np.uint64(salt)))
+        least.append(order)
+    _, first = np.unique(np.stack(least), axis=1, return_index=True)
+    return [texts[i] for i in np.sort(first)]
+
+
 def train(positives: list[bytes], unlabelled: list[bytes], prior: float, rounds: int = 200, seed: int = 5) -> Model:
     """Fit by Adam on the non-negative risk with the logistic loss.
 
     Without positives or unlabelled texts there is nothing to learn: every score is the prior.
     """
     prior = min(max(prior, 0.001), 0.9)
+    positives, unlabelled = distinct(positives), distinct(unlabelled)
     flat = Model(np.zeros(1 << _BITS), float(np.log(prior / (1 - prior))))
     if not positives or not unlabelled:
         return flat
@@ -100,10 +121,12 @@ def train(positives: list[bytes], unlabelled: list[bytes], prior: float, rounds:
         counts.append(np.bincount(buckets, minlength=1 << _BITS))
     share_p = (counts[0] + 0.5) / (len(positives) + 1)
     share_u = (counts[1] + 0.5) / (len(unlabelled) + 1)
-    # How far a word's share among positives is beyond chance: the features that can tell at all.
-    strength = (share_p - share_u) * np.sqrt(len(positives)) / np.sqrt(share_u * (1 - share_u).clip(1e-9))
-    chosen = np.argsort(-np.abs(strength), kind="stable")[:_FEATURES]
-    chosen = chosen[np.abs(strength[chosen]) > 4.0]
+    # Words that stand in toxic texts mostly, by the prior, and more often than chance explains.
+    chance = np.sqrt(share_u * (1 - share_u) / len(positives)).clip(1e-9)
+    strength = (share_p - share_u) / chance
+    strength[(counts[0] < _LEAST_TEXTS) | (share_p < _LEAST_LIFT * share_u)] = 0
+    chosen = np.argsort(-strength, kind="stable")[:_FEATURES]
+    chosen = chosen[strength[chosen] > _LEAST_SIGMA]
     if not len(chosen):
         return flat
     column = np.full(1 << _BITS, -1, dtype=np.int64)
@@ -134,16 +157,15 @@ def train(positives: list[bytes], unlabelled: list[bytes], prior: float, rounds:
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    """Learn from training rows only: at most `positives` toxic texts and `unlabelled` others.
+    """Learn from training rows only: at most `positives` toxic texts and `unlabelled` texts of any kind.
 
-    The class prior is the share of toxic among all labelled training rows.
+    The unlabelled texts are drawn from all training documents, their labels unread, so that the
+    class prior, the share of toxic among all labelled training rows, holds for them.
     """
     known = labelled(docs, labels)
     shares = known.where(trainable(F.col("doc_id")) & F.col("_toxic").isNotNull()).agg(F.avg("_toxic")).first()[0]
     toxic = sample(known.where("_toxic = 1"), F.lit(1), positives, TRAIN_BYTES)
-    marked = labels.where("toxic = 1").select(F.col("doc_id").cast("bigint").alias("_key")).distinct()
-    rest = docs.join(marked, docs["doc_id"].cast("bigint") == marked["_key"], "left_anti")
-    others = sample(rest, F.lit(0), unlabelled, TRAIN_BYTES)
+    others = sample(docs, F.lit(0), unlabelled, TRAIN_BYTES)
     return train([t for _, t in toxic], [t for _, t in others], float(shares or 0.0))
 
 
