@@ -134,3 +134,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.language import languages
 
     return languages(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+c AS (SELECT doc_id, l, list_transform(l, lambda x: length(x) + 1) AS n FROM d),
+p AS (SELECT doc_id, l, n, unnest(generate_series(1, len(l))) AS i FROM c),
+k AS (SELECT doc_id, l, i, w FROM p, (VALUES (1), (2), (4), (8), (16), (32), (64)) v(w)
+      WHERE i + w - 1 <= len(l) AND list_sum(n[i : i + w - 1]) >= 40
+      QUALIFY w = min(w) OVER (PARTITION BY doc_id, i)),
+t AS (SELECT doc_id, i, w, array_to_string(l[i : i + w - 1], chr(10)) AS s FROM k),
+later AS (SELECT doc_id, i, w FROM t
+          QUALIFY row_number() OVER (PARTITION BY w, s ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + w - 1)) AS i FROM later),
+runs AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE fresh) AS n_runs
+         FROM (SELECT doc_id, i <> 1 + coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -9) AS fresh FROM gone)
+         GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(l[i], chr(10) ORDER BY i) AS t FROM p ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs,
+       CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS kept_sha256
+FROM documents LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op3_line_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.lines import remove_repeated_lines
+
+    done = remove_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), report="found")
+    return done.select("doc_id", "found.*", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op7_benchmark_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.decontamination import contaminated
+
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("_id").alias("doc_id"), "item_id", "n_windows")
