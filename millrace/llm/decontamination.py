@@ -6,8 +6,8 @@ hash-joined with those of the benchmark, and the values in the slots of all wind
 alignment must map one to one, so that a question asked again with other values is caught and a
 chance likeness is not. DataFrame functions only.
 
-Every window of 13 tokens holds a window of 10 that starts at a multiple of 4; so texts are first
-joined by those, a quarter of the rows, and only texts that meet a benchmark item go on.
+Every window of 13 tokens holds one of 7 that starts at a multiple of 7; so texts are first joined
+by those, a seventh of the rows, and only texts that meet a benchmark item go on.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ from millrace.llm.lines import fresh
 WINDOW_TOKENS = 13
 MIN_LITERALS = 7
 BROADCAST_ROWS = 200_000
-_STRIDE = 4
 
 # Placeholders (private-use characters, which no token keeps), patterns, units.
 NUMBER, NAME, UNIT = "", "", ""
 NUMBERS = r"[0-9]+(?:[.,:/][0-9]+)*"
-NAMES = r"([^.!?:\s]\s{1,3})(\p{Lu}[\p{L}\p{N}'’-]*(?:\s{1,3}\p{Lu}[\p{L}\p{N}'’-]*)*)"
+# A name follows a space after anything but the end of a sentence; neighbouring names are one.
+NAMES = r"\s(?<![.!?:\s]\s)\s{0,2}(\p{Lu}[\p{L}\p{N}'’-]*(?:\s{1,3}\p{Lu}[\p{L}\p{N}'’-]*)*)"
+BREAKS = r"[\s\p{Punct}]+"
 UNITS = (
     "mm cm m km in inch inches ft feet yd yards mi miles mg g kg lb lbs oz grams kilograms pounds ml l liters litres "
     "gallons s sec seconds min minutes h hr hours days weeks months years percent dollars euros cents degrees mph kmh kph"
@@ -35,23 +36,23 @@ UNITS = (
 def marked(text: Column) -> Column:
     """Text with placeholders for names and numbers, values gone."""
     plain = F.translate(text, NUMBER + NAME + UNIT, "   ")
-    named = F.regexp_replace(plain, NAMES, f"$1{NAME}")
+    named = F.regexp_replace(plain, NAMES, f" {NAME}")
     return F.regexp_replace(named, NUMBERS, f" {NUMBER} ")
 
 
 def tokens(text: Column) -> Column:
     """Template tokens of a text; no tokens for null or blank."""
-    words = F.trim(F.regexp_replace(F.lower(marked(text)), rf"[^\p{{L}}{NUMBER}{NAME}]+", " "))
-    units = F.regexp_replace(words, rf"{NUMBER} (?:{'|'.join(UNITS)})(?![^ ])", f"{NUMBER} {UNIT}")
-    return F.filter(F.split(F.coalesce(units, F.lit("")), " "), lambda t: t != "")
+    low = F.lower(marked(F.coalesce(text, F.lit(""))))
+    units = F.regexp_replace(low, rf"{NUMBER}\s{{1,3}}(?:{'|'.join(UNITS)})(?![^\s\p{{Punct}}])", f"{NUMBER} {UNIT}")
+    return F.array_remove(F.split(units, BREAKS), "")
 
 
 def slot_values(text: Column) -> tuple[Column, Column]:
     """Values of the name slots and of the number slots of a text, in order."""
     plain = F.translate(text, NUMBER + NAME + UNIT, "   ")
-    named = F.regexp_replace(plain, NAMES, f"$1{NAME}")
+    named = F.regexp_replace(plain, NAMES, f" {NAME}")
     return (
-        F.regexp_extract_all(plain, F.lit(NAMES), F.lit(2)),
+        F.regexp_extract_all(plain, F.lit(NAMES), F.lit(1)),
         F.regexp_extract_all(named, F.lit(NUMBERS), F.lit(0)),
     )
 
@@ -135,10 +136,10 @@ def contaminated(
         ),
         "items",
     )
-    inner = max(1, size - _STRIDE + 1)
+    inner = (size + 1) // 2
     keys = items.select(F.explode(_hashes(F.col("_tokens"), inner)).alias("_hash")).distinct()
     meeting = cut(
-        rows.select("_id", "_th", F.explode(_hashes(tokens(F.col("_text")), inner, _STRIDE)).alias("_hash"))
+        rows.select("_id", "_th", F.explode(_hashes(tokens(F.col("_text")), inner, size - inner + 1)).alias("_hash"))
         .join(_small(keys, BROADCAST_ROWS), "_hash", "left_semi")
         .select("_id", "_th")
         .distinct(),
