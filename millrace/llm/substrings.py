@@ -1,11 +1,13 @@
 """Removal of word spans that an earlier document holds: a De Bruijn graph of word windows.
 
-An edge is a window of `size` words (its ends are the nodes of size - 1 words). Edges are dealt out
-in paths: neighbouring edges that share their least middle word form one unbranched stretch, and
-one row with the words around that word stands for all of it. Spark counts those rows first; only
-paths whose middle lies in two documents are unfolded into edges, which are joined to find the
+An edge is a window of `size` words (its ends are the nodes of size - 1 words). Edges are compacted
+to paths: neighbouring edges that share their least middle word form one unbranched stretch, and
+one row stands for all of it. Spark joins decide paths first: those whose core (the words around
+the least one, which all edges of the path hold) lies in one document are unique; a path that an
+earlier document holds whole goes whole. Only where paths branch, that is where one core lies in
+different paths, the first copy of each is unfolded into edges, which are joined to find the
 smallest document that holds each. The texts themselves (the coordinates) settle which words the
-edges of a document cover. Nothing is sampled: a window always holds the middle of its path.
+paths and edges of a document cover. Nothing is sampled: a window always holds its core.
 """
 
 from __future__ import annotations
@@ -37,14 +39,29 @@ class WordWindows:
         first = np.arange(max(0, last + 1))
         self.first = first[self.rows[: len(first)] == self.rows[size - 1 :][: len(first)]]
         margin = min(_MARGIN, (size - 1) // 2)
+        least = np.empty(0, np.int64)
         if len(self.first):
             least = least_places(mixed(words), size - 2 * margin)[self.first + margin]
-            self.middle = self.names.of(least - margin, least + margin + 1) >> _KEY_SHIFT
-        else:
-            self.middle = np.empty(0, np.uint64)
-
-    def edges(self, which=slice(None)) -> tuple[np.ndarray, np.ndarray]:
-        at = self.first[which]
+        row = self.rows[self.first]
+        # Paths: neighbouring windows of a row with the same least middle word.
+        new = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (row[1:] != row[:-1])][: len(least)])
+        self.path_rows = row[new]
+        self.path_first = self.first[new]
+        self.path_size = np.diff(np.r_[new, len(least)])
+        self.cores = self.names.of(least[new] - margin, least[new] + margin + 1) >> _KEY_SHIFT
+
+    def paths(self) -> tuple[np.ndarray, np.ndarray]:
+        """Names of all words that the windows of each path cover."""
+        start, end = self.path_first, self.path_first + self.path_size + self.size - 1
+        return self.names.of(start, end), self.checks.of(start, end) >> np.uint64(32)
+
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Path and first word of the windows of the paths `which`."""
+        of = np.repeat(which, self.path_size[which])
+        many = self.path_size[which]
+        return of, self.path_first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+
+    def edges(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.names.of(at, at + self.size), self.checks.of(at, at + self.size) >> np.uint64(32)
 
 
@@ -73,15 +90,28 @@ def longs(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64, copy=False).view(np.int64))
 
 
+def _cores(size: int):
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for part, data, bounds in slices(batches, "_text"):
+            windows = WordWindows(data, bounds, size)
+            if len(windows.cores):
+                yield pa.RecordBatch.from_arrays(
+                    [take_ids(part, windows.path_rows), longs(windows.cores)], names=["_id", "_core"]
+                )
+
+    return run
+
+
 def _paths(size: int):
     def run(batches) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in slices(batches, "_text"):
             windows = WordWindows(data, bounds, size)
-            if len(windows.first):
-                rows = windows.rows[windows.first]
-                order = np.flatnonzero(np.r_[True, (windows.middle[1:] != windows.middle[:-1]) | (rows[1:] != rows[:-1])])
+            some = np.flatnonzero(among(windows.path_rows, windows.cores, part.column(2)))
+            if len(some):
+                names, checks = windows.paths()
                 yield pa.RecordBatch.from_arrays(
-                    [take_ids(part, rows[order]), longs(windows.middle[order])], names=["_id", "_path"]
+                    [take_ids(part, windows.path_rows[some]), longs(windows.cores[some]), longs(names[some]), longs(checks[some])],
+                    names=["_id", "_core", "_path", "_check"],
                 )
 
     return run
@@ -91,13 +121,12 @@ def _edges(size: int):
     def run(batches) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in slices(batches, "_text"):
             windows = WordWindows(data, bounds, size)
-            rows = windows.rows[windows.first]
-            kept = np.flatnonzero(among(rows, windows.middle, part.column(2)))
-            if len(kept):
-                names, checks = windows.edges(kept)
+            some = np.flatnonzero(among(windows.path_rows, windows.paths()[0], part.column(2)))
+            of, at = windows.windows(some)
+            if len(of):
+                names, checks = windows.edges(at)
                 yield pa.RecordBatch.from_arrays(
-                    [take_ids(part, rows[kept]), longs(names), pa.array(checks.astype(np.int64))],
-                    names=["_id", "_edge", "_check"],
+                    [take_ids(part, windows.path_rows[of]), longs(names), longs(checks)], names=["_id", "_edge", "_check"]
                 )
 
     return run
@@ -109,8 +138,11 @@ def _removed(size: int):
             windows = WordWindows(data, bounds, size)
             n = len(windows.rows)
             change = np.zeros(n + 1, dtype=np.int64)
-            rows = windows.rows[windows.first]
-            hit = windows.first[among(rows, windows.edges()[0], part.column(2))]
+            whole = among(windows.path_rows, windows.paths()[0], part.column(2))
+            _, hit = windows.windows(np.flatnonzero(whole))
+            single = np.isin(windows.path_rows, listed(part.column(3))[0]) & ~whole
+            of, at = windows.windows(np.flatnonzero(single))
+            hit = np.r_[hit, at[among(windows.path_rows[of], windows.edges(at)[0], part.column(3))]]
             np.add.at(change, hit, 1)
             np.add.at(change, hit + size, -1)
             kept = np.cumsum(change[:-1]) == 0
@@ -130,19 +162,34 @@ def _removed(size: int):
 
 
 def repeated_windows(docs: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """`_id, _edges`: per document id, the names of its windows that start in a smaller id too."""
-    paths = cut(docs.mapInArrow(_paths(size), "_id bigint, _path bigint"), "paths")
-    shared = (
-        paths.groupBy("_path").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high")).where("_low < _high")
+    """`_id, _whole, _single`: names of the paths and of the single windows of an id that a smaller id holds."""
+    cores = cut(docs.mapInArrow(_cores(size), "_id bigint, _core bigint"), "cores")
+    shared = cores.groupBy("_core").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high")).where("_low < _high")
+    wanted = cores.join(shared.select("_core"), "_core").groupBy("_id").agg(F.collect_set("_core").alias("_cores"))
+    paths = cut(
+        docs.join(cut(wanted, "wanted"), "_id").mapInArrow(
+            _paths(size), "_id bigint, _core bigint, _path bigint, _check bigint"
+        ),
+        "paths",
     )
-    wanted = paths.join(shared.select("_path"), "_path").groupBy("_id").agg(F.collect_set("_path").alias("_paths"))
-    wanted = cut(wanted, "wanted")
+    key = ["_core", "_path", "_check"]
+    kinds = cut(paths.groupBy(*key).agg(F.min("_id").alias("_low")), "kinds")
+    # Where all copies of a core lie in one kind of path its first copy has nothing earlier.
+    branched = kinds.groupBy("_core").count().where("count > 1").select("_core")
+    asked = kinds.join(branched, "_core").groupBy(F.col("_low").alias("_id")).agg(F.collect_set("_path").alias("_asked"))
     edges = cut(
-        docs.join(wanted, "_id").mapInArrow(_edges(size), "_id bigint, _edge bigint, _check bigint"), "edges"
+        docs.join(cut(asked, "asked"), "_id").mapInArrow(_edges(size), "_id bigint, _edge bigint, _check bigint"),
+        "edges",
     )
     low = edges.groupBy("_edge", "_check").agg(F.min("_id").alias("_low"), F.max("_id").alias("_high"))
-    later = edges.join(low.where("_low < _high"), ["_edge", "_check"]).where("_id > _low")
-    return cut(later.groupBy("_id").agg(F.collect_set("_edge").alias("_edges")), "later")
+    single = edges.join(low.where("_low < _high"), ["_edge", "_check"]).where("_id > _low").select(
+        "_id", F.lit(None).cast("bigint").alias("_whole"), F.col("_edge").alias("_single")
+    )
+    whole = paths.join(kinds, key).where("_id > _low").select(
+        "_id", F.col("_path").alias("_whole"), F.lit(None).cast("bigint").alias("_single")
+    )
+    marks = whole.unionByName(single).groupBy("_id")
+    return cut(marks.agg(F.collect_set("_whole").alias("_whole"), F.collect_set("_single").alias("_single")), "marks")
 
 
 def remove_repeated_spans(
