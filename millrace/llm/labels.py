@@ -8,29 +8,41 @@ from millrace.llm.common import as_bytes, trainable
 
 
 def sample(
-    docs: DataFrame, label: Column, rows: int, text_bytes: int, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    label: Column,
+    rows: int,
+    text_bytes: int,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    marks: DataFrame | None = None,
 ) -> list[tuple]:
     """At most `rows` training rows (label, text bytes), those with the least hash of their id.
 
+    `label` is a column of `docs`, or of `marks` (ids with labels) if that is given.
+
     Held-out documents and null labels are left out. Only here, in fitting, a text is cut to
     `text_bytes`; scores always use whole texts.
     """
-    chosen = docs.where(trainable(F.col(id_column)) & label.isNotNull()).select(
-        label.alias("_label"),
-        F.substring(as_bytes(text_column), 1, text_bytes).alias("_text"),
-        F.xxhash64(F.col(id_column).cast("bigint"), F.lit(7)).alias("_order"),
+    ids = (docs if marks is None else marks).where(trainable(F.col(id_column)) & label.isNotNull()).select(
+        F.col(id_column).cast("bigint").alias("_key"), label.alias("_label")
+    )
+    # Ids and labels are put in order first; texts are read for the few rows that are taken.
+    taken = ids.distinct().orderBy(F.xxhash64("_key", F.lit(7)), "_key", "_label").limit(rows)
+    texts = docs.select(F.col(id_column).cast("bigint").alias("_id"), as_bytes(text_column).alias("_text"))
+    found = texts.join(F.broadcast(taken), F.col("_id") == F.col("_key")).select(
+        "_label", F.substring("_text", 1, text_bytes).alias("_text"), F.xxhash64("_key", F.lit(7)).alias("_order")
     )
-    first = chosen.orderBy("_order", "_label", "_text").limit(rows)
-    return [(row[0], bytes(row[1])) for row in first.select("_label", "_text").collect()]
+    return [(r[0], bytes(r[1])) for r in found.orderBy("_order", "_label", "_text").limit(rows).collect()]
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Documents with their row of `labels`; labels of several rows of one id are averaged, ties to null."""
-    marks = labels.groupBy(F.col("doc_id").cast("bigint").alias("_key")).agg(
+    """`doc_id, _quality, _toxic` of the ids of `docs`; labels of several rows of an id are averaged, ties are null."""
+    marks = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         *[
             F.when(F.avg(c) > 0.5, 1).when(F.avg(c) < 0.5, 0).alias(f"_{c}")
             for c in ("quality", "toxic")
             if c in labels.columns
         ]
     )
-    return docs.join(marks, docs[id_column].cast("bigint") == marks["_key"], "inner")
+    ids = docs.select(F.col(id_column).cast("bigint").alias("_known"))
+    return marks.join(ids, F.col("doc_id") == F.col("_known"), "left_semi")

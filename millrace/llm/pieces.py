@@ -26,8 +26,9 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-_WORDS_KEPT = 300_000
+_WORDS_KEPT = 400_000
 _PAIRS_KEPT = 600_000
+_GROUP = 512
 _LONGEST_KEPT = 40
 _INFINITY = float("inf")
 
@@ -63,6 +64,17 @@ _NORMAL, _UNKNOWN, _USER, _UNUSED, _BYTE = 1, 2, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
 
 
+_STEP = 0x9E3779B97F4A7C15
+
+
+def _name(text: str) -> int:
+    name = 0
+    for c in text:
+        name = ((name + ord(c) + 1) * _STEP) % (1 << 64)
+        name ^= name >> 29
+    return name
+
+
 class Transducer:
     """A compiled model: `encode` a text to the bytes of int32 ids, `decode` ids to a text."""
 
@@ -103,6 +115,11 @@ class Transducer:
         self.solved: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.built: dict[str, list | None] = {}
+        #: Names of all beginnings in order, and the id of the piece they are (or -1).
+        at = sorted((_name(t), self.ids.get(t, -1)) for t in self.beginnings)
+        self.known_names = np.array([n for n, _ in at], dtype=np.uint64)
+        self.known_ids = np.array([i for _, i in at], dtype=np.int64)
+        self.codes: dict[int, bool] = {}
         self.output = [t.replace(SPACE, " ").encode() for t in self.texts]
         for i, kind in enumerate(kinds):
             if kind == _BYTE:
@@ -248,6 +265,83 @@ class Transducer:
             self.solved[text] = ids
         return ids
 
+    def solve_all(self, words: list[str]) -> None:
+        """Solve many short words at once: the finite paths of all, advanced place by place.
+
+        Words with characters that no piece reads, and long ones, are left to `solve`.
+        """
+        n = len(words)
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=n)
+        chars = np.array(words, dtype=f"U{_LONGEST_KEPT}").view(np.uint32).reshape(n, _LONGEST_KEPT).astype(np.uint64)
+        last = np.full((n, _LONGEST_KEPT + 1), -1, dtype=np.int64)
+        step, shift = np.uint64(_STEP), np.uint64(29)
+        for start in range(int(sizes.max(initial=0))):
+            rows = np.flatnonzero((sizes > start) & ((last[:, start] >= 0) | (start == 0)))
+            names = np.zeros(len(rows), dtype=np.uint64)
+            for end in range(start + 1, _LONGEST_KEPT + 1):
+                inside = sizes[rows] >= end
+                rows, names = rows[inside], names[inside]
+                names = (names + chars[rows, end - 1] + np.uint64(1)) * step
+                names ^= names >> shift
+                at = np.minimum(np.searchsorted(self.known_names, names), len(self.known_names) - 1)
+                known = self.known_names[at] == names
+                rows, names, piece = rows[known], names[known], self.known_ids[at[known]]
+                if not len(rows):
+                    break
+                whole = np.flatnonzero(piece >= 0)
+                if not len(whole):
+                    continue
+                codes, which = np.unique(((last[rows[whole], start] + 1) << 32) | piece[whole], return_inverse=True)
+                fits = np.array([self._fits(c) for c in codes.tolist()], dtype=bool)[which]
+                last[rows[whole[fits]], end] = piece[whole[fits]]
+        lengths = np.array([len(t) for t in self.texts])
+        place, many = sizes.copy(), np.zeros(n, dtype=np.int64)
+        live = np.flatnonzero(last[np.arange(n), sizes] >= 0)
+        done = live
+        found = []
+        while len(live):
+            piece = last[live, place[live]]
+            found.append((live, many[live], piece))
+            place[live] -= lengths[piece]
+            many[live] += 1
+            live = live[place[live] > 0]
+        ends = np.cumsum(many)
+        flat = np.empty(int(ends[-1]) if n else 0, dtype=np.int32)
+        for rows, back, piece in found:
+            flat[ends[rows] - 1 - back] = piece
+        raw, solved = flat.tobytes(), self.solved
+        if len(solved) + len(done) > _WORDS_KEPT:
+            solved.clear()
+        stop = (4 * ends).tolist()
+        for row in done.tolist():
+            solved[words[row]] = raw[stop[row - 1] if row else 0 : stop[row]]
+
+    def _fits(self, code: int) -> bool:
+        known = self.codes.get(code)
+        if known is None:
+            left, right = (code >> 32) - 1, self.texts[code & 0xFFFFFFFF]
+            known = self.history(right) is not None if left < 0 else self.allowed(self.texts[left], right)
+            if len(self.codes) >= _PAIRS_KEPT:
+                self.codes.clear()
+            self.codes[code] = known
+        return known
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
+        """`encode` for many texts; words not met before are solved together."""
+        encoded = []
+        for s in range(0, len(texts), _GROUP):
+            group = texts[s : s + _GROUP]
+            words = [None if t is None else self.split.findall(self.normalised(t)) for t in group]
+            if self.kind == _BPE:
+                new = {w for found in words if found for w in found if w not in self.solved and len(w) <= _LONGEST_KEPT}
+                # Characters 0 at the end of a word are lost in a fixed-width array.
+                self.solve_all([w for w in new if "\0" not in w])
+            solved = self.solved
+            encoded += [
+                None if found is None else b"".join([solved.get(w) or self.solve(w) for w in found]) for found in words
+            ]
+        return encoded
+
     def normalised(self, text: str) -> str:
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
@@ -295,7 +389,7 @@ def encode(spark: SparkSession, text: Column, model_path: str = MODEL_PATH) -> C
     @F.arrow_udf("array<int>")
     def run(values: pa.Array) -> pa.Array:
         transducer = compiled(shared.value)
-        encoded = [None if t is None else transducer.encode(t) for t in values.to_pylist()]
+        encoded = transducer.encode_all(values.to_pylist())
         ends = np.cumsum([0 if e is None else len(e) // 4 for e in encoded], dtype=np.int64)
         flat = np.frombuffer(b"".join([e for e in encoded if e]), dtype=np.int32)
         missing = pa.array([e is None for e in encoded], pa.bool_())

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.llm.common import BYTE_VALUES, Names, as_bytes, held_out, slices, word_bounds
 from millrace.llm.labels import labelled, sample
 
-TRAIN_ROWS = 12_000
-TRAIN_BYTES = 65_536
+TRAIN_ROWS = 8_000
+TRAIN_BYTES = 32_768
 THRESHOLD = 0.3
 _BINS = 64
 _TREES = 60
@@ -162,7 +162,7 @@ def train(x: np.ndarray, y: np.ndarray) -> Trees:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Learn from at most `rows` labelled training rows, those with the least hash of their id."""
-    taken = sample(labelled(docs, labels), F.col("_quality"), rows, TRAIN_BYTES)
+    taken = sample(docs, F.col("_quality"), rows, TRAIN_BYTES, marks=labelled(docs, labels))
     width = statistics(np.empty(0, np.uint8), np.array([0, 0])).shape[1]
     x = np.zeros((len(taken), width))
     for i, (_, text) in enumerate(taken):

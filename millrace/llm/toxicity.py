@@ -21,7 +21,7 @@ from millrace.llm.labels import labelled, sample
 
 POSITIVES = 4_000
 UNLABELLED = 12_000
-TRAIN_BYTES = 8_192
+TRAIN_BYTES = 6_144
 _BITS = 18
 _FEATURES = 512
 _STEM = 5
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     """
     known = labelled(docs, labels)
     shares = known.where(trainable(F.col("doc_id")) & F.col("_toxic").isNotNull()).agg(F.avg("_toxic")).first()[0]
-    toxic = sample(known.where("_toxic = 1"), F.lit(1), positives, TRAIN_BYTES)
+    toxic = sample(docs, F.lit(1), positives, TRAIN_BYTES, marks=known.where("_toxic = 1"))
     others = sample(docs, F.lit(0), unlabelled, TRAIN_BYTES)
     return train([t for _, t in toxic], [t for _, t in others], float(shares or 0.0))
 
