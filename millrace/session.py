@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,8 +42,8 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's `spark.checkpoint.dir`.
 
-    Only where the session names none (tests on one machine) a temporary folder is made
-    and set, so that `DataFrame.checkpoint` works too.
+    Only on one machine (a `local` master, as in tests) a temporary folder is made and set where the
+    session names none, so that `DataFrame.checkpoint` works too; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -50,6 +51,8 @@ def shared_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="millrace-")
     spark.sparkContext.setCheckpointDir(made)
     return made
