@@ -101,10 +101,11 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
 def correlation(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """`i, j, corr` for all pairs of columns, from a single aggregate over the rows.
 
-    "spearman" correlates ranks, equal values sharing their mean rank.
+    "spearman" correlates ranks, equal values sharing their mean rank. Rows with a missing value in any
+    of the columns are left out of both methods, before ranking.
     """
     columns = list(columns)
-    df = df.select(*[F.col(column).cast("double").alias(column) for column in columns])
+    df = df.select(*[F.col(column).cast("double").alias(column) for column in columns]).dropna()
     if method == "spearman":
         ranks = average_ranks(df, columns)
         for place, column in enumerate(columns):

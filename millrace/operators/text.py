@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 # Fixed value: the characters a whitespace tokenizer splits at.
 TOKEN = "[^ \\t\\n\\r\\f]+"
@@ -44,19 +42,17 @@ def inverted_index(
     form: str = "pairs",
     tokenizer: str = "space",
     lower: bool = False,
-    files: DataFrame | None = None,
     files_per_row: int = 50_000,
 ) -> DataFrame:
     """Where each word occurs.
 
-    "pairs": `word, file, n`. "set": `word, n, files` (total and sorted files).
-    "postings": `word, n, postings` with `file:n;file:n`, sorted by file.
+    "pairs": `word, file, n`. "set": `word, block, n, files` (total and sorted files).
+    "postings": `word, block, n, postings` with `file:n;file:n`, sorted by file.
 
-    The last two hold a word's files in one row. How many rows that needs is measured on the
-    file column (of `files`, if that is cheaper to read than `df`): while there are at most
-    `files_per_row` files, a word is one row; beyond that its files are spread over several rows
-    numbered in `block`, each about that long, so that no task has to hold an unbounded list.
-    `n` is the word's total in every block.
+    The last two list a word's files in rows of `files_per_row` at most, so that no task has to hold
+    an unbounded list: block 0 has the first files of that word in order, block 1 the next ones. A word
+    in few files has block 0 alone. `n` is the word's total in every block. Rows are shuffled
+    by word once; the running place of a file inside its word comes from a sort that may spill.
     """
     pairs = (
         df.select(F.explode(words(column, tokenizer, lower)).alias("word"), F.col(file_column).alias("file"))
@@ -75,15 +71,13 @@ def inverted_index(
         row = F.array_join(entries, ";").alias("postings")
     else:
         raise ValueError(f"unknown form {form!r}")
-    measured = df if files is None else files
-    known = measured.agg(F.approx_count_distinct(file_column)).first()[0]
-    blocks = max(1, math.ceil(known / files_per_row))
-    if blocks == 1:
-        return pairs.groupBy("word").agg(F.sum("n").alias("n"), row)
-    totals = pairs.groupBy("word").agg(F.sum("n").alias("n"))
-    listed = _in_blocks(pairs, blocks).groupBy("word", "block").agg(row)
-    return listed.join(totals, "word").select("word", "block", "n", form if form == "postings" else "files")
-
-
-def _in_blocks(pairs: DataFrame, blocks: int) -> DataFrame:
-    return pairs.withColumn("block", F.pmod(F.xxhash64("file"), F.lit(blocks)).cast("int"))
+    order = W.partitionBy("word").orderBy("file")
+    placed = pairs.select(
+        "word",
+        "file",
+        "n",
+        F.floor((F.row_number().over(order) - 1) / F.lit(files_per_row)).cast("int").alias("block"),
+        F.sum("n").over(W.partitionBy("word")).alias("_total"),
+    )
+    listed = placed.groupBy("word", "block").agg(F.first("_total").alias("n"), row)
+    return listed.select("word", "block", "n", "postings" if form == "postings" else "files")

@@ -27,7 +27,7 @@ def r01(spark, sf_dir):
 
 @query(
     "r02_inverted_index",
-    f"""{LOWER_BLANK_SQL} SELECT word, sum(n)::BIGINT AS n, string_agg(file || ':' || n, ';' ORDER BY file) AS postings
+    f"""{LOWER_BLANK_SQL} SELECT word, 0 AS block, sum(n)::BIGINT AS n, string_agg(file || ':' || n, ';' ORDER BY file) AS postings
         FROM (SELECT word, file, count(*) AS n FROM w GROUP BY 1, 2) GROUP BY 1""",
 )
 def r02(spark, sf_dir):

@@ -28,10 +28,9 @@ CLOSED = "(SELECT max(ts) - INTERVAL 3 MINUTES FROM events)"
 # --- file streams -----------------------------------------------------------------------------
 
 
-@query("s10_stream_files", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'view'")
+@query("s10_stream_files", "SELECT event_id, user_id, event_type FROM events")
 def s10(spark, sf_dir):
-    events = V.event_stream(spark, sf_dir).where(F.col("event_type") != "view")
-    return run.result(events.select("event_id", "user_id", "event_type"))
+    return run.result(V.event_stream(spark, sf_dir).select("event_id", "user_id", "event_type"))
 
 
 @query(
@@ -337,16 +336,16 @@ def t09_complete(spark, sf_dir):
     return run.replay(halves(spark, sf_dir), build, "complete")
 
 
-@query("t10_interval_trigger", "SELECT event_id, event_type FROM events WHERE event_type = 'error'")
+@query("t10_interval_trigger", "SELECT event_id, event_type FROM events")
 def t10(spark, sf_dir):
-    errors = V.event_stream(spark, sf_dir, "error").select("event_id", "event_type")
+    events = V.event_stream(spark, sf_dir).select("event_id", "event_type")
     path = new_folder(spark, "result")
-    running = run.stream_to_files(errors, path, trigger={"processingTime": "1 second"})
+    running = run.stream_to_files(events, path, trigger={"processingTime": "1 second"})
     try:
         running.processAllAvailable()
     finally:
         running.stop()
-    return spark.read.schema(errors.schema).parquet(path)
+    return spark.read.schema(events.schema).parquet(path)
 
 
 @query("t11_checkpoint_restart", "SELECT event_id, event_type, value FROM events")
@@ -355,10 +354,10 @@ def t11(spark, sf_dir):
     return run.replay(halves(spark, sf_dir), lambda arriving: arriving.select("event_id", "event_type", "value"))
 
 
-@query("t12_effectively_once", "SELECT event_id, value FROM events WHERE event_type = 'purchase'")
+@query("t12_effectively_once", "SELECT event_id, value FROM events")
 def t12(spark, sf_dir):
     # Each batch is delivered twice, as after a failure between writing and committing.
-    purchases = V.event_stream(spark, sf_dir, "purchase").select("event_id", "value")
+    events = V.event_stream(spark, sf_dir).select("event_id", "value")
     path = new_folder(spark, "result")
     write = run.DELIVERY["exactly_once"](path)
 
@@ -366,8 +365,8 @@ def t12(spark, sf_dir):
         write(batch, batch_id)
         write(batch, batch_id)
 
-    run.drain(purchases, twice)
-    return run.batches(spark, path, purchases.schema).drop("batch_id")
+    run.drain(events, twice)
+    return run.batches(spark, path, events.schema).drop("batch_id")
 
 
 # --- joins of streams ---------------------------------------------------------------------------
@@ -433,6 +432,18 @@ def j06_stream(spark, sf_dir):
     return logs.plain_times(run.result(joined), "view_time", "click_time")
 
 
+@query("j07_interval_right_join", PAIR_SQL.replace("v.user_id, v", "coalesce(v.user_id, c.user_id) AS user_id, v", 1).format("RIGHT"))
+def j07_right(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return clicks_after_views(events, table(spark, sf_dir, "events"), "right_outer")
+
+
+@query("j07_interval_full_join", PAIR_SQL.replace("v.user_id, v", "coalesce(v.user_id, c.user_id) AS user_id, v", 1).format("FULL"))
+def j07_full(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return clicks_after_views(events, table(spark, sf_dir, "events"), "full_outer")
+
+
 @query("j07_interval_left_join_stream", PAIR_SQL.format("LEFT"))
 def j07(spark, sf_dir):
     events = table(spark, sf_dir, "events")

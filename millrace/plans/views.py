@@ -262,9 +262,13 @@ def weather_lines(orders: DataFrame) -> DataFrame:
 
 # --- card payments, messages, fires, games ------------------------------------------------------
 
+# Fixed value: the length of the vectors in `embeddings`.
+MEASURES = 64
+
+
 def card_payments(embeddings: DataFrame) -> DataFrame:
-    """`id, V1…V28, fraud`: a rare class over anonymous measures."""
-    measures = [F.col("embedding")[n].cast("double").alias(f"V{n + 1}") for n in range(28)]
+    """`id, V1…V64, fraud`: a rare class over anonymous measures, one for each embedding value."""
+    measures = [F.col("embedding")[n].cast("double").alias(f"V{n + 1}") for n in range(MEASURES)]
     return embeddings.select(
         F.col("vec_id").alias("id"), *measures, (F.col("label") == 0).cast("int").alias("fraud")
     )

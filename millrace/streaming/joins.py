@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+HOW = ("inner", "left_outer", "right_outer", "full_outer", "left_semi")
 UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -35,28 +36,46 @@ def interval_join(
 
     Time is also cut into slices of length `within`: a left row belongs to its own slice, a right
     row to its own and to the one before, so every match meets in exactly one slice. Joining on
-    keys and slice spreads a key that has most of the rows over many tasks.
+    keys and slice spreads a key that has most of the rows over many tasks. A right outer join
+    gives the left rows two slices instead, for only rows of the other side may be doubled when
+    unmatched rows are kept; a full one adds the lone right rows of it to the left outer join.
+    Lone right rows show their own key. `how`: inner, left_outer, right_outer, full_outer, left_semi.
     """
+    if how not in HOW:
+        raise ValueError(f"unknown join {how!r}, not one of {', '.join(HOW)}")
     if left_delay:
         left = left.withWatermark(left_time, left_delay)
     if right_delay:
         right = right.withWatermark(right_time, right_delay)
+    if how == "full_outer":
+        sides = (keys, left_time, right_time, within, None, None)
+        lone = interval_join(left, right, *sides, "right_outer").where(F.col(left_time).isNull())
+        return interval_join(left, right, *sides, "left_outer").unionByName(lone)
     width = F.lit(seconds(within) * 1_000_000)
 
     def slice_of(column: str) -> Column:
         return F.call_function("div", F.unix_micros(F.col(column).cast("timestamp")), width)
 
-    left = left.withColumn("_slice", slice_of(left_time))
+    columns = [*left.columns, *[c for c in right.columns if c not in keys]]
+    early, late = slice_of(left_time), slice_of(right_time)
+    if how == "right_outer":
+        early = F.explode(F.array(early, early + 1))
+    else:
+        late = F.explode(F.array(late - 1, late))
+    left = left.withColumn("_slice", early)
     renamed = {key: f"_right_{key}" for key in keys}
-    right = right.withColumnsRenamed(renamed).withColumn(
-        "_right_slice", F.explode(F.array(slice_of(right_time) - 1, slice_of(right_time)))
-    )
+    right = right.withColumnsRenamed(renamed).withColumn("_right_slice", late)
     match = F.col("_slice") == F.col("_right_slice")
     for key, other in renamed.items():
         match = match & (F.col(key) == F.col(other))
     match = match & (F.col(right_time) >= F.col(left_time))
     match = match & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {within}"))
-    return left.join(right, match, how).drop("_slice", "_right_slice", *renamed.values())
+    joined = left.join(right, match, how)
+    if how == "left_semi":
+        return joined.drop("_slice")
+    if how == "right_outer":
+        joined = joined.withColumns({key: F.coalesce(key, other) for key, other in renamed.items()})
+    return joined.select(*columns)
 
 
 def window_join(

@@ -14,8 +14,6 @@ from millrace.session import new_folder
 
 ONCE: Mapping[str, Any] = {"availableNow": True}
 
-PARTITIONS = "spark.sql.shuffle.partitions"
-STORES_PER_CORE = 2
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -72,17 +70,12 @@ def _start(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
     """Start with settings fit for state, then put the session's own back.
 
     State may outgrow memory, so it is kept on disk unless the session names a state store itself.
-    Stateful operators are not re-planned at run time and open a store per partition. On a single
-    machine, whose cores are known, more than a few per core add stores but no parallelism; on a
-    cluster `spark.sql.shuffle.partitions` stands as it is. A query takes the settings along when
-    it starts, and a restarted one those of its checkpoint.
+    Stateful operators are not re-planned at run time and open a store per partition, as many as
+    `spark.sql.shuffle.partitions` says when the query first starts.
     """
     wanted = {}
     if not spark.conf.get(STATE_STORE, ""):
         wanted[STATE_STORE] = STATE_ON_DISK
-    most = STORES_PER_CORE * spark.sparkContext.defaultParallelism
-    if spark.sparkContext.master.startswith("local") and int(spark.conf.get(PARTITIONS)) > most:
-        wanted[PARTITIONS] = str(most)
     before = {key: spark.conf.get(key, "") for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -131,14 +124,19 @@ def append_batch(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def claim_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch sink that notes progress before writing: a repeated batch is left out (at most once)."""
+    """Batch sink that notes progress before writing: a repeated batch is left out (at most once).
+
+    The claim is a folder that must not be there yet. That holds for one writer at a time, as a
+    stream with its checkpoint is; two writers need a store whose creation is atomic.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         try:
-            # Creating the folder of a claim fails if it is there, on every shared file system.
             spark.range(1).write.mode("error").parquet(f"{path}_claims/batch_id={batch_id}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
             return
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
 

@@ -130,3 +130,12 @@ def test_components_project_like_the_eigenvectors(spark):
     _, vectors = numpy.linalg.eigh(numpy.cov(points.T))
     expected = points @ vectors[:, ::-1][:, :2]
     assert numpy.allclose(numpy.abs(got), numpy.abs(expected), atol=1e-8)
+
+
+@pytest.mark.parametrize("method", ["pearson", "spearman"])
+def test_correlation_takes_complete_rows(spark, method):
+    data = [(1.0, 2.0, 5.0), (2.0, 1.0, None), (3.0, 5.0, 1.0), (4.0, 4.0, 4.0), (None, 9.0, 9.0), (6.0, 7.0, 2.0)]
+    df = spark.createDataFrame(data, "a DOUBLE, b DOUBLE, c DOUBLE")
+    got = {(r["i"], r["j"]): r["corr"] for r in metrics.correlation(df, ["a", "b", "c"], method).collect()}
+    wanted = df.toPandas().dropna().corr(method)
+    assert all(abs(value - wanted.loc[i, j]) < 1e-9 for (i, j), value in got.items())

@@ -36,13 +36,18 @@ def test_inverted_index_forms(spark):
 
 
 def test_index_blocks_keep_every_entry(spark):
-    lines = spark.createDataFrame([(f"f{n:03d}", "same") for n in range(200)], "file STRING, value STRING")
-    blocks = text.inverted_index(lines, form="postings", files_per_row=20).collect()
-    assert len(blocks) > 5 and {r["n"] for r in blocks} == {200}
-    entries = sorted(e for r in blocks for e in r["postings"].split(";"))
-    assert entries == [f"f{n:03d}:1" for n in range(200)]
-    listed = text.inverted_index(lines, form="set", files_per_row=20).collect()
-    assert sorted(f for r in listed for f in r["files"]) == [f"f{n:03d}" for n in range(200)]
+    lines = spark.createDataFrame(
+        [(f"f{n:03d}", "same") for n in range(200)] + [("f007", "rare")], "file STRING, value STRING"
+    )
+    index = text.inverted_index(lines, form="postings", files_per_row=20)
+    blocks = index.where("word = 'same'").orderBy("block").collect()
+    assert [r["block"] for r in blocks] == list(range(10)) and {r["n"] for r in blocks} == {200}
+    # Blocks are ranges of the sorted files.
+    assert ";".join(r["postings"] for r in blocks) == ";".join(f"f{n:03d}:1" for n in range(200))
+    assert [tuple(r) for r in index.where("word = 'rare'").collect()] == [("rare", 0, 1, "f007:1")]
+    assert index.schema == text.inverted_index(lines, form="postings").schema
+    listed = text.inverted_index(lines, form="set", files_per_row=20).where("word = 'same'").orderBy("block").collect()
+    assert [f for r in listed for f in r["files"]] == [f"f{n:03d}" for n in range(200)]
 
 
 def test_max_per_year_skips_missing_and_bad_quality(spark, rows):

@@ -111,6 +111,23 @@ def sides(spark, base):
     return side(base[0], "l"), side(base[1], "r")
 
 
+def test_interval_join_keeps_lone_rows_of_either_side(spark, rows):
+    l = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP'2024-01-01 00:10:00'), (2, TIMESTAMP'2024-01-01 00:10:00'), (NULL, TIMESTAMP'2024-01-01 00:10:00') t(k, l_time)")
+    r = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP'2024-01-01 00:20:00'), (3, TIMESTAMP'2024-01-01 09:00:00'), (NULL, TIMESTAMP'2024-01-01 00:20:00') t(k, r_time)")
+
+    def keys(how):
+        joined = joins.interval_join(l, r, ["k"], "l_time", "r_time", "1 hour", how=how)
+        assert joined.columns == ["k", "l_time", "r_time"]
+        return sorted((str(x["k"]), x["l_time"] is not None, x["r_time"] is not None) for x in joined.collect())
+
+    lone_right = [("3", False, True), ("None", False, True)]
+    lone_left = [("2", True, False), ("None", True, False)]
+    assert keys("right_outer") == sorted([("1", True, True), *lone_right])
+    assert keys("full_outer") == sorted([("1", True, True), *lone_left, *lone_right])
+    with pytest.raises(ValueError):
+        keys("cross")
+
+
 def test_interval_join_against_brute_force(spark):
     import random
 
