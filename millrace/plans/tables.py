@@ -291,7 +291,7 @@ def p14(spark, sf_dir):
 @query(
     "p15_prefix_columns",
     "SELECT "
-    + ", ".join(f"round(CAST(embedding[{n}] AS DOUBLE), 6) AS V{n}" for n in range(1, 29))
+    + ", ".join(f"round(CAST(embedding[{n}] AS DOUBLE), 6) AS V{n}" for n in range(1, V.MEASURES + 1))
     + " FROM embeddings",
 )
 def p15(spark, sf_dir):
