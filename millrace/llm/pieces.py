@@ -22,13 +22,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession, functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _WORDS_KEPT = 400_000
 _PAIRS_KEPT = 600_000
-_GROUP = 512
+_GROUP_BYTES = 1 << 20
 _LONGEST_KEPT = 40
 _INFINITY = float("inf")
 
@@ -328,19 +329,40 @@ class Transducer:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
         """`encode` for many texts; words not met before are solved together."""
-        encoded = []
-        for s in range(0, len(texts), _GROUP):
-            group = texts[s : s + _GROUP]
-            words = [None if t is None else self.split.findall(self.normalised(t)) for t in group]
-            if self.kind == _BPE:
-                new = {w for found in words if found for w in found if w not in self.solved and len(w) <= _LONGEST_KEPT}
-                # Characters 0 at the end of a word are lost in a fixed-width array.
-                self.solve_all([w for w in new if "\0" not in w])
-            solved = self.solved
-            encoded += [
-                None if found is None else b"".join([solved.get(w) or self.solve(w) for w in found]) for found in words
-            ]
-        return encoded
+        words = [None if t is None else self.split.findall(self.normalised(t)) for t in texts]
+        solved = self.solved
+        if self.kind == _BPE:
+            new = {w for found in words if found for w in found if w not in solved and len(w) <= _LONGEST_KEPT}
+            # Characters 0 at the end of a word are lost in a fixed-width array.
+            self.solve_all([w for w in new if "\0" not in w])
+        return [None if found is None else b"".join([solved.get(w) or self.solve(w) for w in found]) for found in words]
+
+    def encode_array(self, texts: pa.Array) -> pa.Array:
+        """Ids of an Arrow array of texts, worked on in groups of bounded size."""
+        encoded: list[bytes | None] = []
+        for part in groups(texts, pc.binary_length(texts), _GROUP_BYTES):
+            encoded += self.encode_all(part.to_pylist())
+        ends = np.cumsum([0 if e is None else len(e) // 4 for e in encoded], dtype=np.int64)
+        flat = np.frombuffer(b"".join([e for e in encoded if e]), dtype=np.int32)
+        missing = pa.array([e is None for e in encoded], pa.bool_())
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(flat), mask=missing)
+
+    def decode_array(self, ids: pa.Array) -> pa.Array:
+        """`decode` for an Arrow array of ids: the bytes of all pieces of a group are gathered at once."""
+        n = len(self.output)
+        table = pa.array([*self.output, b""], pa.large_binary())
+        decoded: list[str | None] = []
+        for part in groups(ids, pc.list_value_length(ids), _GROUP_BYTES // 4):
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(part), 0), dtype=np.int64)
+            each = np.asarray(pc.fill_null(part.flatten().cast(pa.int64()), -1))
+            taken = table.take(pa.array(np.where((each >= 0) & (each < n), each, n)))
+            data = taken.buffers()[2]
+            raw = data.to_pybytes() if data is not None else b""
+            places = np.frombuffer(taken.buffers()[1], dtype=np.int64, count=len(taken) + 1)
+            bounds = places[np.r_[0, np.cumsum(sizes)]].tolist()
+            for row, there in enumerate(part.is_valid().to_pylist()):
+                decoded.append(self.text_of(raw[bounds[row] : bounds[row + 1]]) if there else None)
+        return pa.array(decoded, pa.string())
 
     def normalised(self, text: str) -> str:
         if self.squeeze:
@@ -363,10 +385,24 @@ class Transducer:
             joined = None
         if joined is None:
             joined = b"".join([output[i] for i in ids if i is not None and 0 <= i < n])
+        return self.text_of(joined)
+
+    def text_of(self, joined: bytes) -> str:
         text = joined.decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+def groups(values: pa.Array, sizes: pa.Array, limit: int):
+    """Slices of an array whose rows add up to `limit` at most, or one row."""
+    ends = np.cumsum(np.asarray(pc.fill_null(sizes, 0), dtype=np.int64))
+    row = 0
+    while row < len(ends):
+        before = ends[row - 1] if row else 0
+        stop = max(row + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield values.slice(row, stop - row)
+        row = stop
+
+
 @lru_cache(maxsize=2)
 def compiled(model: bytes) -> Transducer:
     return Transducer(model)
@@ -388,13 +424,7 @@ def encode(spark: SparkSession, text: Column, model_path: str = MODEL_PATH) -> C
 
     @F.arrow_udf("array<int>")
     def run(values: pa.Array) -> pa.Array:
-        transducer = compiled(shared.value)
-        encoded = transducer.encode_all(values.to_pylist())
-        ends = np.cumsum([0 if e is None else len(e) // 4 for e in encoded], dtype=np.int64)
-        flat = np.frombuffer(b"".join([e for e in encoded if e]), dtype=np.int32)
-        missing = pa.array([e is None for e in encoded], pa.bool_())
-        offsets = pa.array(np.r_[0, ends].astype(np.int32))
-        return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=missing)
+        return compiled(shared.value).encode_array(values)
 
     return run(text.cast("string"))
 
@@ -405,7 +435,22 @@ def decode(spark: SparkSession, ids: Column, model_path: str = MODEL_PATH) -> Co
 
     @F.arrow_udf("string")
     def run(values: pa.Array) -> pa.Array:
-        transducer = compiled(shared.value)
-        return pa.array([None if v is None else transducer.decode(v) for v in values.to_pylist()], pa.string())
+        return compiled(shared.value).decode_array(values)
 
     return run(ids)
+
+
+def round_trip(spark: SparkSession, text: Column, model_path: str = MODEL_PATH) -> Column:
+    """`encode` and `decode` of those ids as struct(ids, decoded); both null for null.
+
+    One pass through Python: two nested calls of which both results are kept would encode twice.
+    """
+    shared = spark.sparkContext.broadcast(read_model(model_path))
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def run(values: pa.Array) -> pa.Array:
+        transducer = compiled(shared.value)
+        ids = transducer.encode_array(values)
+        return pa.StructArray.from_arrays([ids, transducer.decode_array(ids)], ["ids", "decoded"])
+
+    return run(text.cast("string"))

@@ -102,11 +102,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm.pieces import SPACE, decode, encode
+    from millrace.llm.pieces import SPACE, round_trip
 
-    ids = table(spark, sf_dir, "documents").select("doc_id", "text", encode(spark, F.col("text")).alias("ids"))
-    back = ids.select("doc_id", "text", "ids", decode(spark, F.col("ids")).alias("decoded"))
-    return back.select(
+    documents = table(spark, sf_dir, "documents")
+    both = documents.select("doc_id", "text", round_trip(spark, F.col("text")).alias("both"))
+    return both.select("doc_id", "text", "both.*").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

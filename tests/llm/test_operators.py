@@ -288,3 +288,21 @@ def test_pipeline_on_planted_cases(spark):
     for _, stage in pipeline.STAGES:
         none = stage(spark, none, SMALL)
     assert none.count() == 0
+
+
+def test_pieces_round_trip_equals_encode_then_decode(spark):
+    from millrace.llm.pieces import compiled, decode, encode, read_model, round_trip
+
+    texts = ["", None, "Two words", "  spaced  out ", "naïve café 你好 🙂", "x" * 3000, "word " * 5000, "a\0b\nc", "Two words"]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n INT, t STRING").coalesce(1)
+    both = {r["n"]: r["b"] for r in df.select("n", round_trip(spark, F.col("t")).alias("b")).collect()}
+    ids = df.select("n", encode(spark, F.col("t")).alias("ids"))
+    apart = {r["n"]: r for r in ids.select("n", "ids", decode(spark, F.col("ids")).alias("decoded")).collect()}
+    model = compiled(read_model())
+    for n, text in enumerate(texts):
+        assert both[n]["ids"] == apart[n]["ids"] and both[n]["decoded"] == apart[n]["decoded"] == text
+        if text is not None:
+            assert model.decode(both[n]["ids"]) == text
+    odd = spark.createDataFrame([([3, None, -1, 10**6],), ([],), (None,)], "ids ARRAY<INT>").coalesce(1)
+    got = [r[0] for r in odd.select(decode(spark, F.col("ids"))).collect()]
+    assert got == [model.decode([3]), "", None]
