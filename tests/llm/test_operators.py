@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language, lines, pieces, quality, simhash, substrings, suffixes, topk, toxicity
+from millrace.llm import decontamination, language, lines, pieces, quality, similar, simhash, substrings, suffixes, topk, toxicity
 from millrace.llm.common import held_out
 from millrace.llm.components import components
 from millrace.llm.queries import QUERIES, SQL
@@ -306,3 +306,50 @@ def test_pieces_round_trip_equals_encode_then_decode(spark):
     odd = spark.createDataFrame([([3, None, -1, 10**6],), ([],), (None,)], "ids ARRAY<INT>").coalesce(1)
     got = [r[0] for r in odd.select(decode(spark, F.col("ids"))).collect()]
     assert got == [model.decode([3]), "", None]
+
+
+def test_near_copies_go_from_the_pipeline_by_similarity(spark, monkeypatch):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(8)
+    say = lambda n: [f"v{rng.randrange(4000)}" for _ in range(n)]
+    texts = {0: None, 1: " "}
+    for base in range(10, 510, 10):
+        words = say(rng.randint(30, 300))
+        texts[base] = " ".join(words)
+        for k in range(1, 4):  # edited copies, on both sides of the similarity
+            copy = list(words)
+            for _ in range(max(1, len(words) * k // 60)):
+                copy[rng.randrange(len(copy))] = "edited"
+            texts[base + k] = " ".join(copy)
+    for k in range(600, 640):  # one large group
+        copy = texts[10].split()
+        copy[rng.randrange(len(copy))] = f"x{k}"
+        texts[k] = " ".join(copy)
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").split()
+        sets[i] = frozenset(tuple(w[p : p + 5]) for p in range(max(1, len(w) - 4)))
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    edited = 0
+    for a in texts:
+        for b in texts:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                edited += sets[a] != sets[b]
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    want = sorted(i for i in texts if find(i) == i)
+    df = frame(spark, list(texts.items()))
+    got = pipeline.drop_near_duplicates(spark, df, SMALL)
+    assert got.columns == df.columns
+    assert sorted(r[0] for r in got.select("doc_id").collect()) == want
+    assert edited > 60 and 60 < len(want) < 150
+    monkeypatch.setattr(similar, "_DENSE", 0)  # all tile pairs are read again
+    groups = similar.similar_groups(df, tile_rows=40).collect()
+    assert {r["doc_id"]: r["component_id"] for r in groups} == {i: find(i) for i in texts}
