@@ -353,3 +353,31 @@ def test_near_copies_go_from_the_pipeline_by_similarity(spark, monkeypatch):
     monkeypatch.setattr(similar, "_DENSE", 0)  # all tile pairs are read again
     groups = similar.similar_groups(df, tile_rows=40).collect()
     assert {r["doc_id"]: r["component_id"] for r in groups} == {i: find(i) for i in texts}
+
+
+def test_whole_runs_of_lines_go_from_the_pipeline(spark):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(9)
+    pool = ["", "x", "short", "eighteen letters..", "a line of some twenty", "one line that alone holds more than forty characters"]
+    three = ["first of the three", "next one of three.", "third of the three"]
+    rows = [(1, "\n".join(["own", *three, "tail"])), (2, "\n".join(["other", *three, "end"]))]
+    rows += [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 14)))) for i in range(3, 90)]
+    rows += [(90, None), (91, ""), (92, rows[5][1])]
+    seen, want = {}, {}
+    for i, t in rows:
+        if t is None:
+            want[i] = None
+            continue
+        got = t.split("\n")
+        gone = set()
+        for s in range(len(got)):
+            for e in range(s + 1, len(got) + 1):
+                run = tuple(got[s:e])
+                if sum(len(x) + 1 for x in run) >= 40:
+                    if seen.setdefault(run, (i, s)) != (i, s):
+                        gone.update(range(s, e))
+        want[i] = "\n".join(x for k, x in enumerate(got) if k not in gone)
+    done = pipeline.drop_repeated_lines(spark, frame(spark, rows), SMALL)
+    assert {r["doc_id"]: r["text"] for r in done.collect()} == want
+    assert want[2] == "other\nend"
