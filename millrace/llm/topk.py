@@ -7,6 +7,9 @@ the floor turns into a local cosine threshold t = floor / (|q| * l), l the longe
 where t is high, a coordinate test keeps candidates whose value in the query's strongest
 coordinates lies in the range that a cosine of at least t allows; where it is low, candidates are
 cut by length alone. What remains is verified by exact integer products.
+
+Queries are dealt into blocks by hash, so that one group holds a bucket and a block, both bounded,
+however many queries reach the bucket. The partial results of a query are merged.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ QUERY_EVERY = 50
 SCALE = 256
 BUCKET_ROWS = 1024
 QUERY_BLOCK = 256
+QUERY_ROWS = 4096
 _CLASSES_PER_DOUBLING = 4
 _COORDINATES = 3
 _COSINE = 0.6
@@ -157,6 +161,7 @@ def top_inner_products(
     k: int = TOP,
     scale: int = SCALE,
     bucket_rows: int = BUCKET_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """`query_id, rank, vec_id, score`: the k largest integer inner products of each query with all other rows.
 
@@ -195,9 +200,16 @@ def top_inner_products(
     )
     buckets = placed.select("_dim", "_class", "_part", "_id", "_v")
     queries = rows.where(is_query).select(F.col("_id").alias("_q"), "_v", "_dim", "_len")
+    blocks = queries.groupBy("_dim").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("_blocks"))
+    queries = (
+        queries.join(blocks, "_dim")
+        .withColumn("_block", F.pmod(F.xxhash64("_q", F.lit("block")), F.col("_blocks")).cast("int"))
+        .drop("_blocks")
+    )
     key = ["_dim", "_class", "_part"]
+    met = [*key, "_block"]
     other = [F.col(c).alias(f"{c}_of") for c in key]
-    theirs = [f"{c}_of" for c in key]
+    theirs = [*(f"{c}_of" for c in key), "_block"]
     schema = "_q bigint, _id bigint, _score bigint"
 
     # First pass: part 0 of the longest class of a dimension with more than k vectors.
@@ -208,23 +220,29 @@ def top_inner_products(
         .withColumn("_part", F.lit(0))
     )
     none = F.lit(-(2**63) + 1)
-    asked = queries.join(first, "_dim").select(*other, "_q", F.col("_v").alias("_w"), none.alias("_floor"))
+    asked = queries.join(first, "_dim").select(*other, "_block", "_q", F.col("_v").alias("_w"), none.alias("_floor"))
     tried = (
-        buckets.join(first, key)
-        .groupBy(*key)
+        buckets.join(first.join(blocks, "_dim"), key)
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .select(*met, "_id", "_v")
+        .groupBy(*met)
         .cogroup(asked.groupBy(*theirs))
         .applyInPandas(_search(k), schema)
     )
     floors = _best_of(tried, k).where(F.col("_rank") == k - 1).select("_q", F.col("_score").alias("_floor"))
-    reach = (
+    reaching = (
         queries.join(cut(floors, "floors"), "_q", "left")
         .withColumn("_floor", F.coalesce("_floor", none))
         .join(parts.select("_dim", "_class", "_parts", "_longest"), "_dim")
         .where(F.col("_floor") <= F.col("_len") * F.col("_longest") * (1 + 1e-9))
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .select(*other, "_q", F.col("_v").alias("_w"), "_floor")
     )
-    found = buckets.groupBy(*key).cogroup(reach.groupBy(*theirs)).applyInPandas(_search(k), schema)
+    reach = reaching.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select(
+        *other, "_block", "_q", F.col("_v").alias("_w"), "_floor"
+    )
+    # A bucket meets only the blocks that hold a query for its class.
+    asking = cut(reaching.select("_dim", "_class", "_block").distinct(), "asking")
+    held = buckets.join(asking, ["_dim", "_class"]).select(*met, "_id", "_v")
+    found = held.groupBy(*met).cogroup(reach.groupBy(*theirs)).applyInPandas(_search(k), schema)
     return _best_of(found, k).select(
         F.col("_q").alias("query_id"),
         (F.col("_rank") + 1).cast("int").alias("rank"),

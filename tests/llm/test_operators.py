@@ -381,3 +381,30 @@ def test_whole_runs_of_lines_go_from_the_pipeline(spark):
     done = pipeline.drop_repeated_lines(spark, frame(spark, rows), SMALL)
     assert {r["doc_id"]: r["text"] for r in done.collect()} == want
     assert want[2] == "other\nend"
+
+
+def test_top_products_meet_bounded_blocks_of_queries(spark, monkeypatch):
+    search = topk._search
+
+    def watched(k):
+        inner = search(k)
+
+        def run(left, right):
+            assert len(right) <= 60 and len(left) <= 150, (len(left), len(right))
+            return inner(left, right)
+
+        return run
+
+    monkeypatch.setattr(topk, "_search", watched)
+    rng = np.random.default_rng(2)
+    units = rng.normal(size=(400, 8))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(units)], "vec_id long, embedding array<double>")
+    whole = np.floor(256 * units).astype(int)
+    scores = whole @ whole.T
+    want = []
+    for q in range(400):
+        best = sorted((-int(scores[q, i]), i) for i in range(400) if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    found = topk.top_inner_products(df, is_query=F.lit(True), bucket_rows=90, query_rows=30).collect()
+    assert sorted(tuple(r) for r in found) == sorted(want)
