@@ -26,7 +26,7 @@ NUMBER, NAME, UNIT = "", "", ""
 NUMBERS = r"[0-9]+(?:[.,:/][0-9]+)*"
 # A name follows a space after anything but the end of a sentence; neighbouring names are one.
 NAMES = r"\s(?<![.!?:\s]\s)\s{0,2}(\p{Lu}[\p{L}\p{N}'’-]*(?:\s{1,3}\p{Lu}[\p{L}\p{N}'’-]*)*)"
-BREAKS = r"[\s\p{Punct}]+"
+BREAKS = r"[\s\p{P}\p{S}]+"
 UNITS = (
     "mm cm m km in inch inches ft feet yd yards mi miles mg g kg lb lbs oz grams kilograms pounds ml l liters litres "
     "gallons s sec seconds min minutes h hr hours days weeks months years percent dollars euros cents degrees mph kmh kph"
@@ -36,21 +36,21 @@ UNITS = (
 def marked(text: Column) -> Column:
     """Text with placeholders for names and numbers, values gone."""
     plain = F.translate(text, NUMBER + NAME + UNIT, "   ")
-    named = F.regexp_replace(plain, NAMES, f" {NAME}")
+    named = F.regexp_replace(plain, NAMES, f" {NAME} ")
     return F.regexp_replace(named, NUMBERS, f" {NUMBER} ")
 
 
 def tokens(text: Column) -> Column:
     """Template tokens of a text; no tokens for null or blank."""
     low = F.lower(marked(F.coalesce(text, F.lit(""))))
-    units = F.regexp_replace(low, rf"{NUMBER}\s{{1,3}}(?:{'|'.join(UNITS)})(?![^\s\p{{Punct}}])", f"{NUMBER} {UNIT}")
+    units = F.regexp_replace(low, rf"{NUMBER}\s{{1,3}}(?:{'|'.join(UNITS)})(?![^\s\p{{P}}\p{{S}}])", f"{NUMBER} {UNIT}")
     return F.array_remove(F.split(units, BREAKS), "")
 
 
 def slot_values(text: Column) -> tuple[Column, Column]:
     """Values of the name slots and of the number slots of a text, in order."""
     plain = F.translate(text, NUMBER + NAME + UNIT, "   ")
-    named = F.regexp_replace(plain, NAMES, f" {NAME}")
+    named = F.regexp_replace(plain, NAMES, f" {NAME} ")
     return (
         F.regexp_extract_all(plain, F.lit(NAMES), F.lit(1)),
         F.regexp_extract_all(named, F.lit(NUMBERS), F.lit(0)),
@@ -114,7 +114,8 @@ def contaminated(
 
     `_th` is the hash of the text, so that rows that share an id are told apart. `n_windows` counts
     the windows of `size` template tokens of the best alignment. An alignment counts only if no
-    value of the item stands for two of the document or the other way round; windows with fewer
+    value of the item stands for two of the document or the other way round, or else only with its
+    windows whose values all equal the item's; windows with fewer
     than `min_literals` words need equal values too, for few words are alike by chance.
 
     Null, empty and blank texts hold nothing; documents or items below `size` tokens match nothing.
@@ -180,7 +181,9 @@ def contaminated(
         (F.col("_words") >= min_literals) | F.forall("_values", lambda z: z["a"].eqNullSafe(z["b"]))
     )
     key = ["_id", "_th", "item_id", "_shift"]
-    hits = hits.select("_id", "_th", "item_id", (F.col("_start") - F.col("_item_start")).alias("_shift"), "_values")
+    hits = hits.select("_id", "_th", "item_id", (F.col("_start") - F.col("_item_start")).alias("_shift"), "_values").withColumn(
+        "_equal", F.forall("_values", lambda z: z["a"].eqNullSafe(z["b"]))
+    )
     slots = (
         hits.select(*key, F.explode("_values").alias("_z"))
         .groupBy(*key)
@@ -190,17 +193,18 @@ def contaminated(
             F.countDistinct("_z.kind", "_z.b").alias("_right"),
         )
         .where("_both != _left OR _both != _right")
-        .select(F.col("_id").alias("_id2"), F.col("_th").alias("_th2"), F.col("item_id").alias("_item2"), F.col("_shift").alias("_shift2"))
+        .select(F.col("_id").alias("_id2"), F.col("_th").alias("_th2"), F.col("item_id").alias("_item2"), F.col("_shift").alias("_shift2"), F.lit(True).alias("_clash"))
     )
-    counted = hits.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = hits.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.count_if("_equal").alias("_same"))
+    # Where values clash, the windows that were copied with equal values count all the same.
     consistent = counted.join(
         slots,
         F.col("_id").eqNullSafe(F.col("_id2"))
         & (F.col("_th") == F.col("_th2"))
         & F.col("item_id").eqNullSafe(F.col("_item2"))
         & (F.col("_shift") == F.col("_shift2")),
-        "left_anti",
-    )
+        "left",
+    ).withColumn("_n", F.when(F.col("_clash"), F.col("_same")).otherwise(F.col("_n"))).where("_n > 0")
     return consistent.groupBy("_id", "_th", "item_id").agg(F.max("_n").alias("n_windows"))
 
 

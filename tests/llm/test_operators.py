@@ -408,3 +408,13 @@ def test_top_products_meet_bounded_blocks_of_queries(spark, monkeypatch):
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     found = topk.top_inner_products(df, is_query=F.lit(True), bucket_rows=90, query_rows=30).collect()
     assert sorted(tuple(r) for r in found) == sorted(want)
+
+
+def test_templates_keep_equal_windows_and_odd_punctuation(spark):
+    words = " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(50))
+    item = f"we count 5 of them and {words} then again 5 at last"
+    quoted = "they all went by train to Paris\u201d and saw Rome\u2014 then came home by bus to Bern again and slept"
+    rows = [(1, item.replace("again 5", "again 6")), (2, "so we met Anna\u201d once and left. " + quoted), (3, words[:40])]
+    bench = spark.createDataFrame([(1, item), (2, quoted)], "item_id long, text string")
+    found = {(r["_id"], r["item_id"]) for r in decontamination.contaminated(frame(spark, rows), bench).collect()}
+    assert found == {(1, 1), (2, 2)}
