@@ -171,3 +171,30 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("_id").alias("doc_id"), "item_id", "n_windows")
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+             CAST('0x' || h[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS BIGINT) % 100 AS h4 FROM d),
+p AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+                  WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c),
+s AS (SELECT *, substr(t, 1, a) AS x, substr(t, a + 1, b - a) AS y, substr(t, b + 1) AS z FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+                        ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s"""
+
+
+@query("op13_fill_in_middle", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.infill import fill_in_middle, restored
+
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(), 256).alias("restored_sha256"),
+    )
