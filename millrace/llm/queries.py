@@ -198,3 +198,63 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(restored(), 256).alias("restored_sha256"),
     )
+
+
+# The cheapest repair of each prefix for each state of the grammar (1 nothing, 2 system, 3 user, 4 assistant),
+# as (cost, audit, repaired text); each turn may have insertions before it.
+OP12_SQL = r"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+c0 AS (SELECT CAST(i AS UINTEGER) AS b, CAST(i AS UINTEGER) AS r, 0 AS n FROM range(256) t(i) UNION ALL
+  SELECT b, CAST(CASE WHEN r & 1 = 1 THEN xor(3988292384, r >> 1) ELSE r >> 1 END AS UINTEGER), n + 1 FROM c0 WHERE n < 8),
+crc AS (SELECT list(r ORDER BY b) AS t FROM c0 WHERE n = 8),
+d AS (SELECT k.*, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS UBIGINT))),
+                  lambda a, x: xor(a >> 8, CAST(t[CAST(xor(a, x) & 255 AS BIGINT) + 1] AS UBIGINT)))) % 20 AS kind FROM k, crc),
+m AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(generate_series(0, CASE WHEN kind = 3 THEN 1 ELSE 0 END)) AS copy FROM d WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM m),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+             regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS tail,
+             left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS two FROM o),
+j AS (SELECT *, tail = '' AS blank, tail <> '' AND seen AS dup, tail <> '' AND NOT seen AND tail NOT IN ('.', '!', '?') AS short FROM f),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+             count(*) FILTER (WHERE dup) AS duplicate, count(*) FILTER (WHERE short) AS truncated,
+             count(*) FILTER (WHERE i > 1 AND two NOT IN ('su', 'ua', 'au')) AS illegal,
+             list({k: left(role, 1), gone: blank OR dup, c: CAST(short AS INTEGER), line: role || ':' || text, text: text} ORDER BY i) AS turns,
+             count(*) AS n
+      FROM j GROUP BY conv_id),
+step AS (
+  SELECT conv_id, 0 AS i, [{c: 0, a: '', r: ''}, {c: 9999999, a: '', r: ''}, {c: 9999999, a: '', r: ''}, {c: 9999999, a: '', r: ''}] AS b FROM g
+  UNION ALL
+  SELECT s.conv_id, s.i + 1, [
+    {c: u[1].c + 3, a: u[1].a || 'D', r: u[1].r},
+    list_min([{c: u[2].c + 3, a: u[2].a || 'D', r: u[2].r},
+      {c: CASE WHEN t.k = 's' AND NOT t.gone THEN u[1].c + t.c ELSE 9999999 END, a: u[1].a || 'K', r: u[1].r || t.line || chr(10)}]),
+    list_min([{c: u[3].c + 3, a: u[3].a || 'D', r: u[3].r},
+      {c: CASE WHEN t.k = 'u' AND NOT t.gone THEN p.c + t.c ELSE 9999999 END, a: p.a || 'K', r: p.r || t.line || chr(10)},
+      {c: CASE WHEN t.gone THEN 9999999 ELSE p.c + t.c + 2 END, a: p.a || 'R', r: p.r || 'user:' || t.text || chr(10)}]),
+    list_min([{c: u[4].c + 3, a: u[4].a || 'D', r: u[4].r},
+      {c: CASE WHEN t.k = 'a' AND NOT t.gone THEN u[3].c + t.c ELSE 9999999 END, a: u[3].a || 'K', r: u[3].r || t.line || chr(10)},
+      {c: CASE WHEN t.gone THEN 9999999 ELSE u[3].c + t.c + 2 END, a: u[3].a || 'R', r: u[3].r || 'assistant:' || t.text || chr(10)}])]
+  FROM (SELECT x.*, list_min([u[1], u[2], u[4]]) AS p FROM (
+          SELECT y.conv_id, y.i, g.turns[y.i + 1] AS t, [v[1], v[2], v[3],
+                 list_min([v[4], {c: v[3].c + 2, a: v[3].a || 'I', r: v[3].r || 'assistant:' || chr(10)}])] AS u
+          FROM (SELECT conv_id, i, [b[1], b[2], list_min([b[3]] || list_transform([b[1], b[2], b[4]],
+                       lambda q: {c: q.c + 2, a: q.a || 'I', r: q.r || 'user:' || chr(10)})), b[4]] AS v FROM step) y
+          JOIN g ON g.conv_id IS NOT DISTINCT FROM y.conv_id WHERE y.i < g.n) x) s),
+e AS (SELECT g.*, list_min([b[1], b[4], {c: b[3].c + 2, a: b[3].a || 'I', r: b[3].r || 'assistant:' || chr(10)},
+             {c: b[2].c + 4, a: b[2].a || 'II', r: b[2].r || 'user:' || chr(10) || 'assistant:' || chr(10)}]) AS best
+      FROM step s JOIN g ON g.conv_id IS NOT DISTINCT FROM s.conv_id AND s.i = g.n)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(left(best.r, -1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+@query("op12_conversation_repair", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.turns import damage, repair_conversations
+
+    return repair_conversations(damage(table(spark, sf_dir, "conversations")))
