@@ -258,3 +258,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm.turns import damage, repair_conversations
 
     return repair_conversations(damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op11_html_extraction")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm.wrappers import main_text
+
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
