@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from array import array
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,9 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-_WORDS_KEPT = 400_000
-_PAIRS_KEPT = 600_000
+# Together some 32 MB a worker; the older half goes when one is full.
+_WORDS_KEPT = 100_000
+_PAIRS_KEPT = 120_000
 _GROUP_BYTES = 1 << 20
 _LONGEST_KEPT = 40
 _INFINITY = float("inf")
@@ -76,6 +78,14 @@ def _name(text: str) -> int:
     return name
 
 
+def _keep(table: dict, limit: int, more: int = 1) -> None:
+    """Make room: when a table would be over its limit, its older half goes, or all if that is not enough."""
+    if len(table) + more > limit:
+        half = len(table) // 2 if len(table) // 2 + more <= limit else len(table)
+        for key in list(islice(table, half)):
+            del table[key]
+
+
 class Transducer:
     """A compiled model: `encode` a text to the bytes of int32 ids, `decode` ids to a text."""
 
@@ -153,35 +163,38 @@ class Transducer:
         return self.built[piece]
 
     def allowed(self, left: str, right: str) -> bool:
+        """`accepted`, kept for pairs that long or rare words ask for; words solved in bulk keep `codes`."""
+        key = (left, right)
+        known = self.pairs.get(key)
+        if known is None:
+            _keep(self.pairs, _PAIRS_KEPT // 4)
+            known = self.pairs[key] = self.accepted(left, right)
+        return known
+
+    def accepted(self, left: str, right: str) -> bool:
         """Whether the pair acceptor lets `right` follow `left`: no merge ever joins across their border.
 
         Both are built side by side, the better-scored merge first; the parts at the border merge
         as soon as their score beats what is next on both sides.
         """
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            a, b = self.history(left), self.history(right)
-            known = a is not None and b is not None
-            i = j = 0
-            last, first = left[-1], right[0]
-            while known:
-                ahead, behind = a[i][0], b[j][0]
-                across = self.scores.get(last + first)
-                if across is not None and across > ahead and across >= behind:
-                    known = False
-                elif ahead == behind == -_INFINITY:
-                    break
-                elif ahead >= behind:
-                    last = a[i][2]
-                    i += 1
-                else:
-                    first = b[j][1]
-                    j += 1
-            if len(self.pairs) >= _PAIRS_KEPT:
-                self.pairs.clear()
-            self.pairs[key] = known
-        return known
+        a, b = self.history(left), self.history(right)
+        if a is None or b is None:
+            return False
+        i = j = 0
+        last, first = left[-1], right[0]
+        while True:
+            ahead, behind = a[i][0], b[j][0]
+            across = self.scores.get(last + first)
+            if across is not None and across > ahead and across >= behind:
+                return False
+            if ahead == behind == -_INFINITY:
+                return True
+            if ahead >= behind:
+                last = a[i][2]
+                i += 1
+            else:
+                first = b[j][1]
+                j += 1
 
     def finite_path(self, text: str) -> list[str]:
         """The one path of finite weight, depth first and longest arcs first.
@@ -261,8 +274,7 @@ class Transducer:
                 found.append(self.unknown)
         ids = array("i", found).tobytes()
         if len(text) <= _LONGEST_KEPT:
-            if len(self.solved) >= _WORDS_KEPT:
-                self.solved.clear()
+            _keep(self.solved, _WORDS_KEPT)
             self.solved[text] = ids
         return ids
 
@@ -311,8 +323,7 @@ class Transducer:
         for rows, back, piece in found:
             flat[ends[rows] - 1 - back] = piece
         raw, solved = flat.tobytes(), self.solved
-        if len(solved) + len(done) > _WORDS_KEPT:
-            solved.clear()
+        _keep(solved, _WORDS_KEPT, len(done))
         stop = (4 * ends).tolist()
         for row in done.tolist():
             solved[words[row]] = raw[stop[row - 1] if row else 0 : stop[row]]
@@ -321,9 +332,8 @@ class Transducer:
         known = self.codes.get(code)
         if known is None:
             left, right = (code >> 32) - 1, self.texts[code & 0xFFFFFFFF]
-            known = self.history(right) is not None if left < 0 else self.allowed(self.texts[left], right)
-            if len(self.codes) >= _PAIRS_KEPT:
-                self.codes.clear()
+            known = self.history(right) is not None if left < 0 else self.accepted(self.texts[left], right)
+            _keep(self.codes, _PAIRS_KEPT)
             self.codes[code] = known
         return known
 

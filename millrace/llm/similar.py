@@ -8,7 +8,10 @@ then verified on the shingles themselves in a join, and only verified pairs form
 
 A tile pair with few candidates gives all of them. One with many, as a large group of near copies
 has, first gives its forest of nearest candidates; once these are verified and joined, it is read
-again for the candidates between different components.
+again, with its shingles, for what links different components. There a row only meets rows near its
+fingerprint that share one of its rarest shingles: two sets of this similarity always do (prefix filter, by
+the counts in the tiles). Their common shingles are counted, and a link is given only if it joins two
+components, so a tile pair gives fewer links than it has rows, however many pairs are near.
 """
 
 from __future__ import annotations
@@ -36,7 +39,8 @@ _BLOCK = 512
 _FINE = 8
 _SALT_ROWS = 256
 _DENSE = 8
-_KEEP_EDGES = 1 << 20
+_KEEP_EDGES = 1 << 18
+_TILE_SHINGLES = 1 << 20
 _PRINTS = [f"_f{k}" for k in range(WORDS)]
 _TILE = ["_p", "_c", "_q", "_d"]
 _PAIR_SCHEMA = "_a bigint, _b bigint, _sa int, _sb int, _p int, _c int, _q int, _d int, _all boolean"
@@ -156,13 +160,17 @@ def candidates(
                 yield x[near], y[near], far[near]
 
 
-def _pairs_of_tiles(similarity: float, final: bool):
+def _columns(group: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    nodes, sizes, labels = (group[c].to_numpy(np.int64) for c in ("_node", "_size", "_label"))
+    prints = np.stack([group[c].to_numpy(np.int64).view(np.uint64) for c in _PRINTS], axis=1)
+    return nodes, sizes, prints, labels, group["_side"].to_numpy() == 0
+
+
+def _pairs_of_tiles(similarity: float):
     dense = _DENSE
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        nodes, sizes, labels = (group[c].to_numpy(np.int64) for c in ("_node", "_size", "_label"))
-        prints = np.stack([group[c].to_numpy(np.int64).view(np.uint64) for c in _PRINTS], axis=1)
-        left = group["_side"].to_numpy() == 0
+        nodes, sizes, prints, labels, left = _columns(group)
         tile = [int(group[c].iloc[0]) for c in _TILE]
         a, b, far = (np.empty(0, np.int64) for _ in range(3))
         whole, waiting, held = True, [], 0
@@ -170,13 +178,13 @@ def _pairs_of_tiles(similarity: float, final: bool):
             for found in candidates(nodes, sizes, prints, labels, left, similarity):
                 waiting.append(found)
                 held += len(found[0])
-                if not final and held > max(_KEEP_EDGES, dense * len(group)):
+                if held > max(_KEEP_EDGES, dense * len(group)):
                     a, b, far = (np.concatenate([w[k] for w in waiting]) for k in range(3))
                     keep = _forest(a, b, far)
                     waiting, held, whole = [(a[keep], b[keep], far[keep])], int(keep.sum()), False
             if waiting:
                 a, b, far = (np.concatenate([w[k] for w in waiting]) for k in range(3))
-                if not final and (not whole or len(a) > dense * len(group)):
+                if not whole or len(a) > dense * len(group):
                     keep = _forest(a, b, far)
                     a, b, whole = a[keep], b[keep], False
         a, b = nodes[a], nodes[b]
@@ -186,13 +194,83 @@ def _pairs_of_tiles(similarity: float, final: bool):
     return run
 
 
+def joining_links(
+    nodes: np.ndarray, sizes: np.ndarray, prints: np.ndarray, labels: np.ndarray, left: np.ndarray, sets: list[np.ndarray], similarity: float
+) -> list[tuple[int, int]]:
+    """Similar pairs of rows, each joining two components (labels) that no earlier pair of the list joins.
+
+    Exact for the pairs within `RADIUS`: rows of that similarity share one of their rarest shingles, and what
+    they share is counted.
+    """
+    n = len(nodes)
+    labels = labels.copy()
+    row = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    many = np.bincount(token)
+    # Rows of each shingle; and the shingles of each row, rare ones first.
+    by_token = np.argsort(token, kind="stable")
+    holders, start = row[by_token], np.r_[0, np.cumsum(many)]
+    rare = token[np.lexsort((token, many[token], row))]
+    ends = np.cumsum(sizes)
+    prefix = sizes - np.ceil(sizes * similarity * (1 - 1e-9)).astype(np.int64) + 1
+    one = bool(left.all())
+    in_prefix = np.arange(len(rare)) - np.repeat(ends - sizes, sizes) < np.repeat(prefix, sizes)
+    first, rows_of = rare[in_prefix], row[in_prefix]
+    order = np.argsort(first, kind="stable")
+    first, rows_of = first[order], rows_of[order]
+    found = []
+    for a in np.flatnonzero(left).tolist():
+        mine = rare[ends[a] - sizes[a] : ends[a]]
+        own = mine[: prefix[a]]
+        own = own[many[own] > 1]
+        if not len(own):
+            continue
+        low, high = np.searchsorted(first, own, "left"), np.searchsorted(first, own, "right")
+        near = np.zeros(n, dtype=bool)
+        for x, y in zip(low.tolist(), high.tolist()):
+            near[rows_of[x:y]] = True
+        near &= labels != labels[a]
+        if not one:
+            near &= ~left
+        near &= (sizes >= sizes[a] * similarity * (1 - 1e-9)) & (sizes * similarity * (1 - 1e-9) <= sizes[a])
+        others = np.flatnonzero(near)
+        others = others[np.bitwise_count(prints[others] ^ prints[a]).sum(axis=1, dtype=np.int64) <= RADIUS]
+        if not len(others):
+            continue
+        common = np.zeros(n, dtype=np.int64)
+        for t in mine[many[mine] > 1].tolist():
+            common[holders[start[t] : start[t + 1]]] += 1
+        shared = common[others]
+        for b in others[shared / (sizes[a] + sizes[others] - shared) >= similarity].tolist():
+            if labels[a] != labels[b]:
+                found.append((a, b))
+                labels[labels == labels[b]] = labels[a]
+    return found
+
+
+def _links_of_tiles(similarity: float):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        nodes, sizes, prints, labels, left = _columns(group)
+        found = []
+        if left.any():
+            sets = [np.asarray(s, dtype=np.int64) for s in group["_set"]]
+            found = joining_links(nodes, sizes, prints, labels, left, sets, similarity)
+        ends = np.array(found, dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": nodes[ends[:, 0]], "b": nodes[ends[:, 1]]})
+
+    return run
+
+
 def _tiled(nodes: DataFrame, similarity: float, tile_rows: int) -> DataFrame:
     """Rows of `nodes` once for each pair of tiles they are in, `_side` 0 for the lower tile."""
     step = -math.log(similarity) / _FINE
     reach = _FINE + 1
     counted = nodes.where("_size > 0").withColumn("_p", F.floor(F.log("_size") / step).cast("int"))
-    # One row per range of sizes, some hundreds at most.
-    tiles = {r["_p"]: -(-r["count"] // tile_rows) for r in counted.groupBy("_p").count().collect()}
+    # One row per range of sizes, some hundreds at most. A tile has a bounded number of shingles, too.
+    tiles = {
+        r["_p"]: -(-r["count"] // max(1, min(tile_rows, int(_TILE_SHINGLES / math.exp((r["_p"] + 1) * step)))))
+        for r in counted.groupBy("_p").count().collect()
+    }
     top = max(tiles, default=0)
     # Places from -reach to top + reach, so that no neighbour lies outside.
     many = F.lit([tiles.get(p, 0) for p in range(-reach, top + reach + 1)])
@@ -249,7 +327,7 @@ def similar_groups(
     least = F.min(F.struct("_id", "_row", "_size", *_PRINTS)).alias("_least")
     nodes = cut(read.groupBy("_node").agg(least).select("_node", "_least.*"), "nodes")
     start = nodes.withColumn("_label", F.col("_node"))
-    found = _tiled(start, similarity, tile_rows).groupBy(*_TILE).applyInPandas(_pairs_of_tiles(similarity, False), _PAIR_SCHEMA)
+    found = _tiled(start, similarity, tile_rows).groupBy(*_TILE).applyInPandas(_pairs_of_tiles(similarity), _PAIR_SCHEMA)
     found = cut(found, "candidates")
     links = cut(verified(found, nodes, read, similarity), "links")
     roots = components(links)
@@ -259,8 +337,10 @@ def similar_groups(
             "_label", F.coalesce("root", "_node")
         )
         again = _tiled(labelled, similarity, tile_rows).join(dense, _TILE, "left_semi")
-        more = cut(again.groupBy(*_TILE).applyInPandas(_pairs_of_tiles(similarity, True), _PAIR_SCHEMA), "candidates")
-        roots = components(links.unionByName(verified(more, nodes, read, similarity)))
+        sets = nodes.select("_node", "_row").join(read.select("_row", "_set"), "_row").select("_node", "_set")
+        met = again.join(sets, "_node")
+        more = cut(met.groupBy(*_TILE).applyInPandas(_links_of_tiles(similarity), "a bigint, b bigint"), "links")
+        roots = components(links.unionByName(more))
     rooted = nodes.join(roots.withColumnRenamed("node", "_node"), "_node", "left").select(
         "_node", F.coalesce("root", "_node").alias("_root"), "_id"
     )
