@@ -1,16 +1,16 @@
 """Removal of repeated runs of lines by prefix doubling over sequences of line ids.
 
-The rank of a position is a name of the 1, 2, 4, ... lines that start there; a name of twice the
-length is the pair of ranks at the position and half way on. Spark groups equal names after every
-doubling; names that occur once leave, and doubling ends when every position left has enough text.
-Positions with one name form an interval of the suffix array whose common prefix has that length
-at least; the first of them (least id, then line) stays, and the lines that later ones cover, put
-together to maximal runs, are deleted. DataFrame functions only.
-
-With `whole`, runs of any length are found, not those of 1, 2, 4, ... lines. A run with enough text is
-the union of the least windows with enough text that start at one of its lines or end at one:
-a line before which the run holds enough is the end of such a window inside the run, any other
-lies in the window from the run's start. So grouping these two windows of every line is exact.
+The rank of a position at level k is a name of the 2^k lines that start there: at level 0 of the line, then of
+the pair of ranks at the position and half way on. Spark groups equal names after every doubling, names that
+occur once leave, and the ranks of all levels are kept. Positions with one name form an interval of the suffix array
+whose common prefix has that length at least.
+
+Any run of n lines has a name too, two ranks of the largest level that fits, one at its start and one at its end.
+A repeated run with enough text is the union of the least windows with enough text that start at one of
+its lines or end at one: a line before which the run holds enough is the end of such a window inside the run,
+any other lies in the window from the run's start. So the intervals of these two windows of every line
+give all maximal repeated runs: the first position of an interval (least id, then text, then line) stays, and the
+lines that later ones cover, put together, are deleted. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -36,12 +36,16 @@ def _place() -> Column:
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """Positions whose name occurs twice or more, with the first position of that name."""
-    names = (
+    """Positions whose name occurs twice or more, with the first position of that name.
+
+    The names are written before the join, so that the rows of one that is very frequent can be split.
+    """
+    names = cut(
         rows.groupBy("_name", "_check")
         .agg(F.count(F.lit(1)).alias("_n"), F.min(_place()).alias("_first"))
         .where("_n > 1")
-        .select("_name", "_check", "_first")
+        .select("_name", "_check", "_first"),
+        "names",
     )
     return rows.join(names, ["_name", "_check"])
 
@@ -65,9 +69,9 @@ def _least_windows(lengths: Column, min_chars: int, first: Column, step: int) ->
     return F.get(F.transform(F.array(found), lambda s: F.when(s["chars"] >= min_chars, s["n"])), F.lit(0))
 
 
-def _whole_windows(docs: DataFrame, id_column: str, text_column: str, min_chars: int) -> DataFrame:
-    """`_id, _th, _start, _end` of the later copies of all least windows with enough text."""
-    least = max(1, min_chars)  # every line has a character, its newline
+def _lines(docs: DataFrame, id_column: str, text_column: str, min_chars: int) -> DataFrame:
+    """`_id, _th, _pos, _name, _check, _ahead, _back` of each line: its names, and how many lines from it on, and up
+    to it, hold enough text just so (null if none do). Rows with equal id and text are one."""
     texts = docs.where(F.col(text_column).isNotNull()).select(
         F.col(id_column).cast("bigint").alias("_id"),
         F.xxhash64(text_column).alias("_th"),
@@ -75,84 +79,75 @@ def _whole_windows(docs: DataFrame, id_column: str, text_column: str, min_chars:
     )
     texts = texts.withColumn("_sizes", F.transform("_lines", lambda x: (F.length(x) + 1).cast("bigint")))
 
-    def windows(lines: Column, sizes: Column) -> Column:
-        def both(_: Column, i: Column) -> Column:
-            ahead, back = _least_windows(sizes, least, i, 1), _least_windows(sizes, least, i, -1)
-            return F.array(F.struct(i.alias("at"), ahead.alias("n")), F.struct((i - back + 1).alias("at"), back.alias("n")))
-
-        spans = F.filter(F.flatten(F.transform(lines, both)), lambda w: w["n"].isNotNull())
-        return F.transform(
-            spans,
-            lambda w: F.struct(
-                w["at"].alias("_pos"),
-                w["n"].alias("_n"),
-                F.xxhash64(F.slice(lines, w["at"] + 1, w["n"])).alias("_name"),
-                F.hash(F.slice(lines, w["at"] + 1, w["n"]), w["n"]).alias("_check"),
-            ),
+    def line(text: Column, i: Column) -> Column:
+        return F.struct(
+            i.alias("_pos"),
+            F.xxhash64(text).alias("_name"),
+            F.hash(text, F.length(text)).alias("_check"),
+            _least_windows(F.col("_sizes"), min_chars, i, 1).alias("_ahead"),
+            _least_windows(F.col("_sizes"), min_chars, i, -1).alias("_back"),
         )
 
-    rows = texts.select(*_PLACE, F.inline(windows(F.col("_lines"), F.col("_sizes")))).withColumnRenamed("_n", "_many")
-    # One row per place: both windows of a line may be one, and rows may be repeated.
-    rows = cut(rows.distinct(), "windows")
-    return _ranked(rows).where(_place() > F.col("_first")).select(
-        *_PLACE, F.col("_pos").alias("_start"), (F.col("_pos") + F.col("_many") - 1).alias("_end")
-    )
+    return texts.select(*_PLACE, F.inline(F.transform("_lines", line))).distinct()
 
 
-def _doubled_windows(docs: DataFrame, id_column: str, text_column: str, min_chars: int) -> DataFrame:
-    """`_id, _th, _start, _end` of the later copies of windows of 1, 2, 4, ... lines with enough text."""
-    lines = docs.where(F.col(text_column).isNotNull()).select(
-        F.col(id_column).cast("bigint").alias("_id"),
-        F.xxhash64(text_column).alias("_th"),
-        F.posexplode(F.split(text_column, "\n")).alias("_pos", "_line"),
+def _at(name: str, offset: Column) -> Column:
+    """Whether a row of the left frame and `_id2, _th2, _pos2` are `offset` lines apart in one text."""
+    return F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_th") == F.col("_th2")) & (F.col(name) + offset == F.col("_pos2"))
+
+
+def _others(ranks: DataFrame) -> DataFrame:
+    return ranks.select(
+        F.col("_id").alias("_id2"), F.col("_th").alias("_th2"), F.col("_pos").alias("_pos2"),
+        F.col("_name").alias("_name2"), F.col("_check").alias("_check2"),
+    )
+
+
+def _later_windows(docs: DataFrame, id_column: str, text_column: str, min_chars: int) -> DataFrame:
+    """`_id, _th, _start, _end` of the later copies of all least windows with enough text."""
+    least = max(1, min_chars)  # every line has a character, its newline
+    lines = cut(_ranked(_lines(docs, id_column, text_column, least)), "ranks0")
+    ranks = lines.select(*_PLACE, "_pos", "_name", "_check")
+    spans = F.array(
+        F.struct(F.col("_pos").alias("_start"), F.col("_ahead").alias("_many")),
+        F.struct((F.col("_pos") - F.col("_back") + 1).alias("_start"), F.col("_back").alias("_many")),
     )
-    level, span = 0, 1
-    ranks = lines.select(
-        *_PLACE,
-        "_pos",
-        F.xxhash64("_line").alias("_name"),
-        F.hash("_line").alias("_check"),
-        (F.length("_line") + 1).cast("bigint").alias("_chars"),
-    ).distinct()
-    decided = None
+    # A line may be the only one of both its windows, and the end of another's.
+    windows = cut(lines.select(*_PLACE, F.inline(spans)).where("_many IS NOT NULL").distinct(), "spans")
+    named, level = None, 0
     while True:
-        ranks = cut(_ranked(ranks), f"ranks{level}")
-        # A position is decided at the first length that holds enough text.
-        enough = F.col("_chars") >= min_chars
-        new = ranks.where(enough & F.col("_half") if level else enough)
-        later = new.where(_place() > F.col("_first")).select(
-            *_PLACE, F.col("_pos").alias("_start"), (F.col("_pos") + span - 1).alias("_end")
+        span = 1 << level
+        mine = windows.where(F.col("_many").between(span, 2 * span - 1))
+        starts = mine.join(_others(ranks), _at("_start", F.lit(0))).select(
+            *_PLACE, "_start", "_many", F.col("_name2").alias("_name1"), F.col("_check2").alias("_check1")
         )
-        decided = later if decided is None else decided.unionByName(later)
-        if ranks.where(~enough).isEmpty():
-            break
-        left = ranks.select(*_PLACE, "_pos", "_name", "_check", "_chars")
-        right = ranks.select(
-            F.col("_id").alias("_id2"),
-            F.col("_th").alias("_th2"),
-            (F.col("_pos") - span).alias("_pos2"),
-            F.col("_name").alias("_name2"),
-            F.col("_check").alias("_check2"),
-            F.col("_chars").alias("_chars2"),
+        both = starts.join(_others(ranks), _at("_start", F.col("_many") - span)).select(
+            *_PLACE,
+            F.col("_start").alias("_pos"),
+            "_many",
+            F.xxhash64("_name1", "_name2", "_many").alias("_name"),
+            F.hash("_check1", "_check2", "_name2").alias("_check"),
         )
-        ranks = left.join(
-            right,
-            F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_th") == F.col("_th2")) & (F.col("_pos") == F.col("_pos2")),
-        ).select(
+        named = both if named is None else named.unionByName(both)
+        if 2 * span > least:  # a least window has a line for each character at most
+            break
+        doubled = ranks.join(_others(ranks), _at("_pos", F.lit(span))).select(
             *_PLACE,
             "_pos",
             F.xxhash64("_name", "_name2").alias("_name"),
             F.hash("_check", "_check2", "_name2").alias("_check"),
-            (F.col("_chars") + F.col("_chars2")).alias("_chars"),
-            (F.col("_chars") < min_chars).alias("_half"),
         )
-        level, span = level + 1, span * 2
-    return decided
+        level += 1
+        ranks = cut(_ranked(doubled).select(*_PLACE, "_pos", "_name", "_check"), f"ranks{level}")
+    found = _ranked(cut(named, "windows"))
+    return found.where(_place() > F.col("_first")).select(
+        *_PLACE, F.col("_pos").alias("_start"), (F.col("_pos") + F.col("_many") - 1).alias("_end")
+    )
 
 
-def repeated_runs(docs: DataFrame, id_column: str, text_column: str, min_chars: int, whole: bool = False) -> DataFrame:
+def repeated_runs(docs: DataFrame, id_column: str, text_column: str, min_chars: int) -> DataFrame:
     """`_id, _th, _runs`: per text, its runs of lines to delete as sorted structs (start, end) from 0."""
-    decided = (_whole_windows if whole else _doubled_windows)(docs, id_column, text_column, min_chars)
+    decided = _later_windows(docs, id_column, text_column, min_chars)
     order = W.partitionBy(*_PLACE).orderBy("_start", "_end")
     reach = F.max("_end").over(order.rowsBetween(W.unboundedPreceding, -1))
     islands = decided.withColumn("_new", F.when(F.col("_start") <= reach + 1, 0).otherwise(1)).withColumn(
@@ -180,24 +175,20 @@ def remove_repeated_lines(
     text_column: str = "text",
     min_chars: int = MIN_CHARS,
     report: str | None = None,
-    whole: bool = False,
 ) -> DataFrame:
     """The rows and columns of `docs` with repeated runs of lines deleted from the text.
 
-    Lines end at newlines. From every line on, the window is the least number of lines out of 1, 2,
-    4, 8, ... that holds `min_chars` characters, newlines counted. Where the same window stands at a
-    smaller place (id, then hash of the text, then line) its lines are deleted; so long lines go
-    one by one, short ones only before enough repeated text, and the first copy always stays whole.
-    With `whole`, all lines of every run of lines that holds `min_chars` characters go, if the same run
-    stands at a smaller place, whatever its number of lines.
+    Lines end at newlines. All lines of every run of lines that holds `min_chars` characters, newlines counted,
+    go if the same run stands at a smaller place (id, then hash of the text, then line), whatever its
+    number of lines. The first copy always stays whole.
     `report` names an added struct `n_lines, n_removed, n_runs`.
 
     Null texts stay null; an empty text is one short line; a text whose lines all go becomes empty.
     Rows with equal id and text are one place, so that repeated rows do not delete each other; a
     null id comes before all others. Extra columns pass through whatever their names. An empty
-    table gives an empty one. The rounds end after log2(min_chars) + 1 doublings.
+    table gives an empty one. There are log2(min_chars) doublings.
     """
-    runs = repeated_runs(docs.select(id_column, text_column), id_column, text_column, min_chars, whole)
+    runs = repeated_runs(docs.select(id_column, text_column), id_column, text_column, min_chars)
     key, digest, found = (fresh(docs, c) for c in ("_line_id", "_line_text", "_line_runs"))
     runs = runs.select(F.col("_id").alias(key), F.col("_th").alias(digest), F.col("_runs").alias(found))
     joined = docs.join(

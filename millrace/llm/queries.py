@@ -136,16 +136,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+# Windows that hold enough text, and no longer do without their first or without their last line: together they
+# are all runs of enough text that stand twice.
 OP3_SQL = """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
 c AS (SELECT doc_id, l, list_transform(l, lambda x: length(x) + 1) AS n FROM d),
 p AS (SELECT doc_id, l, n, unnest(generate_series(1, len(l))) AS i FROM c),
-k AS (SELECT doc_id, l, i, w FROM p, (VALUES (1), (2), (4), (8), (16), (32), (64)) v(w)
+k AS (SELECT doc_id, i, w, array_to_string(l[i : i + w - 1], chr(10)) AS s FROM p, range(1, 41) v(w)
       WHERE i + w - 1 <= len(l) AND list_sum(n[i : i + w - 1]) >= 40
-      QUALIFY w = min(w) OVER (PARTITION BY doc_id, i)),
-t AS (SELECT doc_id, i, w, array_to_string(l[i : i + w - 1], chr(10)) AS s FROM k),
-later AS (SELECT doc_id, i, w FROM t
-          QUALIFY row_number() OVER (PARTITION BY w, s ORDER BY doc_id, i) > 1),
+        AND (w = 1 OR list_sum(n[i : i + w - 2]) < 40 OR list_sum(n[i + 1 : i + w - 1]) < 40)),
+later AS (SELECT doc_id, i, w FROM k QUALIFY row_number() OVER (PARTITION BY w, s ORDER BY doc_id, i) > 1),
 gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + w - 1)) AS i FROM later),
 runs AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE fresh) AS n_runs
          FROM (SELECT doc_id, i <> 1 + coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -9) AS fresh FROM gone)
@@ -216,7 +216,9 @@ m AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role
              unnest(generate_series(0, CASE WHEN kind = 3 THEN 1 ELSE 0 END)) AS copy FROM d WHERE kind <> 0),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM m),
 f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
-             regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS tail,
+             regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS tail,
              left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS two FROM o),
 j AS (SELECT *, tail = '' AS blank, tail <> '' AND seen AS dup, tail <> '' AND NOT seen AND tail NOT IN ('.', '!', '?') AS short FROM f),
 g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
