@@ -8,6 +8,7 @@ from itertools import product
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.order import average_ranks, running_total
+from millrace.session import cut_lineage
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -109,8 +110,10 @@ def correlation(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     if method == "spearman":
         ranks = average_ranks(df, columns)
         for place, column in enumerate(columns):
-            own = ranks.where(F.col("place") == place).select(
-                F.col("value").alias(column), F.col("rank").alias(f"_rank_{column}")
+            # Written, so that the ranks of a column of few values are known to be small and broadcast;
+            # in a column of many values no value is frequent.
+            own = cut_lineage(
+                ranks.where(F.col("place") == place).select(F.col("value").alias(column), F.col("rank").alias(f"_rank_{column}"))
             )
             df = df.join(own, column)
         inputs = {column: F.col(f"_rank_{column}") for column in columns}

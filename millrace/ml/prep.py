@@ -19,13 +19,14 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.order import numbered
+from millrace.session import cut_lineage
 
 
 def index_strings(column: str, out: str) -> StringIndexer:
     """Frequent values first, ties by name; unseen values get an index of their own.
 
     The distinct values travel to the driver, so use it for categories. For a column with an
-    unbounded number of values use `index_table` and join.
+    unbounded number of values use `JoinIndexer`.
     """
     return StringIndexer(
         inputCol=column, outputCol=out, handleInvalid="keep", stringOrderType="frequencyDesc"
@@ -39,6 +40,36 @@ def index_table(df: DataFrame, column: str, out: str = "index") -> DataFrame:
     return ranked.select(column, "n", F.col(out).cast("double").alias(out))
 
 
+class JoinIndexer(Estimator):
+    """Index of a column with any number of values: the numbering of `index_strings`, kept as a table and joined.
+
+    Values and their numbers never leave the executors. Unseen and missing values get the number after
+    the last, as with `handleInvalid="keep"`.
+    """
+
+    def __init__(self, column: str, out: str):
+        super().__init__()
+        self.column, self.out = column, out
+
+    def _fit(self, dataset: DataFrame) -> JoinIndexerModel:
+        numbers = cut_lineage(index_table(dataset, self.column, self.out).select(self.column, self.out))
+        return JoinIndexerModel(self.column, self.out, numbers, numbers.count())
+
+
+class JoinIndexerModel(Transformer):
+    """The fitted numbering. `numbers` is a written table, so a very frequent value may be split by AQE."""
+
+    def __init__(self, column: str, out: str, numbers: DataFrame, size: int):
+        super().__init__()
+        self.column, self.out, self.numbers, self.size = column, out, numbers, size
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        known = self.numbers.select(F.col(self.column).alias("_value"), F.col(self.out).alias("_number"))
+        joined = dataset.drop(self.out).join(known, F.col(self.column) == F.col("_value"), "left")
+        number = F.coalesce("_number", F.lit(float(self.size)))
+        return joined.withColumn(self.out, number).drop("_value", "_number")
+
+
 def assemble(columns: Sequence[str], out: str = "features", invalid: str = "error") -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid=invalid)
 

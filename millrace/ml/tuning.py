@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from millrace.functions.scalars import unit_hash
+
+
+def fold_of(*ids: str, folds: int = 3, seed: int = 42) -> Column:
+    """Number of the fold of a row, from a hash of its identity: the same whatever the partitioning."""
+    return F.floor(unit_hash(*ids, seed=seed) * folds).cast("int")
 
 
 def grid(choices: Mapping[Param, Sequence[Any]]) -> list[dict[Param, Any]]:
@@ -30,11 +37,14 @@ def tune(
     ratio: float = 0.8,
     seed: int = 42,
     parallelism: int = 4,
+    fold_column: str | None = None,
 ) -> tuple[Model, DataFrame]:
     """Best model, and `params, metric, best` for each combination.
 
-    `folds` picks cross validation; None picks a single split with `ratio`. Training rows are
-    read once and kept while the grid is fitted; what does not fit in memory goes to disk.
+    `folds` picks cross validation; None picks a single split with `ratio`. With `fold_column` the folds are
+    those numbered there (see `fold_of`), so that a fold's measure can be computed again by a plain
+    aggregate (a single split holds out fold 0); else they are drawn by `seed`. Pass a written table (`cut_lineage`): every fit reads it again, and
+    nothing is kept on executors that could be lost.
     """
     shared = {
         "estimator": estimator,
@@ -43,16 +53,20 @@ def tune(
         "seed": seed,
         "parallelism": parallelism,
     }
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if folds is None:
-            fitted = TrainValidationSplit(trainRatio=ratio, **shared).fit(kept)
-            metrics = fitted.validationMetrics
-        else:
-            fitted = CrossValidator(numFolds=folds, **shared).fit(kept)
-            metrics = fitted.avgMetrics
-    finally:
-        kept.unpersist()
+    if folds is None and fold_column:
+        held = F.col(fold_column) == 0
+        rest, valid = train.where(~held), train.where(held)
+        with ThreadPoolExecutor(parallelism) as pool:
+            metrics = list(pool.map(lambda chosen: evaluator.evaluate(estimator.fit(rest, chosen).transform(valid)), param_grid))
+        place = metrics.index((max if evaluator.isLargerBetter() else min)(metrics))
+        return estimator.fit(train, param_grid[place]), _report(train, param_grid, metrics, evaluator.isLargerBetter())
+    if folds is None:
+        fitted = TrainValidationSplit(trainRatio=ratio, **shared).fit(train)
+        metrics = fitted.validationMetrics
+    else:
+        fixed = {"foldCol": fold_column} if fold_column else {}
+        fitted = CrossValidator(numFolds=folds, **fixed, **shared).fit(train)
+        metrics = fitted.avgMetrics
     return fitted.bestModel, _report(train, param_grid, metrics, evaluator.isLargerBetter())
 
 
@@ -66,4 +80,4 @@ def _report(
         for number, (chosen, metric) in enumerate(zip(param_grid, metrics))
     ]
     report = df.sparkSession.createDataFrame(rows, "params STRING, metric DOUBLE, best BOOLEAN")
-    return report.withColumn("metric", F.round("metric", 6))
+    return report

@@ -79,6 +79,23 @@ def band_counts(
     )
 
 
+def session_counts(
+    df: DataFrame, gap: str, keys: Sequence[str] = (), delay: str | None = None, time: str = "event_time"
+) -> DataFrame:
+    """`start, end, *keys, n` per session: rows of the keys that follow each other within `gap`.
+
+    A session ends a gap after its last row. Rows are merged into sessions before they are shuffled, and
+    a stream's state holds the open sessions only.
+    """
+    if delay is not None:
+        df = df.withWatermark(time, delay)
+    return (
+        df.groupBy(F.session_window(time, gap).alias("session_window"), *keys)
+        .agg(F.count("*").alias("n"))
+        .select("session_window.*", *keys, "n")
+    )
+
+
 def ordered_report(df: DataFrame, *keys: str) -> DataFrame:
     """Windows in time order, the largest count of each first; `keys` break ties. Not in append mode."""
     return df.orderBy("start", F.desc("n"), *keys)

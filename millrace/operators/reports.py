@@ -66,12 +66,16 @@ def view_share(views: DataFrame, chapters: DataFrame, distinct_views: bool = Fal
     per_course = chapters.groupBy("course_id").agg(F.count("chapter_id").alias("chapters"))
     if distinct_views:
         views = views.distinct()
-    watched = (
+    return group_ratio(watched_chapters(views, chapters), per_course, "course_id", "watched", "chapters", "share")
+
+
+def watched_chapters(views: DataFrame, chapters: DataFrame) -> DataFrame:
+    """`user_id, course_id, watched`: views of chapters of a course by a user."""
+    return (
         views.join(chapters, "chapter_id")
         .groupBy("user_id", "course_id")
         .agg(F.count("chapter_id").alias("watched"))
     )
-    return group_ratio(watched, per_course, "course_id", "watched", "chapters", "share")
 
 
 def viewing_report(
@@ -86,12 +90,18 @@ def viewing_report(
 
 
 def course_ranking(views: DataFrame, chapters: DataFrame, titles: DataFrame) -> DataFrame:
-    """`course_id, total, title`: scores of all users added up per course, best course first."""
+    """`course_id, total, title`: scores of all users added up per course, best course first.
+
+    Users with equal counts in a course have equal scores: they are counted before the join.
+    """
     score = score_bands("share", SCORE_BANDS_STRICT, 0, strict=True)
+    per_course = chapters.groupBy("course_id").agg(F.count("chapter_id").alias("chapters"))
+    alike = watched_chapters(views, chapters).groupBy("course_id", "watched").agg(F.count("*").alias("users"))
     return (
-        view_share(views, chapters)
+        alike.join(per_course, "course_id")
+        .withColumn("share", F.try_divide("watched", "chapters"))
         .groupBy("course_id")
-        .agg(F.sum(score).alias("total"))
+        .agg(F.sum(score * F.col("users")).alias("total"))
         .join(titles, "course_id")
         .orderBy(F.desc("total"), "course_id")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.scalars import ERROR_EDGES, order_key, unit_hash
 from millrace.operators.order import first_by_key
+from millrace.session import cut_lineage
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
@@ -81,8 +82,12 @@ def top_group(df: DataFrame, key: str | Column, measure: Column, name: str, meas
 
 
 def group_ratio(parts: DataFrame, wholes: DataFrame, key: str, part: str, whole: str, out: str) -> DataFrame:
-    """Part count divided by the count of the group it belongs to."""
-    return parts.join(wholes, key).withColumn(out, F.try_divide(part, whole)).drop(part, whole)
+    """Part count divided by the count of the group it belongs to.
+
+    Groups may be few and large. Their counts are written first, so that Catalyst knows how small they are and
+    broadcasts them, or else AQE may split the parts of a large group.
+    """
+    return parts.join(cut_lineage(wholes), key).withColumn(out, F.try_divide(part, whole)).drop(part, whole)
 
 
 def shuffled(df: DataFrame, *ids: str, seed: int = 42) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from millrace.operators.order import numbered
+from millrace.session import cut_lineage
 
 # Fixed value: the characters a whitespace tokenizer splits at.
 TOKEN = "[^ \\t\\n\\r\\f]+"
@@ -51,8 +54,9 @@ def inverted_index(
 
     The last two list a word's files in rows of `files_per_row` at most, so that no task has to hold
     an unbounded list: block 0 has the first files of that word in order, block 1 the next ones. A word
-    in few files has block 0 alone. `n` is the word's total in every block. Rows are shuffled
-    by word once; the running place of a file inside its word comes from a sort that may spill.
+    in few files has block 0 alone. `n` is the word's total in every block. Words are counted first. Those in
+    `files_per_row` files at most, as nearly all, are one group each; for the others, places come from a
+    running total over ranges of (word, file), so that no task has all files of one word.
     """
     pairs = (
         df.select(F.explode(words(column, tokenizer, lower)).alias("word"), F.col(file_column).alias("file"))
@@ -71,13 +75,18 @@ def inverted_index(
         row = F.array_join(entries, ";").alias("postings")
     else:
         raise ValueError(f"unknown form {form!r}")
-    order = W.partitionBy("word").orderBy("file")
-    placed = pairs.select(
-        "word",
-        "file",
-        "n",
-        F.floor((F.row_number().over(order) - 1) / F.lit(files_per_row)).cast("int").alias("block"),
-        F.sum("n").over(W.partitionBy("word")).alias("_total"),
+    out = ["word", "block", "n", "postings" if form == "postings" else "files"]
+    pairs = cut_lineage(pairs)
+    totals = pairs.groupBy("word").agg(F.sum("n").alias("_total"), F.count("*").alias("_files"))
+    large = cut_lineage(totals.where(F.col("_files") > files_per_row).select("word", "_total"))
+    if large.isEmpty():
+        return pairs.groupBy("word").agg(F.lit(0).alias("block"), F.sum("n").alias("n"), row).select(*out)
+    few = pairs.join(large, "word", "left_anti").groupBy("word").agg(F.lit(0).alias("block"), F.sum("n").alias("n"), row)
+    many = numbered(pairs.join(large, "word", "left_semi"), ["word", "file"], "_place")
+    # A large word's first place, and so its blocks, from one row per word.
+    firsts = cut_lineage(many.groupBy("word").agg(F.min("_place").alias("_first"))).join(large, "word")
+    blocks = many.join(firsts, "word").withColumn(
+        "block", F.floor((F.col("_place") - F.col("_first")) / F.lit(files_per_row)).cast("int")
     )
-    listed = placed.groupBy("word", "block").agg(F.first("_total").alias("n"), row)
-    return listed.select("word", "block", "n", "postings" if form == "postings" else "files")
+    listed = blocks.groupBy("word", "block", "_total").agg(row).withColumnRenamed("_total", "n")
+    return few.select(*out).unionByName(listed.select(*out))

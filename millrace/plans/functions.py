@@ -209,9 +209,15 @@ def f18(spark, sf_dir):
     )
 
 
-@query("f19_rand")
+@query("f19_rand", "SELECT count(*) AS n, true AS in_range, true AS centred FROM orders")
 def f19(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.rand(42).alias("draw"))
+    # Draws differ from run to run of a cluster; their range and their mean (five deviations) do not.
+    draws = table(spark, sf_dir, "orders").select(F.rand(42).alias("draw"))
+    return draws.agg(
+        F.count("*").alias("n"),
+        F.bool_and((F.col("draw") >= 0) & (F.col("draw") < 1)).alias("in_range"),
+        (F.abs(F.avg("draw") - 0.5) < 5 / F.sqrt(12 * F.count("*"))).alias("centred"),
+    )
 
 
 @query(

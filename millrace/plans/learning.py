@@ -12,9 +12,9 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.ml import metrics, models, prep, tuning
+from millrace.ml import metrics, models, normal, prep, tuning
 from millrace.operators import tables as O
-from millrace.plans import views as V
+from millrace.plans import equations as E, views as V
 from millrace.plans.catalog import query
 from millrace.plans.jobs import measured_trips
 from millrace.plans.tables import TRIP_BOX
@@ -43,6 +43,14 @@ def rounded(df, digits=6):
     return df.withColumns({c: F.round(c, digits) for c, kind in df.dtypes if kind == "double"})
 
 
+def significant(df, digits=8):
+    """All double columns to so many significant digits, as measures of any size can be compared."""
+    text = f"%.{digits - 1}e"
+    return df.withColumns(
+        {c: F.when(F.col(c).isNotNull(), F.format_string(text, c)).cast("double").alias(c) for c, kind in df.dtypes if kind == "double"}
+    )
+
+
 # --- preparation ------------------------------------------------------------------------------
 
 
@@ -104,12 +112,25 @@ def payment_features(spark, sf_dir):
     return payments, [prep.assemble(O.columns_with_prefix(payments, "V")), prep.scale()]
 
 
-@query("m04_principal_components")
+@query(
+    "m04_principal_components",
+    """WITH v AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+       s AS (SELECT i, var_samp(x) / pow(max(x) - min(x), 2) AS v FROM v GROUP BY i)
+       SELECT (SELECT count(*) FROM embeddings) AS n, round(sum(v), 6) AS variance, true AS falling, true AS uncorrelated FROM s""",
+)
 def m04(spark, sf_dir):
+    # As many components as measures keep all variance; each holds no more than the one before and nothing of it.
     payments, stages = payment_features(spark, sf_dir)
-    reduced = prep.build_pipeline([*stages, prep.reduce(3)]).fit(payments).transform(payments)
-    values = vector_to_array("reduced")
-    return reduced.select("id", *[F.round(values[n], 6).alias(f"pc{n + 1}") for n in range(3)])
+    whole = prep.build_pipeline([*stages, prep.reduce(V.MEASURES)]).fit(payments).transform(payments)
+    parts = [vector_to_array("reduced")[n] for n in range(V.MEASURES)]
+    kept = whole.select(*[part.alias(f"pc{n}") for n, part in enumerate(parts)])
+    spreads = [F.var_samp(f"pc{n}") for n in range(V.MEASURES)]
+    return kept.agg(
+        F.count("*").alias("n"),
+        F.round(sum(spreads[1:], spreads[0]), 6).alias("variance"),
+        ((spreads[0] >= spreads[1]) & (spreads[1] >= spreads[2])).alias("falling"),
+        (F.greatest(*[F.abs(F.corr(f"pc{a}", f"pc{b}")) for a, b in ((0, 1), (0, 2), (1, 2))]) < 1e-6).alias("uncorrelated"),
+    )
 
 
 TOKENS_SQL = """tokens AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\\W'), lambda x: x <> '')
@@ -226,27 +247,80 @@ def split_prices(spark, sf_dir):
 
 
 def evaluated(estimator, train, test, label):
-    return rounded(metrics.regression_metrics(estimator.fit(train).transform(test), label))
+    return significant(metrics.regression_metrics(estimator.fit(train).transform(test), label))
 
 
-@query("m11_generalized_linear")
+SCALED_SQL = f"""bounds AS (SELECT {', '.join(f'min({c}) AS lo_{c}, max({c}) AS hi_{c}' for c in NUMBERS)} FROM lineitem WHERE {SPLIT_SQL}),
+scaled AS (SELECT l_orderkey, l_extendedprice AS price, {SPLIT_SQL} AS training,
+  {', '.join(f'({c} - lo_{c}) / (hi_{c} - lo_{c}) AS f{n}' for n, c in enumerate(NUMBERS))} FROM lineitem, bounds),
+train AS (SELECT * FROM scaled WHERE training)"""
+SCALED = [f"f{n}" for n in range(len(NUMBERS))]
+
+
+@query(
+    "m11_generalized_linear",
+    f"""WITH {SCALED_SQL}, {E.solved('w', 'train', SCALED, 'price', 0.3)},
+        tested AS (SELECT price, {E.predicted(SCALED)} AS p FROM scaled, w WHERE NOT training)
+        {E.metrics('price', 'p', 'tested')}""",
+)
 def m11(spark, sf_dir):
     return evaluated(models.generalized_linear("price"), *split_prices(spark, sf_dir), "price")
 
 
-@query("m12_boosted_trees")
-def m12(spark, sf_dir):
-    return evaluated(models.boosted_trees("price"), *split_prices(spark, sf_dir), "price")
+@query(
+    "m11_normal_equations",
+    f"""WITH {SCALED_SQL}, {E.solved('w', 'train', SCALED, 'price', 0.3)}
+        SELECT unnest(['f0', 'f1', 'f2', 'intercept']) AS name, unnest([round(w0, 4), round(w1, 4), round(w2, 4), round(c, 4)]) AS value,
+               true AS agrees FROM w""",
+)
+def m11_normal(spark, sf_dir):
+    # The library's solver and the sums of products over the same rows agree on every weight.
+    train, _ = split_prices(spark, sf_dir)
+    fitted = models.generalized_linear("price").fit(train)
+    values = vector_to_array("scaled")
+    flat = train.select("price", *[values[n].alias(f"f{n}") for n in range(len(NUMBERS))])
+    own = normal.model_table(flat, normal.fit_linear(flat, SCALED, "price", 0.3))
+    theirs = spark.createDataFrame(
+        [*zip(SCALED, map(float, fitted.coefficients)), ("intercept", float(fitted.intercept))], "name STRING, theirs DOUBLE"
+    )
+    same = F.abs(F.col("value") - F.col("theirs")) <= 1e-8 * F.greatest(F.abs("value"), F.lit(1.0))
+    return own.join(theirs, "name").select("name", F.round("value", 4).alias("value"), same.alias("agrees"))
 
 
-@query("m13_forest_regressor")
-def m13(spark, sf_dir):
-    return evaluated(models.forest_regressor("price"), *split_prices(spark, sf_dir), "price")
+def sound(model, train, test, label):
+    """One row `n, finite, fits`: every test row has a prediction, and the training rows are on average nearer to
+    theirs than to the mean label. (These labels are drawn at random: nothing in them carries over to new rows.)"""
+    predicted = model.transform(test)
+    usable = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    error = F.avg((F.col("prediction") - F.col(label)) ** 2)
+    fits = model.transform(train).agg((error < F.var_pop(label) * (1 + 1e-9)).alias("fits"))
+    return predicted.agg(F.count("*").alias("n"), F.bool_and(usable).alias("finite")).crossJoin(fits)  # one row each
+
+
+SOUND_SQL = f"SELECT count(*) AS n, true AS finite, true AS fits FROM lineitem WHERE NOT {SPLIT_SQL}"
+
+
+@query("m12_boosted_trees", SOUND_SQL)
+def m12(spark, sf_dir):
+    train, test = split_prices(spark, sf_dir)
+    return sound(models.boosted_trees("price").fit(train), train, test, "price")
 
 
-def classified(estimator, train, test, label):
-    predicted = cut_lineage(estimator.fit(train).transform(test).select(label, "prediction"))
-    return rounded(metrics.classification_metrics(predicted, label))
+@query("m13_forest_regressor", SOUND_SQL)
+def m13(spark, sf_dir):
+    train, test = split_prices(spark, sf_dir)
+    return sound(models.forest_regressor("price").fit(train), train, test, "price")
+
+
+def sound_classes(model, train, test, label, score):
+    """One row `n, classes, separates`: every test row has a known class, and the score puts the training rows of the
+    two classes in the right order more often than not."""
+    kept = cut_lineage(model.transform(train).select(F.col(label).cast("double").alias("y"), vector_to_array(score)[1].alias("score")))
+    return model.transform(test).agg(
+        F.count("*").alias("n"),
+        F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("classes"),
+        F.first(metrics.auc(kept, "y", "score").scalar() > 0.5).alias("separates"),
+    )
 
 
 def split_payments(spark, sf_dir):
@@ -257,20 +331,27 @@ def split_payments(spark, sf_dir):
     return tuple(cut_lineage(fitted.transform(part).select("id", "scaled", "fraud")) for part in (train, test))
 
 
-@query("m14_logistic_regression")
+PAYMENT_SPLIT_SQL = "substr(md5(vec_id || '|42'), 1, 8) <= 'cccccccc'"
+SOUND_CLASSES_SQL = f"""SELECT count(*) AS n, true AS classes, true AS separates
+  FROM embeddings WHERE NOT {PAYMENT_SPLIT_SQL}"""
+
+
+@query("m14_logistic_regression", SOUND_CLASSES_SQL)
 def m14(spark, sf_dir):
-    model = models.logistic_regression("fraud", "scaled", threshold=0.3)
-    return classified(model, *split_payments(spark, sf_dir), "fraud")
+    train, test = split_payments(spark, sf_dir)
+    return sound_classes(models.logistic_regression("fraud", "scaled", threshold=0.3).fit(train), train, test, "fraud", "probability")
 
 
-@query("m15_forest_classifier")
+@query("m15_forest_classifier", SOUND_CLASSES_SQL)
 def m15(spark, sf_dir):
-    return classified(models.forest_classifier("fraud", "scaled"), *split_payments(spark, sf_dir), "fraud")
+    train, test = split_payments(spark, sf_dir)
+    return sound_classes(models.forest_classifier("fraud", "scaled").fit(train), train, test, "fraud", "probability")
 
 
-@query("m16_linear_svm")
+@query("m16_linear_svm", SOUND_CLASSES_SQL)
 def m16(spark, sf_dir):
-    return classified(models.linear_svm("fraud"), *split_payments(spark, sf_dir), "fraud")
+    train, test = split_payments(spark, sf_dir)
+    return sound_classes(models.linear_svm("fraud").fit(train), train, test, "fraud", "rawPrediction")
 
 
 LINE_SQL = f"""line AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b,
@@ -297,40 +378,68 @@ def m17(spark, sf_dir):
     return predicted.select("l_orderkey", "price", F.round("prediction", 3).alias("prediction"))
 
 
-@query("m19_cross_validation")
-def m19(spark, sf_dir):
+FOLDS = 3
+# The hexadecimal digits of a hash below k / 3 of their range: the folds of `tuning.fold_of`.
+FOLD_SQL = "CAST(floor(CAST('0x' || substr(md5(l_orderkey || '|7'), 1, 8) AS BIGINT) / 4294967296.0e0 * 3) AS INTEGER)"
+
+
+def fold_errors_sql(penalties, folds):
+    """Table expressions ending in `errors(fold, penalty, rmse)`: ridge models of all other folds, tried on each."""
+    parts = [f"{SCALED_SQL}, folded AS (SELECT *, {FOLD_SQL} AS fold FROM train)",
+             f"others AS (SELECT folded.*, k FROM folded, (VALUES {', '.join(f'({k})' for k in folds)}) v(k) WHERE fold <> k)"]
+    for n, penalty in enumerate(penalties):
+        parts.append(E.solved(f"w{n}_", "others", SCALED, "price", penalty, keys="k"))
+        parts.append(
+            f"e{n} AS (SELECT k, {penalty} AS penalty, sqrt(avg(pow(price - ({E.predicted(SCALED)}), 2))) AS rmse "
+            f"FROM folded JOIN w{n}_ ON fold = k GROUP BY k)"
+        )
+    return ",\n".join(parts) + ",\nerrors AS (" + " UNION ALL ".join(f"SELECT * FROM e{n}" for n in range(len(penalties))) + ")"
+
+
+def folded_prices(spark, sf_dir):
     train, _ = split_prices(spark, sf_dir)
+    return train.withColumn("fold", tuning.fold_of("l_orderkey", folds=FOLDS, seed=7))
+
+
+@query(
+    "m19_cross_validation",
+    f"""WITH {fold_errors_sql([0.0, 0.3], range(3))},
+        means AS (SELECT penalty, avg(rmse) AS metric FROM errors GROUP BY 1)
+        SELECT 'maxIter=' || i || ', regParam=' || penalty AS params, round(metric, 4) AS metric FROM means, (VALUES (10), (20)) v(i)""",
+)
+def m19(spark, sf_dir):
     estimator = models.linear_regression("price")
     choices = tuning.grid({estimator.regParam: [0.0, 0.3], estimator.maxIter: [10, 20]})
-    _, report = tuning.tune(estimator, train, choices, RegressionEvaluator(labelCol="price"))
-    return report
+    evaluator = RegressionEvaluator(labelCol="price")
+    _, report = tuning.tune(estimator, folded_prices(spark, sf_dir), choices, evaluator, folds=FOLDS, fold_column="fold")
+    return report.select("params", F.round("metric", 4).alias("metric"))
 
 
-@query("m20_validation_split")
+@query(
+    "m20_validation_split",
+    f"""WITH {fold_errors_sql([0.6, 0.9], [0])}
+        SELECT 'maxIter=' || i || ', regParam=' || penalty AS params, round(rmse, 4) AS metric
+        FROM errors, (VALUES (15), (20), (25)) v(i)""",
+)
 def m20(spark, sf_dir):
-    train, _ = split_prices(spark, sf_dir)
     estimator = models.generalized_linear("price")
     choices = tuning.grid({estimator.maxIter: [15, 20, 25], estimator.regParam: [0.6, 0.9]})
-    _, report = tuning.tune(estimator, train, choices, RegressionEvaluator(labelCol="price"), folds=None)
-    return report
+    evaluator = RegressionEvaluator(labelCol="price")
+    _, report = tuning.tune(estimator, folded_prices(spark, sf_dir), choices, evaluator, folds=None, fold_column="fold")
+    return report.select("params", F.round("metric", 4).alias("metric"))
 
 
 @query(
     "m21_best_parameters",
-    "SELECT 'regParam=0.0' AS params, true AS best",
+    f"""WITH {fold_errors_sql([50.0, 0.0, 0.3, 5000.0], range(3))}
+        SELECT 'regParam=' || penalty AS params, round(avg(rmse), 4) AS metric FROM errors GROUP BY penalty ORDER BY avg(rmse) LIMIT 1""",
 )
 def m21(spark, sf_dir):
-    # One feature is twice the label, so a heavy penalty must lose.
-    trips = V.trips(table(spark, sf_dir, "lineitem")).select("id", "trip_duration", "passenger_count")
-    rows = prep.assemble(["passenger_count", "doubled"]).transform(
-        trips.withColumn("doubled", F.col("trip_duration") * 2)
-    )
-    train = cut_lineage(rows.select("features", "trip_duration"))
-    estimator = models.linear_regression("trip_duration", "features")
-    choices = tuning.grid({estimator.regParam: [500.0, 0.0]})
-    evaluator = RegressionEvaluator(labelCol="trip_duration")
-    _, report = tuning.tune(estimator, train, choices, evaluator, folds=2)
-    return report.where("best").select("params", "best")
+    estimator = models.linear_regression("price")
+    choices = tuning.grid({estimator.regParam: [50.0, 0.0, 0.3, 5000.0]})
+    evaluator = RegressionEvaluator(labelCol="price")
+    _, report = tuning.tune(estimator, folded_prices(spark, sf_dir), choices, evaluator, folds=FOLDS, fold_column="fold")
+    return report.where("best").select("params", F.round("metric", 4).alias("metric"))
 
 
 # --- samples ----------------------------------------------------------------------------------
@@ -346,10 +455,18 @@ def m22(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("m22_random_split")
+@query("m22_random_split", "SELECT count(*) AS n, true AS apart, true AS usual FROM orders")
 def m22_random(spark, sf_dir):
+    # Every row is in just one part, and the parts are about as large as asked for.
     train, test = cut_lineage(table(spark, sf_dir, "orders").select("o_orderkey")).randomSplit([0.8, 0.2], 42)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    both = train.withColumn("in_train", F.lit(1)).unionByName(test.withColumn("in_train", F.lit(0)))
+    share = F.avg("in_train")
+    margin = 5 * 0.4 / F.sqrt(F.count("*"))  # five deviations
+    return both.agg(
+        F.count("*").alias("n"),
+        (F.count("*") == F.count_distinct("o_orderkey")).alias("apart"),
+        (F.abs(share - 0.8) < margin).alias("usual"),
+    )
 
 
 @query(
@@ -540,73 +657,134 @@ def all_reports(reports):
     return reduce(lambda a, b: a.unionByName(b), named)
 
 
-@query("r10_trip_models")
-def r10_models(spark, sf_dir):
+def each_model(names, sql):
+    """SQL of a report with the same row for each model."""
+    return f"SELECT model, r.* FROM (VALUES {', '.join(f'({n!r})' for n in names)}) v(model), ({sql}) r"
+
+
+def with_folds(train, *ids):
+    """Training rows with the folds of a tuning, fixed by a hash of their identity."""
+    return train.withColumn("fold", tuning.fold_of(*ids, folds=FOLDS, seed=7))
+
+
+TRIP_SPLIT_SQL = "substr(md5(id || '|42'), 1, 8) <= 'cccccccc'"
+# The grids of the trip models.
+TRIP_GRIDS = {
+    "generalized": {"maxIter": [15, 20, 25], "regParam": [0.6, 0.9]},
+    "boosted": {"maxIter": [15, 20, 25]},
+    "forest": {"maxDepth": [5, 10, 15], "numTrees": [50, 80]},
+}
+
+
+def chosen_grid(estimator, values):
+    return tuning.grid({getattr(estimator, name): choices for name, choices in values.items()})
+
+
+@query(
+    "r10_trip_models",
+    f"WITH {CLEAN_SQL} "
+    + each_model(
+        ["linear", *TRIP_GRIDS], f"SELECT count(*) AS n, true AS finite, true AS fits FROM clean WHERE NOT {TRIP_SPLIT_SQL}"
+    ),
+)
+def r10_models(spark, sf_dir, grids=TRIP_GRIDS):
     label = "trip_duration"
     train, test = prepared_trips(spark, sf_dir)
+    folded = with_folds(train, "id")
     evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
-    linear, glr = models.linear_regression(label), models.generalized_linear(label)
-    gbt, forest = models.boosted_trees(label), models.forest_regressor(label)
-    single, crossed = {"folds": None, "ratio": 0.8}, {"folds": 3}
     tuned = {
-        "generalized": (glr, {glr.maxIter: [15, 25], glr.regParam: [0.6, 0.9]}, single),
-        "boosted": (gbt, {gbt.maxIter: [5, 10]}, single),
-        "forest": (forest, {forest.maxDepth: [5], forest.numTrees: [10, 20]}, crossed),
+        "generalized": (models.generalized_linear(label), None),
+        "boosted": (models.boosted_trees(label), None),
+        "forest": (models.forest_regressor(label), FOLDS),
     }
-    reports = {"linear": evaluated(linear, train, test, label)}
-    for name, (estimator, choices, how) in tuned.items():
-        best, _ = tuning.tune(estimator, train, tuning.grid(choices), evaluator, **how)
-        reports[name] = rounded(metrics.regression_metrics(best.transform(test), label))
-    return all_reports(reports)
+    fitted = {"linear": models.linear_regression(label).fit(train)}
+    for name, (estimator, folds) in tuned.items():
+        grid = chosen_grid(estimator, grids[name])
+        fitted[name], _ = tuning.tune(estimator, folded, grid, evaluator, folds=folds, fold_column="fold")
+    return all_reports({name: sound(model, train, test, label) for name, model in fitted.items()})
 
 
-@query("r10_error_bands")
+BANDED_SQL = """CASE WHEN e <= 50 THEN '0-50' WHEN e <= 200 THEN '50-200' WHEN e <= 500 THEN '200-500'
+  WHEN e <= 5000 THEN '500-5000' ELSE '5000+' END"""
+
+
+@query(
+    "r10_error_bands",
+    f"""WITH {CLEAN_SQL}, ready AS (SELECT *, CASE store_and_fwd_flag WHEN 'N' THEN 0 ELSE 1 END AS flag_ind FROM clean),
+        train AS (SELECT * FROM ready WHERE {TRIP_SPLIT_SQL}), {E.solved('w', 'train', TRIP_FEATURES, 'trip_duration')},
+        errors AS (SELECT abs(trip_duration - ({E.predicted(TRIP_FEATURES)})) AS e FROM ready, w WHERE NOT {TRIP_SPLIT_SQL})
+        SELECT {BANDED_SQL} AS range, count(*) AS n FROM errors GROUP BY 1""",
+)
 def r10_bands(spark, sf_dir):
     train, test = prepared_trips(spark, sf_dir)
     predicted = models.linear_regression("trip_duration").fit(train).transform(test)
     return O.error_bands(predicted, "trip_duration")
 
 
-def class_report(model, test, label):
-    """Weighted metrics next to the area under the ROC curve, from predictions written once."""
-    score = "probability" if "probability" in model.transform(test).columns else "rawPrediction"
-    predicted = cut_lineage(
-        model.transform(test).select(label, "prediction", vector_to_array(score)[1].alias("score"))
-    )
-    both = metrics.classification_metrics(predicted, label).withColumn(
-        "auc", metrics.auc(predicted, label, "score").scalar()
-    )
-    return rounded(both)
+# The grids of the fraud models.
+FRAUD_GRIDS = {
+    "logistic": {"k": [3, 6, 9], "maxIter": [5, 10], "threshold": [0.5, 0.75]},
+    "svm": {"k": [3, 6, 9], "maxIter": [5, 10], "regParam": [0.2, 0.4]},
+    "forest": {"k": [3, 6, 9], "maxDepth": [3, 7, 9], "numTrees": [40, 60, 80]},
+}
 
 
-@query("r11_fraud_models")
-def r11(spark, sf_dir):
+def balanced_sql(source, rare, id_column):
+    """Ids of a balanced sample: all rows of the rarer class and as many others, by hash."""
+    return f"""(SELECT {id_column} FROM {source} WHERE {rare} UNION ALL
+      (SELECT {id_column} FROM {source} WHERE NOT ({rare}) ORDER BY md5({id_column} || '|42'), {id_column}
+       LIMIT (SELECT count(*) FROM {source} WHERE {rare})))"""
+
+
+@query(
+    "r11_fraud_models",
+    each_model(
+        FRAUD_GRIDS,
+        f"""SELECT count(*) AS n, true AS classes, true AS separates
+            FROM {balanced_sql('embeddings', 'label = 0', 'vec_id')} WHERE NOT {PAYMENT_SPLIT_SQL}""",
+    ),
+)
+def r11(spark, sf_dir, grids=FRAUD_GRIDS):
     payments, stages = payment_features(spark, sf_dir)
     train, test = O.hash_split(cut_lineage(O.balance(payments, "fraud", "id")), ["id"])
     scaled = prep.build_pipeline(stages).fit(train)
     train, test = (cut_lineage(scaled.transform(part).select("id", "scaled", "fraud")) for part in (train, test))
     f1 = MulticlassClassificationEvaluator(labelCol="fraud", metricName="f1")
     roc = BinaryClassificationEvaluator(labelCol="fraud")
-    reduced = prep.reduce(3)
-    logistic = models.logistic_regression("fraud", "reduced")
-    svm = models.linear_svm("fraud", "reduced")
-    forest = models.forest_classifier("fraud", "reduced")
-    # The number of components is tuned together with the model, hence a pipeline of both.
-    choices = {
-        "logistic": (logistic, {reduced.k: [3, 6], logistic.threshold: [0.5, 0.75]}, f1),
-        "svm": (svm, {reduced.k: [3, 6]}, roc),
-        "forest": (forest, {reduced.k: [3, 6], forest.maxDepth: [3]}, roc),
+    kinds = {
+        "logistic": (models.logistic_regression("fraud", "reduced"), f1, "probability"),
+        "svm": (models.linear_svm("fraud", "reduced"), roc, "rawPrediction"),
+        "forest": (models.forest_classifier("fraud", "reduced"), roc, "probability"),
     }
     reports = {}
-    for name, (estimator, grid, evaluator) in choices.items():
+    for name, (estimator, evaluator, score) in kinds.items():
+        # The number of components is tuned together with the model, hence a pipeline of both.
+        reduced = prep.reduce(3)
+        choices = {getattr(reduced if key == "k" else estimator, key): values for key, values in grids[name].items()}
         whole = prep.build_pipeline([reduced], estimator)
-        best, _ = tuning.tune(whole, train, tuning.grid(grid), evaluator, folds=3)
-        reports[name] = class_report(best, test, "fraud")
+        best, _ = tuning.tune(whole, with_folds(train, "id"), tuning.grid(choices), evaluator, folds=FOLDS, fold_column="fold")
+        reports[name] = sound_classes(best, train, test, "fraud", score)
     return all_reports(reports)
 
 
-@query("r12_text_models")
-def r12(spark, sf_dir):
+# The grids and folds of the text models.
+TEXT_GRIDS = {
+    "logistic": {"maxIter": [30, 40, 50], "threshold": [0.8, 0.85]},
+    "forest": {"maxDepth": [2, 4, 5], "numTrees": [20, 30, 40]},
+}
+TEXT_FOLDS = {"logistic": 3, "forest": 5}
+
+
+@query(
+    "r12_text_models",
+    "WITH m AS (SELECT doc_id AS id, quality FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL AND quality IS NOT NULL) "
+    + each_model(
+        TEXT_GRIDS,
+        f"""SELECT count(*) AS n, true AS classes, true AS separates
+            FROM {balanced_sql('m', 'quality = 0', 'id')} WHERE NOT {TRIP_SPLIT_SQL}""",
+    ),
+)
+def r12(spark, sf_dir, grids=TEXT_GRIDS, folds=TEXT_FOLDS):
     raw = V.messages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     words = prep.remove_stop_words().transform(prep.tokenize().transform(prep.strip_digits(O.drop_missing(raw))))
     kept = cut_lineage(words.select("id", "filtered", "target"))
@@ -617,65 +795,111 @@ def r12(spark, sf_dir):
     train, test = O.hash_split(balanced, ["id"])
     roc = BinaryClassificationEvaluator(labelCol="target")
     f1 = MulticlassClassificationEvaluator(labelCol="target", metricName="f1")
-    logistic, forest = models.logistic_regression("target"), models.forest_classifier("target")
-    choices = {
-        "logistic": (prep.hash_terms(), logistic, {logistic.maxIter: [10], logistic.threshold: [0.5, 0.8]}, f1),
-        "forest": (prep.count_terms(), forest, {forest.maxDepth: [4], forest.numTrees: [20, 30]}, roc),
+    kinds = {
+        "logistic": (prep.hash_terms(), models.logistic_regression("target"), f1),
+        "forest": (prep.count_terms(), models.forest_classifier("target"), roc),
     }
     reports = {}
-    for name, (features, estimator, grid, evaluator) in choices.items():
+    for name, (features, estimator, evaluator) in kinds.items():
         fitted = prep.build_pipeline([features]).fit(train)
         parts = [cut_lineage(fitted.transform(part).select("id", "features", "target")) for part in (train, test)]
-        best, _ = tuning.tune(estimator, parts[0], tuning.grid(grid), evaluator, folds=3)
-        reports[name] = class_report(best, parts[1], "target")
+        folded = parts[0].withColumn("fold", tuning.fold_of("id", folds=folds[name], seed=7))
+        grid = chosen_grid(estimator, grids[name])
+        best, _ = tuning.tune(estimator, folded, grid, evaluator, folds=folds[name], fold_column="fold")
+        reports[name] = sound_classes(best, *parts, "target", "probability")
     return all_reports(reports)
 
 
-@query("r13_fire_models")
-def r13_fires(spark, sf_dir):
+# The grid of the fire model, and the part of it that the query goes through: trees of 30 levels may
+# have a leaf for each row (see README).
+FIRE_GRID_WHOLE = {"maxDepth": [5, 10, 15, 20, 25, 30], "numTrees": [20, 40, 60, 80, 100, 120]}
+FIRE_GRID = {"maxDepth": [5, 10], "numTrees": [20, 40]}
+
+
+@query(
+    "r13_fire_models",
+    each_model(
+        ["linear", "forest"],
+        "SELECT count(*) AS n, true AS finite, true AS fits FROM lineitem WHERE l_partkey % 50 <> 0",
+    ),
+)
+def r13_fires(spark, sf_dir, grid=FIRE_GRID):
     path = new_folder(spark, "csv")
     files.write_csv(V.fire_strings(table(spark, sf_dir, "lineitem")), path, header=True)
     fires = files.cast_columns(files.read_csv_strings(spark, path, V.FIRE_COLUMNS), V.FIRE_TYPES)
     fires = O.drop_missing(fires.drop("X", "Y", "month", "day"))
+    features = [c for c in fires.columns if c != "area"]
     train, test = O.hash_split(fires, fires.columns)
-    stages = [prep.assemble([c for c in fires.columns if c != "area"]), prep.scale()]
-    fitted = prep.build_pipeline(stages).fit(train)
-    train, test = (cut_lineage(fitted.transform(part).select("scaled", "area")) for part in (train, test))
+    fitted = prep.build_pipeline([prep.assemble(features), prep.scale()]).fit(train)
+    folded = with_folds(train, *fires.columns)
+    train, test = (
+        cut_lineage(fitted.transform(part).select("scaled", "area", *extra)) for part, extra in ((folded, ["fold"]), (test, []))
+    )
     forest = models.forest_regressor("area")
     best, _ = tuning.tune(
-        forest,
-        train,
-        tuning.grid({forest.maxDepth: [5], forest.numTrees: [10, 20]}),
-        RegressionEvaluator(labelCol="area"),
+        forest, train, chosen_grid(forest, grid), RegressionEvaluator(labelCol="area"), folds=FOLDS, fold_column="fold"
     )
+    linear = models.linear_regression("area").fit(train)
+    trained = train.agg(F.count("*").alias("_trained"))
+    reports = {name: sound(model, train, test, "area") for name, model in (("linear", linear), ("forest", best))}
+    # Rows of both parts: all complete ones are in one of them.
     return all_reports(
-        {
-            "linear": evaluated(models.linear_regression("area"), train, test, "area"),
-            "forest": rounded(metrics.regression_metrics(best.transform(test), "area")),
-        }
+        {name: report.crossJoin(trained).withColumn("n", F.col("n") + F.col("_trained")).drop("_trained") for name, report in reports.items()}
     )
 
 
-@query("r13_rating_model")
+GAME_SPLIT_SQL = "substr(md5(game_id || '|42'), 1, 8) <= 'cccccccc'"
+
+
+@query(
+    "r13_rating_model",
+    f"""WITH games AS (SELECT o_orderkey AS game_id, c_name AS nickname, CAST(trunc(o_totalprice / 1000) AS INTEGER) AS score,
+                              CAST(trunc(c_acctbal / 10 + o_totalprice / 2000) AS INTEGER) AS rating
+                       FROM orders JOIN customer ON o_custkey = c_custkey),
+        numbers AS (SELECT nickname, row_number() OVER (ORDER BY count(*) DESC, nickname) - 1 AS number
+                    FROM games WHERE {GAME_SPLIT_SQL} GROUP BY 1),
+        ready AS (SELECT games.*, coalesce(number, (SELECT count(*) FROM numbers))::DOUBLE AS player FROM games LEFT JOIN numbers USING (nickname)),
+        train AS (SELECT * FROM ready WHERE {GAME_SPLIT_SQL}), {E.solved('w', 'train', ['player', 'score'], 'rating')},
+        tested AS (SELECT rating, {E.predicted(['player', 'score'])} AS p FROM ready, w WHERE NOT {GAME_SPLIT_SQL})
+        {E.metrics('rating', 'p', 'tested')}""",
+)
 def r13_ratings(spark, sf_dir):
     rated = O.drop_missing(V.ratings(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")))
     train, test = O.hash_split(rated, ["game_id"])
-    stages = [prep.index_strings("nickname", "player"), prep.assemble(["player", "score"]), prep.scale()]
+    stages = [prep.JoinIndexer("nickname", "player"), prep.assemble(["player", "score"]), prep.scale()]
     _, predicted = prep.fit_predict(prep.build_pipeline(stages, models.linear_regression("rating")), train, test)
-    return rounded(metrics.regression_metrics(predicted, "rating"))
+    return significant(metrics.regression_metrics(predicted, "rating"))
 
 
-@query("r13_duration_report")
+GAME_FEATURES = ["initial_time_seconds", "increment_seconds", "max_overtime_minutes", "winner_index"]
+
+
+@query(
+    "r13_duration_report",
+    f"""WITH games AS (SELECT o_orderkey AS game_id, o_custkey % 20 * 60 AS initial_time_seconds, o_orderkey % 10 AS increment_seconds,
+                              o_orderkey % 4 AS max_overtime_minutes, o_orderstatus AS winner,
+                              o_totalprice / 500 + o_custkey % 20 * 30 AS seconds FROM orders),
+        numbers AS (SELECT winner, (row_number() OVER (ORDER BY count(*) DESC, winner) - 1)::DOUBLE AS winner_index
+                    FROM games WHERE {GAME_SPLIT_SQL} GROUP BY 1),
+        ready AS (SELECT games.*, winner_index, CASE WHEN {GAME_SPLIT_SQL} THEN 'train' ELSE 'test' END AS part FROM games JOIN numbers USING (winner)),
+        train AS (SELECT * FROM ready WHERE part = 'train'), {E.solved('w', 'train', GAME_FEATURES, 'seconds')},
+        errors AS (SELECT part, seconds, seconds - ({E.predicted(GAME_FEATURES)}) AS e FROM ready, w),
+        quality AS (SELECT part, sqrt(avg(e * e)) AS rmse, 1 - avg(e * e) / var_pop(seconds) AS r2 FROM errors GROUP BY 1)
+        SELECT part, name, CAST(printf('%.7e', value) AS DOUBLE) AS value FROM (
+          SELECT 'model' AS part, unnest(['coefficient_0', 'coefficient_1', 'coefficient_2', 'coefficient_3', 'intercept']) AS name,
+                 unnest([w0, w1, w2, w3, c]) AS value FROM w
+          UNION ALL SELECT part, unnest(['rmse', 'r2']), unnest([rmse, r2]) FROM quality)""",
+)
 def r13_durations(spark, sf_dir):
     played = V.games(table(spark, sf_dir, "orders"))
     train, test = O.hash_split(played, ["game_id"])
     # The duration is the label and therefore no feature.
-    inputs = ["initial_time_seconds", "increment_seconds", "max_overtime_minutes", "winner_index"]
-    fitted = prep.build_pipeline([prep.index_strings("winner", "winner_index"), prep.assemble(inputs)]).fit(train)
+    stages = [prep.index_strings("winner", "winner_index"), prep.assemble(GAME_FEATURES)]
+    fitted = prep.build_pipeline(stages).fit(train)
     train, test = (fitted.transform(part).select("features", "game_duration_seconds") for part in (train, test))
     train = cut_lineage(train)
     model = models.linear_regression("game_duration_seconds", "features").fit(train)
-    return models.linear_report(model, test, digits=4)
+    return significant(models.linear_report(model, test, digits=15))
 
 
 @query(

@@ -7,8 +7,9 @@ and its table is returned.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from uuid import uuid4
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from millrace.operators import logs, topics
 from millrace.plans import views as V
@@ -16,13 +17,11 @@ from millrace.plans.catalog import query
 from millrace.plans.jobs import SLIDING_SQL
 from millrace.session import new_folder
 from millrace.sources import files, payload, topics as S
-from millrace.streaming import joins, run, words
+from millrace.streaming import arrival, joins, run, state, words
 
 table = V.table
 
 DELAY = "3 minutes"
-# A window is written once the watermark has passed its end: the newest event minus the delay.
-CLOSED = "(SELECT max(ts) - INTERVAL 3 MINUTES FROM events)"
 
 
 # --- file streams -----------------------------------------------------------------------------
@@ -219,10 +218,11 @@ def t02(spark, sf_dir):
 
 
 def parsed_stream(spark, sf_dir):
-    return logs.parse_log(V.log_lines(V.event_stream(spark, sf_dir)))
+    """Parsed log lines as they arrive; the last one lets all windows before it close."""
+    return logs.parse_log(V.log_lines(V.event_arrivals(spark, sf_dir)()))
 
 
-@query("t03_sliding_counts_stream", f"SELECT * FROM ({SLIDING_SQL}) WHERE \"end\" <= {CLOSED}")
+@query("t03_sliding_counts_stream", SLIDING_SQL)
 def t03(spark, sf_dir):
     counts = logs.windowed_counts(
         parsed_stream(spark, sf_dir), "10 minutes", "5 minutes", ["source", "level"], DELAY
@@ -230,10 +230,7 @@ def t03(spark, sf_dir):
     return logs.plain_times(run.result(counts), "start", "end")
 
 
-@query(
-    "r08_log_report_stream",
-    f"SELECT * FROM ({SLIDING_SQL}) WHERE \"end\" <= {CLOSED}",
-)
+@query("r08_log_report_stream", SLIDING_SQL)
 def r08_stream(spark, sf_dir):
     counts = logs.windowed_counts(
         parsed_stream(spark, sf_dir), "10 minutes", "5 minutes", ["source", "level"], DELAY
@@ -250,7 +247,7 @@ BAND_SQL = f"""WITH {V.LOG_SQL}
          count(CASE WHEN level IN ('ERROR', 'FATAL') THEN 1 END) AS high FROM log GROUP BY 1, 2"""
 
 
-@query("t04_tumbling_bands_stream", f"SELECT * FROM ({BAND_SQL}) WHERE \"end\" <= {CLOSED}")
+@query("t04_tumbling_bands_stream", BAND_SQL)
 def t04(spark, sf_dir):
     bands = logs.band_counts(parsed_stream(spark, sf_dir), "5 minutes", delay=DELAY)
     return logs.plain_times(run.result(bands), "start", "end")
@@ -283,32 +280,114 @@ TUMBLING_SQL = """SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS start,
   time_bucket(INTERVAL 5 MINUTES, ts) + INTERVAL 5 MINUTES AS "end", event_type, count(*) AS n FROM {} GROUP BY 1, 2, 3"""
 
 
-@query("t07_watermark", f"SELECT * FROM ({TUMBLING_SQL.format('events')}) WHERE \"end\" <= {CLOSED}")
+@query("t07_watermark", TUMBLING_SQL.format("events"))
 def t07(spark, sf_dir):
     counts = logs.windowed_counts(
-        V.event_stream(spark, sf_dir), "5 minutes", keys=["event_type"], delay=DELAY, time="ts"
+        V.event_arrivals(spark, sf_dir)(), "5 minutes", keys=["event_type"], delay=DELAY, time="ts"
     )
     return logs.plain_times(run.result(counts), "start", "end")
 
 
 LATE_SQL = "(event_type = 'signup' AND ts < TIMESTAMP '2024-01-10 00:00:00')"
+IN_TIME_SQL = f"(SELECT * FROM events WHERE NOT {LATE_SQL})"
+
+
+def late_arrivals(spark, sf_dir):
+    """Counts of a stream in which early signups arrive after a day of silence, when all windows have closed."""
+    events = table(spark, sf_dir, "events")
+    late = (F.col("event_type") == "signup") & (F.col("ts") < F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+    last = arrival.closing_rows(events, "ts", {"event_type": "click", "event_id": -1})
+    path = arrival.land_in_order([events.where(~late), last, events.where(late)], "ts", files=2)
+    arriving = V.timed(arrival.arrivals(spark, path, events))
+    return logs.windowed_counts(arriving, "5 minutes", keys=["event_type"], delay=DELAY, time="ts")
+
+
+@query("t08_late_rows_dropped", TUMBLING_SQL.format(IN_TIME_SQL))
+def t08(spark, sf_dir):
+    return logs.plain_times(run.result(late_arrivals(spark, sf_dir)), "start", "end")
 
 
 @query(
-    "t08_late_rows_dropped",
-    f"SELECT * FROM ({TUMBLING_SQL.format(f'(SELECT * FROM events WHERE NOT {LATE_SQL})')}) WHERE \"end\" <= {CLOSED}",
+    "t08_late_report",
+    f"""SELECT (SELECT count(*) + 1 FROM events) AS input_rows,
+               (SELECT count(DISTINCT time_bucket(INTERVAL 5 MINUTES, ts)) FROM events WHERE {LATE_SQL}) AS late_groups,
+               (SELECT date_trunc('millisecond', max(ts)) + INTERVAL 1 DAY - INTERVAL 3 MINUTES FROM events) AS watermark, CAST(1 AS BIGINT) AS state_rows""",
 )
-def t08(spark, sf_dir):
-    # Early signups arrive after everything else, when the watermark has long passed them.
+def t08_report(spark, sf_dir):
+    # The watermark is reported in milliseconds; the day of silence is one group that stays open.
+    running = run.drain(late_arrivals(spark, sf_dir), "parquet", path=new_folder(spark, "result"))
+    report = run.progress_table(running).agg(
+        F.sum("input_rows").alias("input_rows"),
+        F.sum("dropped").alias("late_groups"),
+        F.max("watermark").cast("timestamp_ntz").alias("watermark"),
+        F.max_by("state_rows", "batch_id").alias("state_rows"),
+    )
+    return report
+
+
+@query(
+    "t14_bounded_state",
+    f"""SELECT count(*) AS groups, CAST(1 AS BIGINT) AS left_rows, true AS bounded, true AS falls
+        FROM ({TUMBLING_SQL.format('events')})""",
+)
+def t14(spark, sf_dir):
+    # State holds the windows that are open, not all there ever were, and shrinks as they close.
+    counts = logs.windowed_counts(
+        V.event_arrivals(spark, sf_dir)(), "5 minutes", keys=["event_type"], delay=DELAY, time="ts"
+    )
+    path = new_folder(spark, "result")
+    steps = run.progress_table(run.drain(counts, "parquet", path=path))
+    before = F.lag("state_rows").over(W.orderBy("batch_id"))  # a row per trigger
+    state = steps.withColumn("_before", before).agg(
+        F.max_by("state_rows", "batch_id").alias("left_rows"),
+        F.max("state_rows").alias("_most"),
+        F.coalesce(F.bool_or(F.col("state_rows") < F.col("_before")), F.lit(False)).alias("falls"),
+    )
+    written = spark.read.schema(counts.schema).parquet(path).agg(F.count("*").alias("groups"))
+    return written.crossJoin(state).select(  # one row each
+        "groups", "left_rows", (F.col("_most") < F.col("groups")).alias("bounded"), "falls"
+    )
+
+
+@query(
+    "t14_error_alerts_stream",
+    """WITH e AS (SELECT user_id, event_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 5 DAYS THEN 0 ELSE 1 END AS fresh
+                  FROM events WHERE event_type = 'error' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+       r AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM e),
+       n AS (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS place FROM r)
+       SELECT user_id, event_id, ts AS alert_time, place AS errors FROM n WHERE place % 2 = 0""",
+)
+def t14_alerts(spark, sf_dir):
+    arriving = V.event_arrivals(spark, sf_dir)().where(F.col("event_type") == "error")
+    alerts = state.repeated_errors(arriving, "user_id", "ts", "event_id", every=2, quiet="5 days", delay=DELAY)
+    return logs.plain_times(run.result(alerts), "alert_time")
+
+
+@query(
+    "t04_session_windows_stream",
+    """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 DAYS THEN 0 ELSE 1 END AS fresh
+                  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+       r AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM e)
+       SELECT min(ts) AS start, max(ts) + INTERVAL 2 DAYS AS "end", user_id, count(*) AS n FROM r GROUP BY user_id, run""",
+)
+def t04_sessions(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    late = (F.col("event_type") == "signup") & (F.col("ts") < F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+    # Sessions close two days after their last event: the silence must be longer.
+    last = arrival.closing_rows(events, "ts", {"user_id": -1}, after="4 days")
+    arriving = V.timed(arrival.arrivals(spark, arrival.land_in_order([events, last], "ts"), events))
+    sessions = logs.session_counts(arriving, "2 days", ["user_id"], DELAY, "ts")
+    return logs.plain_times(run.result(sessions), "start", "end")
 
-    def build(arriving):
-        return logs.windowed_counts(
-            V.timed(arriving), "5 minutes", keys=["event_type"], delay=DELAY, time="ts"
-        )
 
-    return logs.plain_times(run.replay([events.where(~late), events.where(late)], build), "start", "end")
+@query("t12_deduplicated_stream", "SELECT event_id, user_id, event_type FROM events")
+def t12_deduplicated(spark, sf_dir):
+    # Every third event is delivered again within the hour.
+    events = table(spark, sf_dir, "events")
+    again = events.where(F.col("event_id") % 3 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 20 MINUTES"))
+    path = arrival.land_in_order([events.unionByName(again)], "ts")
+    arriving = V.timed(arrival.arrivals(spark, path, events))
+    once = arriving.withWatermark("ts", "1 hour").dropDuplicatesWithinWatermark(["event_id"])
+    return run.result(once.select("event_id", "user_id", "event_type"))
 
 
 def halves(spark, sf_dir):
@@ -354,19 +433,24 @@ def t11(spark, sf_dir):
     return run.replay(halves(spark, sf_dir), lambda arriving: arriving.select("event_id", "event_type", "value"))
 
 
-@query("t12_effectively_once", "SELECT event_id, value FROM events")
+@query(
+    "t12_effectively_once",
+    """SELECT user_id, event_id, event_type, ts FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+)
 def t12(spark, sf_dir):
-    # Each batch is delivered twice, as after a failure between writing and committing.
-    events = V.event_stream(spark, sf_dir).select("event_id", "value")
-    path = new_folder(spark, "result")
-    write = run.DELIVERY["exactly_once"](path)
+    # The newest event of each user. Each batch is delivered twice, as after a failure between writing and committing.
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    arriving = arrival.arrivals(spark, arrival.land_in_order([events], "ts", files=5), events)
+    path, order = new_folder(spark, "result"), ["ts", "event_id"]
+    write = run.merge_batches(path, ["user_id"], order, compact_every=2)
 
     def twice(batch, batch_id):
         write(batch, batch_id)
         write(batch, batch_id)
 
-    run.drain(events, twice)
-    return run.batches(spark, path, events.schema).drop("batch_id")
+    run.drain(arriving, twice)
+    return run.merged_table(path, ["user_id"], events.schema, spark, order).select("user_id", "event_id", "event_type", "ts")
 
 
 # --- joins of streams ---------------------------------------------------------------------------
@@ -426,9 +510,8 @@ def j06(spark, sf_dir):
 
 @query("j06_interval_join_stream", PAIR_SQL.format(""))
 def j06_stream(spark, sf_dir):
-    joined = clicks_after_views(
-        V.event_stream(spark, sf_dir), V.event_stream(spark, sf_dir), delays=("2 hours", "3 hours")
-    )
+    opened = V.event_arrivals(spark, sf_dir, {"event_type": "view", "user_id": -1}, {"event_type": "click", "user_id": -2})
+    joined = clicks_after_views(opened(), opened(), delays=("2 hours", "3 hours"))
     return logs.plain_times(run.result(joined), "view_time", "click_time")
 
 
@@ -446,23 +529,10 @@ def j07_full(spark, sf_dir):
 
 @query("j07_interval_left_join_stream", PAIR_SQL.format("LEFT"))
 def j07(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    # Lone views are written when the watermark has passed their hour. A last arrival, a view and a
-    # click of nobody the day after, lets it pass all of them.
-    day_after = F.max("ts") + F.expr("INTERVAL 1 DAY")
-    closing = events.agg(F.max("event_id").alias("event_id"), day_after.alias("ts")).select(
-        "event_id",
-        "ts",
-        F.lit(-1).cast("bigint").alias("user_id"),
-        F.explode(F.array(F.lit("view"), F.lit("click"))).alias("event_type"),
-        F.lit(0.0).alias("value"),
-        F.lit("{}").alias("props"),
-    )
-
-    def build(arriving):
-        return clicks_after_views(V.timed(arriving), V.timed(arriving), "left_outer", ("2 hours", "3 hours"))
-
-    joined = run.replay([events, closing.select(*events.columns)], build)
+    # Lone views are written when the watermark has passed their hour. The last rows, a view and a click
+    # of nobody the day after, let it pass all of them.
+    opened = V.event_arrivals(spark, sf_dir, {"event_type": "view", "user_id": -1}, {"event_type": "click", "user_id": -2})
+    joined = run.result(clicks_after_views(opened(), opened(), "left_outer", ("2 hours", "3 hours")))
     return logs.plain_times(joined.where(F.col("user_id") >= 0), "view_time", "click_time")
 
 
@@ -483,12 +553,18 @@ def j08(spark, sf_dir):
     return joins.window_join(views, clicks, ["source"], "5 minutes", "ts")
 
 
-@query(
-    "j08_window_join_stream",
-    f"""SELECT * FROM ({WINDOW_JOIN_SQL}) WHERE "end" <= (SELECT least(max(ts) FILTER (event_type = 'view'),
-          max(ts) FILTER (event_type = 'click')) - INTERVAL 3 MINUTES FROM events)""",
-)
+@query("j08_window_join_stream", WINDOW_JOIN_SQL)
 def j08_stream(spark, sf_dir):
-    views, clicks = windowed_sides(V.event_stream(spark, sf_dir))
+    opened = V.event_arrivals(spark, sf_dir, {"event_type": "view", "user_id": 0}, {"event_type": "click", "user_id": 1})
+    views, clicks = windowed_sides(opened())
     joined = joins.window_join(views, clicks, ["source"], "5 minutes", "ts", DELAY, DELAY)
     return logs.plain_times(run.result(joined), "start", "end")
+
+
+@query("s16_memory_sink", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def s16(spark, sf_dir):
+    # The memory sink lives on the driver: a few rows only.
+    counts = V.event_stream(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"))
+    name = f"counts_{uuid4().hex}"
+    run.drain(counts, "memory", mode="complete", name=name)
+    return spark.table(name)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars as X
-from millrace.operators import reports, tables as O, text
+from millrace.operators import order, reports, tables as O, text
 from millrace.operators.order import exact_quantiles
 from millrace.plans import views as V
 from millrace.plans.catalog import query
-from millrace.session import new_folder
+from millrace.session import cut_lineage, new_folder
 from millrace.sources import files
 
 table = V.table
@@ -521,6 +521,25 @@ def a19(spark, sf_dir):
     return exact_quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.25, 0.5, 0.75])
 
 
+@query(
+    "a19_quantile_sketch",
+    """SELECT year, count(*) AS n, share, true AS within
+       FROM (SELECT CAST(extract(year FROM l_shipdate) AS INTEGER) AS year FROM lineitem),
+            (VALUES (0.05e0), (0.25e0), (0.5e0), (0.75e0), (0.95e0)) v(share) GROUP BY year, share""",
+)
+def a19_sketch(spark, sf_dir):
+    # One sketch a day, merged to years; the true rank of each quantile is within the stated error.
+    lines = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").alias("price"))
+    days = cut_lineage(order.quantile_sketches(lines, ["day"], "price"))
+    found = cut_lineage(order.sketched_quantiles(days.withColumn("year", F.year("day")), [0.05, 0.25, 0.5, 0.75, 0.95], ["year"]))
+    ranked = lines.join(F.broadcast(found), F.year("day") == F.col("year"))  # five rows a year
+    below, upto = F.count_if(F.col("price") < F.col("value")), F.count_if(F.col("price") <= F.col("value"))
+    error = F.lit(order.rank_error())
+    return ranked.groupBy("year", "n", "share").agg(
+        ((below / F.count("*") <= F.col("share") + error) & (upto / F.count("*") >= F.col("share") - error)).alias("within")
+    )
+
+
 @query(
     "a20_count_per_category",
     """SELECT CASE WHEN value / 10 >= 3.25 THEN 'HIGH' WHEN value / 10 >= 3.1 THEN 'MEDIUM' ELSE 'LOW' END AS category,

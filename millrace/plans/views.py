@@ -6,10 +6,14 @@ expression (`*_SQL`).
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.topics import assign_offsets
 from millrace.session import cut_lineage, spread
+from millrace.streaming.arrival import arrivals, closing_rows, land_in_order
 from millrace.streaming.run import stream_files
 
 # Names of the five source systems.
@@ -110,6 +114,17 @@ def event_stream(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     return timed(events)
 
 
+def event_arrivals(spark: SparkSession, sf_dir: str, *sides: Mapping[str, Any]) -> Callable[[], DataFrame]:
+    """The events table arriving in order of time, a part of the month a trigger, then a day of silence.
+
+    Returns what opens a stream of it. `sides` describe the last rows, one per side of a join.
+    """
+    events = table(spark, sf_dir, "events")
+    last = closing_rows(events, "ts", *(sides or ({"event_type": "click", "user_id": 0, "event_id": -1},)))
+    path = land_in_order([events, last], "ts")
+    return lambda: timed(arrivals(spark, path, events))
+
+
 def timed(events: DataFrame) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -318,10 +333,10 @@ def games(orders: DataFrame) -> DataFrame:
 
 
 def ratings(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Orders as rated games: player segment, score and rating."""
+    """Orders as rated games: player, score and rating."""
     return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
         F.col("o_orderkey").alias("game_id"),
-        F.col("c_mktsegment").alias("nickname"),
+        F.col("c_name").alias("nickname"),
         (F.col("o_totalprice") / 1000).cast("int").alias("score"),
         (F.col("c_acctbal") / 10 + F.col("o_totalprice") / 2000).cast("int").alias("rating"),
     )

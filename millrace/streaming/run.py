@@ -14,6 +14,9 @@ from millrace.session import new_folder
 
 ONCE: Mapping[str, Any] = {"availableNow": True}
 
+BATCH = "batch_id"
+KEPT_PROGRESS = 10_000
+
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -73,17 +76,17 @@ def _start(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
     Stateful operators are not re-planned at run time and open a store per partition, as many as
     `spark.sql.shuffle.partitions` says when the query first starts.
     """
-    wanted = {}
+    wanted = {"spark.sql.streaming.numRecentProgressUpdates": str(KEPT_PROGRESS)}
     if not spark.conf.get(STATE_STORE, ""):
         wanted[STATE_STORE] = STATE_ON_DISK
-    before = {key: spark.conf.get(key, "") for key in wanted}
+    before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
     try:
         return writer.start()
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value) if value else spark.conf.unset(key)
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def drain(df: DataFrame, sink: str | Callable[[DataFrame, int], None], **settings: Any) -> StreamingQuery:
@@ -146,12 +149,66 @@ def claim_batch(path: str) -> Callable[[DataFrame, int], None]:
 DELIVERY = {"exactly_once": replace_batch, "at_least_once": append_batch, "at_most_once": claim_batch}
 
 
-def merge_keyed(path: str, keys: Sequence[str], schema: StructType, spark: SparkSession) -> DataFrame:
-    """Current table of an update stream written by `replace_batch`: the newest row of each key."""
-    rows = batches(spark, path, schema)
-    value = F.struct(*[name for name in schema.names if name not in keys])
-    newest = rows.groupBy(*keys).agg(F.max_by(value, "batch_id").alias("_row"))
-    return newest.select(*keys, "_row.*").select(*schema.names)
+def merge_batches(
+    path: str, keys: Sequence[str], order: Sequence[str] = (), compact_every: int = 8
+) -> Callable[[DataFrame, int], None]:
+    """Batch sink that keeps the newest row of each key: by `order`, then by batch.
+
+    Each batch leaves a delta of its own; after every `compact_every` batches the table so far is written as a
+    snapshot from the last snapshot and the deltas since. A repeated batch writes the same delta and, from
+    the snapshot before it, the same snapshot. Rows of one batch, key and order are told apart by their values.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, schema = batch.sparkSession, batch.schema
+        newest(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), keys, order).write.mode("overwrite").parquet(
+            _folder(path, "deltas", batch_id)
+        )
+        if (batch_id + 1) % compact_every == 0:
+            _merged(path, keys, order, schema, spark, batch_id).write.mode("overwrite").parquet(
+                _folder(path, "snapshots", batch_id)
+            )
+
+    return write
+
+
+def newest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key, the last by `order`, then batch, then the other values; a partial aggregate first."""
+    values = [c for c in rows.columns if c not in keys and c not in order and c != BATCH]
+    last = F.max(F.struct(*order, BATCH, *values)).alias("_row")
+    return rows.groupBy(*keys).agg(last).select(*keys, "_row.*").select(*rows.columns)
+
+
+def _merged(
+    path: str, keys: Sequence[str], order: Sequence[str], schema: StructType, spark: SparkSession, upto: int
+) -> DataFrame:
+    """The table after batch `upto`: the snapshot before it and the deltas since."""
+    done = [n for n in _written(spark, path, "snapshots") if n < upto]
+    after = max(done, default=-1)
+    parts = [_folder(path, "snapshots", after)] if done else []
+    parts += [_folder(path, "deltas", n) for n in _written(spark, path, "deltas") if after < n <= upto]
+    full = StructType(list(schema.fields)).add(BATCH, "long")
+    rows = spark.read.schema(full).parquet(*parts) if parts else spark.createDataFrame([], full)
+    return newest(rows, keys, order)
+
+
+def merged_table(path: str, keys: Sequence[str], schema: StructType, spark: SparkSession, order: Sequence[str] = ()) -> DataFrame:
+    """Current table of `merge_batches`: one snapshot and the deltas since are read, whatever was before."""
+    last = max(_written(spark, path, "deltas"), default=-1)
+    return _merged(path, keys, order, schema, spark, last).select(*schema.names)
+
+
+def _folder(path: str, kind: str, number: int) -> str:
+    # Not `name=number`, which a reader would take for a column.
+    return f"{path}/{kind}/{number:09d}"
+
+
+def _written(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the complete folders of a kind."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}/*/_SUCCESS")
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []
+    return sorted(int(status.getPath().getParent().getName()) for status in found)
 
 
 def last_result(path: str, schema: StructType, spark: SparkSession) -> DataFrame:
@@ -169,17 +226,42 @@ def result(
 ) -> DataFrame:
     """Drain a stream into the shared folder and return the table it leaves, read from files.
 
-    append: all rows; complete: the last full result; update: the newest row per `keys`.
+    append: all rows; complete: the last full result; update: the newest row per `keys`, merged batch by batch.
     """
     spark = df.sparkSession
     path = path or new_folder(spark, "result")
     if mode == "append":
         drain(df, "parquet", mode=mode, checkpoint=checkpoint, path=path)
         return spark.read.schema(df.schema).parquet(path)
-    drain(df, replace_batch(path), mode=mode, checkpoint=checkpoint)
     if mode == "complete":
+        drain(df, replace_batch(path), mode=mode, checkpoint=checkpoint)
         return last_result(path, df.schema, spark)
-    return merge_keyed(path, keys, df.schema, spark)
+    drain(df, merge_batches(path, keys), mode=mode, checkpoint=checkpoint)
+    return merged_table(path, keys, df.schema, spark)
+
+
+def progress_table(query: StreamingQuery) -> DataFrame:
+    """`batch_id, input_rows, watermark, dropped, state_rows`: what each trigger of a query did.
+
+    `dropped` counts the groups that came too late, `state_rows` what all stateful operators hold after it. One
+    small row a trigger; the session remembers `KEPT_PROGRESS` triggers of a query.
+    """
+    rows = []
+    for progress in query.recentProgress:
+        operators = progress["stateOperators"]
+        mark = (progress["eventTime"] or {}).get("watermark")
+        rows.append(
+            (
+                progress["batchId"],
+                progress["numInputRows"],
+                mark,
+                sum(o["numRowsDroppedByWatermark"] for o in operators),
+                sum(o["numRowsTotal"] for o in operators),
+            )
+        )
+    spark = SparkSession.active()
+    made = spark.createDataFrame(rows, "batch_id BIGINT, input_rows BIGINT, watermark STRING, dropped BIGINT, state_rows BIGINT")
+    return made.withColumn("watermark", F.col("watermark").cast("timestamp"))
 
 
 def replay(
@@ -209,7 +291,7 @@ def replay(
 
 def batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All rows written by `replace_batch`, each with its `batch_id`."""
-    return spark.read.schema(StructType(schema.fields).add("batch_id", "long")).parquet(path)
+    return spark.read.schema(StructType(list(schema.fields)).add("batch_id", "long")).parquet(path)
 
 
 def _is_file(spark: SparkSession, path: str) -> bool:
