@@ -14,11 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm.common import BYTE_VALUES, Names, as_bytes, held_out, slices, word_bounds
-from millrace.llm.labels import sample
+from millrace.llm.common import BYTE_VALUES, Names, as_bytes, held_out, mixed, slices, word_bounds
+from millrace.llm.labels import in_tasks, sample
 
-TRAIN_ROWS = 800
-TRAIN_BYTES = 1_500
+TRAIN_ROWS = 20_000
+ROWS_PER_LANGUAGE = 200
+WORD_BYTES = 1_500
 UNKNOWN = "und"
 _HIDDEN = 20
 _LONGEST = 16
@@ -153,6 +154,24 @@ def train(examples: list[tuple[str, bytes]], steps: int = 350, batch: int = 384,
     return network
 
 
+def _drawn_words(data: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Of each text, words from all over it, drawn by a hash of word and place, in the order of the text.
+
+    About `WORD_BYTES` of them; all, if the text has no more. Training picks its words at random from these.
+    """
+    starts, ends, rows = _pieces(*word_bounds(data, bounds))  # what the network reads at a time
+    lot = mixed(Names(BYTE_VALUES[0][data]).of(starts, ends) ^ mixed((starts - bounds[rows]).astype(np.uint64)))
+    order = np.lexsort((lot, rows))
+    used = np.cumsum((ends - starts + 1)[order])
+    before = np.r_[0, used][np.searchsorted(rows, np.arange(len(bounds) - 1))]
+    chosen = np.sort(order[used - before[rows[order]] <= WORD_BYTES])
+    out: list[list[bytes]] = [[] for _ in range(len(bounds) - 1)]
+    raw = data.tobytes()
+    for s, e, r in zip(starts[chosen].tolist(), ends[chosen].tolist(), rows[chosen].tolist()):
+        out[r].append(raw[s:e])
+    return [b" ".join(words) for words in out]
+
+
 def _has_letter(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Whether a text holds a letter of any script."""
     sums = np.r_[0, np.cumsum(_LETTER[data])]
@@ -209,18 +228,20 @@ def predict(spark: SparkSession, text: Column, network: Network) -> Column:
     return run(text)
 
 
-def languages(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+def languages(docs: DataFrame, rows: int = TRAIN_ROWS, per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """`doc_id, held_out, lang_pred, score` for every row of `docs`.
 
-    Learns from text and language of at most `rows` training documents, those with the least hash
-    of their id; predictions read the whole text and nothing else. `score` is the mean probability
+    Learns from text and language of at most `per_language` training documents of each language, those with the
+    least hash of their id, and of at most `rows` in all; of each, words drawn from the whole text; predictions read the whole text and nothing else. `score` is the mean probability
     of the predicted language over all bytes of the text.
 
     `und` with score 0 stands for null texts and texts without a letter (empty, blank, digits), and
     for all texts if there is no labelled document. Repeated rows are predicted alike; a null id is
     neither held out nor learnt from; null languages are not learnt from.
     """
-    network = train([(str(label), text) for label, text in sample(docs, F.col("lang"), rows, TRAIN_BYTES)])
+    drawn = in_tasks(_drawn_words, pa.binary(), "binary", _SLICE)
+    taken = sample(docs, F.col("lang"), rows, drawn, per_label=per_language)
+    network = train([(str(label), bytes(words)) for label, words in taken])
     found = docs.select("doc_id", predict(docs.sparkSession, as_bytes("text"), network).alias("_found"))
     return found.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_found.lang_pred"), F.col("_found.score")

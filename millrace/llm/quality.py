@@ -14,10 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.common import BYTE_VALUES, Names, as_bytes, held_out, slices, word_bounds
-from millrace.llm.labels import labelled, sample
+from millrace.llm.labels import in_tasks, labelled, sample
 
 TRAIN_ROWS = 8_000
-TRAIN_BYTES = 32_768
 THRESHOLD = 0.3
 _BINS = 64
 _TREES = 60
@@ -161,12 +160,11 @@ def train(x: np.ndarray, y: np.ndarray) -> Trees:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
-    """Learn from at most `rows` labelled training rows, those with the least hash of their id."""
-    taken = sample(docs, F.col("_quality"), rows, TRAIN_BYTES, marks=labelled(docs, labels))
+    """Learn from at most `rows` labelled training rows, those with the least hash of their id; whole texts."""
+    measured = in_tasks(lambda data, bounds: statistics(data, bounds).tolist(), pa.list_(pa.float64()), "array<double>", _SLICE)
+    taken = sample(docs, F.col("_quality"), rows, measured, marks=labelled(docs, labels))
     width = statistics(np.empty(0, np.uint8), np.array([0, 0])).shape[1]
-    x = np.zeros((len(taken), width))
-    for i, (_, text) in enumerate(taken):
-        x[i] = statistics(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    x = np.array([row for _, row in taken], dtype=np.float64).reshape(len(taken), width)
     return train(x, np.array([label for label, _ in taken], dtype=np.float64))
 
 

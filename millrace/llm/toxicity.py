@@ -17,11 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.common import BYTE_VALUES, Names, as_bytes, held_out, mixed, slices, trainable, word_bounds
-from millrace.llm.labels import labelled, sample
+from millrace.llm.labels import in_tasks, labelled, sample
 
 POSITIVES = 4_000
 UNLABELLED = 12_000
-TRAIN_BYTES = 6_144
 _BITS = 18
 _FEATURES = 512
 _STEM = 5
@@ -71,20 +70,22 @@ class Model:
         return np.bincount(seen >> _BITS, self.weights[seen & ((1 << _BITS) - 1)], len(bounds) - 1) + self.offset
 
 
-def _presence(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, hashed word) pairs."""
-    rows, buckets = [], []
-    for s in range(0, len(texts), 64):
-        part = texts[s : s + 64]
-        bounds = np.r_[0, np.cumsum([len(t) for t in part])]
-        r, b = word_buckets(np.frombuffer(b"".join(part), np.uint8), bounds)
-        seen = np.unique(r * (1 << _BITS) + b)
-        rows.append((seen >> _BITS) + s)
-        buckets.append(seen & ((1 << _BITS) - 1))
-    return np.concatenate(rows or [np.empty(0, np.int64)]), np.concatenate(buckets or [np.empty(0, np.int64)])
+def _distinct_buckets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """The distinct hashed words of each text of a slice."""
+    rows, buckets = word_buckets(data, bounds)
+    seen = np.unique(rows * (1 << _BITS) + buckets)
+    ends = np.searchsorted(seen >> _BITS, np.arange(len(bounds) - 1), "right")
+    return np.split((seen & ((1 << _BITS) - 1)).astype(np.int32), ends[:-1]) if len(bounds) > 1 else []
 
 
-def _dense(texts: list[bytes], column: np.ndarray, width: int) -> np.ndarray:
+def _presence(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(Text, hashed word) pairs of texts given by their distinct hashed words."""
+    sizes = [len(t) for t in texts]
+    buckets = np.concatenate([np.asarray(t, dtype=np.int64) for t in texts]) if texts else np.empty(0, np.int64)
+    return np.repeat(np.arange(len(texts)), sizes), buckets
+
+
+def _dense(texts: list[np.ndarray], column: np.ndarray, width: int) -> np.ndarray:
     x = np.zeros((len(texts), width), dtype=np.float32)
     rows, buckets = _presence(texts)
     known = column[buckets] >= 0
@@ -92,7 +93,7 @@ def _dense(texts: list[bytes], column: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def distinct(texts: list[bytes]) -> list[bytes]:
+def distinct(texts: list[np.ndarray]) -> list[np.ndarray]:
     """Training texts without most copies and near-copies: the first of those that share the least
     hash of their words under each of two orders. Else words of one much-copied text look telling."""
     rows, buckets = _presence(texts)
@@ -105,8 +106,8 @@ def distinct(texts: list[bytes]) -> list[bytes]:
     return [texts[i] for i in np.sort(first)]
 
 
-def train(positives: list[bytes], unlabelled: list[bytes], prior: float, rounds: int = 200, seed: int = 5) -> Model:
-    """Fit by Adam on the non-negative risk with the logistic loss.
+def train(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 200, seed: int = 5) -> Model:
+    """Fit by Adam on the non-negative risk with the logistic loss; texts are given by their distinct hashed words.
 
     Without positives or unlabelled texts there is nothing to learn: every score is the prior.
     """
@@ -164,9 +165,11 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     """
     known = labelled(docs, labels)
     shares = known.where(trainable(F.col("doc_id")) & F.col("_toxic").isNotNull()).agg(F.avg("_toxic")).first()[0]
-    toxic = sample(docs, F.lit(1), positives, TRAIN_BYTES, marks=known.where("_toxic = 1"))
-    others = sample(docs, F.lit(0), unlabelled, TRAIN_BYTES)
-    return train([t for _, t in toxic], [t for _, t in others], float(shares or 0.0))
+    hashed = in_tasks(_distinct_buckets, pa.list_(pa.int32()), "array<int>", _SLICE)
+    toxic = sample(docs, F.lit(1), positives, hashed, marks=known.where("_toxic = 1"))
+    others = sample(docs, F.lit(0), unlabelled, hashed)
+    groups = ([np.array(t, dtype=np.int32) for _, t in group] for group in (toxic, others))
+    return train(*groups, float(shares or 0.0))
 
 
 def score(spark: SparkSession, text: Column, model: Model) -> Column:
