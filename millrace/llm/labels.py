@@ -39,12 +39,10 @@ def sample(
         ids = ids.withColumn("_place", place).where(F.col("_place") <= per_label).drop("_place")
     taken = ids.orderBy(*order).limit(rows)
     texts = docs.select(F.col(id_column).cast("bigint").alias("_id"), as_bytes(text_column).alias("_text"))
-    found = texts.join(F.broadcast(taken), F.col("_id") == F.col("_key")).select(
-        "_label", "_text", order[0].alias("_order"), F.sha2("_text", 256).alias("_hash")
+    made = texts.join(F.broadcast(taken), F.col("_id") == F.col("_key")).select(
+        "_label", feature(F.col("_text")).alias("_feature"), order[0].alias("_order")
     )
-    made = found.orderBy("_order", "_label", "_hash").limit(rows).select("_label", feature(F.col("_text")).alias("_feature"), "_order", "_hash")
-    fetched = sorted(made.collect(), key=lambda r: (r["_order"], str(r["_label"]), r["_hash"]))
-    return [(r["_label"], r["_feature"]) for r in fetched]
+    return [(r["_label"], r["_feature"]) for r in made.orderBy("_order", "_label", "_feature").limit(rows).collect()]
 
 
 def in_tasks(work: Callable, kind: pa.DataType, returned: str, limit: int) -> Callable[[Column], Column]:

@@ -161,10 +161,10 @@ def train(x: np.ndarray, y: np.ndarray) -> Trees:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Learn from at most `rows` labelled training rows, those with the least hash of their id; whole texts."""
-    measured = in_tasks(lambda data, bounds: statistics(data, bounds).tolist(), pa.list_(pa.float64()), "array<double>", _SLICE)
+    measured = in_tasks(lambda data, bounds: [row.tobytes() for row in statistics(data, bounds)], pa.binary(), "binary", _SLICE)
     taken = sample(docs, F.col("_quality"), rows, measured, marks=labelled(docs, labels))
     width = statistics(np.empty(0, np.uint8), np.array([0, 0])).shape[1]
-    x = np.array([row for _, row in taken], dtype=np.float64).reshape(len(taken), width)
+    x = np.frombuffer(b"".join(row for _, row in taken)).reshape(len(taken), width)
     return train(x, np.array([label for label, _ in taken], dtype=np.float64))
 
 

@@ -10,6 +10,7 @@ under zero, the step goes the other way, so that the classifier does not overfit
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,31 +79,29 @@ def _distinct_buckets(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return np.split((seen & ((1 << _BITS) - 1)).astype(np.int32), ends[:-1]) if len(bounds) > 1 else []
 
 
-def _presence(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(Text, hashed word) pairs of texts given by their distinct hashed words."""
-    sizes = [len(t) for t in texts]
-    buckets = np.concatenate([np.asarray(t, dtype=np.int64) for t in texts]) if texts else np.empty(0, np.int64)
-    return np.repeat(np.arange(len(texts)), sizes), buckets
+def _presence(texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(Text, hashed word) pairs of texts given by their distinct hashed words, for some texts at a time."""
+    for at in range(0, len(texts), 256):
+        part = texts[at : at + 256]
+        yield np.repeat(np.arange(at, at + len(part)), [len(t) for t in part]), np.concatenate(part).astype(np.int64)
 
 
 def _dense(texts: list[np.ndarray], column: np.ndarray, width: int) -> np.ndarray:
     x = np.zeros((len(texts), width), dtype=np.float32)
-    rows, buckets = _presence(texts)
-    known = column[buckets] >= 0
-    x[rows[known], column[buckets[known]]] = 1
+    for rows, buckets in _presence(texts):
+        known = column[buckets] >= 0
+        x[rows[known], column[buckets[known]]] = 1
     return x
 
 
 def distinct(texts: list[np.ndarray]) -> list[np.ndarray]:
     """Training texts without most copies and near-copies: the first of those that share the least
     hash of their words under each of two orders. Else words of one much-copied text look telling."""
-    rows, buckets = _presence(texts)
-    least = []
-    for salt in (11, 12):
-        order = np.full(len(texts), np.iinfo(np.uint64).max, dtype=np.uint64)
-        np.minimum.at(order, rows, mixed(buckets.astype(np.uint64) * np.uint64(2 * salt + 1) + np.uint64(salt)))
-        least.append(order)
-    _, first = np.unique(np.stack(least), axis=1, return_index=True)
+    least = np.full((2, len(texts)), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for rows, buckets in _presence(texts):
+        for order, salt in zip(least, (11, 12)):
+            np.minimum.at(order, rows, mixed(buckets.astype(np.uint64) * np.uint64(2 * salt + 1) + np.uint64(salt)))
+    _, first = np.unique(least, axis=1, return_index=True)
     return [texts[i] for i in np.sort(first)]
 
 
@@ -118,8 +117,7 @@ def train(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
         return flat
     counts = []
     for group in (positives, unlabelled):
-        _, buckets = _presence(group)
-        counts.append(np.bincount(buckets, minlength=1 << _BITS))
+        counts.append(sum(np.bincount(buckets, minlength=1 << _BITS) for _, buckets in _presence(group)))
     share_p = (counts[0] + 0.5) / (len(positives) + 1)
     share_u = (counts[1] + 0.5) / (len(unlabelled) + 1)
     # Words that stand in toxic texts mostly, by the prior, and more often than chance explains.
@@ -165,10 +163,11 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     """
     known = labelled(docs, labels)
     shares = known.where(trainable(F.col("doc_id")) & F.col("_toxic").isNotNull()).agg(F.avg("_toxic")).first()[0]
-    hashed = in_tasks(_distinct_buckets, pa.list_(pa.int32()), "array<int>", _SLICE)
+    # Fetched as bytes of 32-bit numbers: a list of numbers would take ten times the room on the driver.
+    hashed = in_tasks(lambda *part: [b.tobytes() for b in _distinct_buckets(*part)], pa.binary(), "binary", _SLICE)
     toxic = sample(docs, F.lit(1), positives, hashed, marks=known.where("_toxic = 1"))
     others = sample(docs, F.lit(0), unlabelled, hashed)
-    groups = ([np.array(t, dtype=np.int32) for _, t in group] for group in (toxic, others))
+    groups = ([np.frombuffer(t, dtype=np.int32) for _, t in group] for group in (toxic, others))
     return train(*groups, float(shares or 0.0))
 
 
