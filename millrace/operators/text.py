@@ -86,7 +86,7 @@ def inverted_index(
     # A large word's first place, and so its blocks, from one row per word.
     firsts = cut_lineage(many.groupBy("word").agg(F.min("_place").alias("_first"))).join(large, "word")
     blocks = many.join(firsts, "word").withColumn(
-        "block", F.floor((F.col("_place") - F.col("_first")) / F.lit(files_per_row)).cast("int")
+        "block", F.coalesce(F.floor((F.col("_place") - F.col("_first")) / F.lit(files_per_row)).cast("int"), F.lit(0))
     )
     listed = blocks.groupBy("word", "block", "_total").agg(row).withColumnRenamed("_total", "n")
     return few.select(*out).unionByName(listed.select(*out))

@@ -333,7 +333,7 @@ def t08_report(spark, sf_dir):
 def t14(spark, sf_dir):
     # State holds the windows that are open, not all there ever were, and shrinks as they close.
     counts = logs.windowed_counts(
-        V.event_arrivals(spark, sf_dir)(), "5 minutes", keys=["event_type"], delay=DELAY, time="ts"
+        V.event_arrivals(spark, sf_dir, files=4)(), "5 minutes", keys=["event_type"], delay=DELAY, time="ts"
     )
     path = new_folder(spark, "result")
     steps = run.progress_table(run.drain(counts, "parquet", path=path))

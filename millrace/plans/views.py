@@ -114,14 +114,14 @@ def event_stream(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     return timed(events)
 
 
-def event_arrivals(spark: SparkSession, sf_dir: str, *sides: Mapping[str, Any]) -> Callable[[], DataFrame]:
+def event_arrivals(spark: SparkSession, sf_dir: str, *sides: Mapping[str, Any], files: int = 2) -> Callable[[], DataFrame]:
     """The events table arriving in order of time, a part of the month a trigger, then a day of silence.
 
     Returns what opens a stream of it. `sides` describe the last rows, one per side of a join.
     """
     events = table(spark, sf_dir, "events")
     last = closing_rows(events, "ts", *(sides or ({"event_type": "click", "user_id": 0, "event_id": -1},)))
-    path = land_in_order([events, last], "ts")
+    path = land_in_order([events, last], "ts", files)
     return lambda: timed(arrivals(spark, path, events))
 
 
