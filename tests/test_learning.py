@@ -1,7 +1,10 @@
 import math
 import random
+import threading
+import time
 
 import pytest
+from pyspark.ml import Estimator
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
@@ -10,7 +13,7 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Correlation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.ml import metrics, models, prep, tuning
 from millrace.plans.learning import STOP_WORDS
@@ -139,3 +142,62 @@ def test_correlation_takes_complete_rows(spark, method):
     got = {(r["i"], r["j"]): r["corr"] for r in metrics.correlation(df, ["a", "b", "c"], method).collect()}
     wanted = df.toPandas().dropna().corr(method)
     assert all(abs(value - wanted.loc[i, j]) < 1e-9 for (i, j), value in got.items())
+
+
+def folded_line(spark, n=90):
+    return spark.createDataFrame([(3.0 * k, Vectors.dense([float(k), k % 7.0]), k % 3) for k in range(n)], ["y", "scaled", "fold"])
+
+
+class Marking(Estimator):
+    """Leaves a mark in the job properties of its thread and fits once the others had time to leave theirs."""
+
+    def __init__(self, inner):
+        super().__init__()
+        self.inner = inner
+
+    def _fit(self, dataset):
+        context = dataset.sparkSession.sparkContext
+        mark = str(threading.get_ident())
+        context.setLocalProperty("mark", mark)
+        time.sleep(0.5)
+        assert context.getLocalProperty("mark") == mark
+        return self.inner.fit(dataset)
+
+    def fit(self, dataset, params=None):
+        return self._fit(dataset)
+
+
+def test_fits_side_by_side_share_no_job_properties_and_keep_no_fold(spark, monkeypatch):
+    frame = folded_line(spark)
+    inner = models.linear_regression("y")
+    choices = tuning.grid({inner.regParam: [0.0, 0.1, 0.2, 0.3]})
+    monkeypatch.setattr(DataFrame, "cache", lambda self: pytest.fail("a fold is kept in memory"))
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *level: pytest.fail("a fold is kept in memory"))
+    _, report = tuning.tune(Marking(inner), frame, choices, RegressionEvaluator(labelCol="y"), folds=3, fold_column="fold")
+    assert report.count() == 4
+    for wrong in (3, None):
+        odd = frame.withColumn("fold", F.when(F.col("y") > 30, F.col("fold")).otherwise(F.lit(wrong).cast("int")))
+        with pytest.raises(Exception, match="fold number|ERROR"):
+            tuning.tune(inner, odd, choices, RegressionEvaluator(labelCol="y"), folds=3, fold_column="fold")
+
+
+def test_combinations_of_one_fit_measure_like_fits_of_their_own(spark):
+    frame = folded_line(spark).withColumn("y", F.col("y") * F.when(F.col("fold") == 1, 1.1).otherwise(1.0))
+    trees = models.boosted_trees("y")
+    evaluator = RegressionEvaluator(labelCol="y")
+    choices = tuning.grid({trees.maxIter: [2, 5, 3], trees.maxDepth: [1, 2]})
+    assert sorted(len(alike) for alike in tuning._alike(trees, choices, evaluator)) == [3, 3]
+    _, report = tuning.tune(trees, frame, choices, evaluator, folds=None, fold_column="fold")
+    for row, chosen in zip(report.collect(), choices):
+        model = trees.fit(frame.where("fold <> 0"), chosen)
+        assert math.isclose(row["metric"], evaluator.evaluate(model.transform(frame.where("fold = 0"))), rel_tol=1e-9)
+    classes = frame.withColumn("y", (F.col("y") % 4 > 1).cast("double"))
+    logistic = models.logistic_regression("y", "scaled")
+    f1 = MulticlassClassificationEvaluator(labelCol="y", metricName="f1")
+    choices = tuning.grid({logistic.maxIter: [3, 6], logistic.threshold: [0.3, 0.6, 0.5]})
+    assert sorted(len(alike) for alike in tuning._alike(logistic, choices, f1)) == [3, 3]
+    best, report = tuning.tune(logistic, classes, choices, f1, folds=3, fold_column="fold")
+    for row, chosen in zip(report.collect(), choices):
+        own = [f1.evaluate(logistic.fit(classes.where(f"fold <> {k}"), chosen).transform(classes.where(f"fold = {k}"))) for k in range(3)]
+        assert math.isclose(row["metric"], sum(own) / 3, rel_tol=1e-9)
+    assert f"threshold={best.getThreshold()}" in report.where("best").first()["params"]
