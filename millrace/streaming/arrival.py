@@ -17,13 +17,15 @@ from millrace.session import new_folder
 from millrace.streaming.run import stream_files
 
 FILES = 3
+FILE_ROWS = 4_000_000
 _STEP_MS = 20
 
 
 def land_in_order(waves: Sequence[DataFrame], time: str, files: int = FILES) -> str:
     """Write tables one after the other as files in the order of `time`; returns the folder.
 
-    Each table is dealt to `files` ranges of time in one job. A file source takes files by their time of
+    Each table is dealt to `files` ranges of time in one job, or to more, so that a range has about `FILE_ROWS` rows: one
+    task sorts a range, and a trigger that takes a file keeps no more than its rows in state. A file source takes files by their time of
     change, so these are set in the order of arrival; that needs a store that keeps such times, as HDFS and
     local disks do. As many calls as there are files, no reading.
     """
@@ -32,7 +34,8 @@ def land_in_order(waves: Sequence[DataFrame], time: str, files: int = FILES) ->
     spark = waves[0].sparkSession
     path = new_folder(spark, "arrivals")
     for number, wave in enumerate(waves):
-        dealt = wave.repartitionByRange(files, time) if files > 1 else wave.coalesce(1)
+        ranges = max(files, -(-wave.count() // FILE_ROWS))
+        dealt = wave.repartitionByRange(ranges, time) if ranges > 1 else wave.coalesce(1)
         dealt.sortWithinPartitions(time).write.parquet(f"{path}/wave={number:04d}")
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(f"{path}/*/part-*")

@@ -86,3 +86,12 @@ def test_alerts_count_over_triggers_and_forget(spark):
     steps = run.progress_table(run.drain(alerts, "parquet", path=path))
     assert sorted((r["k"], r["id"], r["errors"]) for r in spark.read.parquet(path).collect()) == [("a", 2, 2), ("a", 5, 2), ("a", 8, 4)]
     assert steps.agg(F.max_by("state_rows", "batch_id")).first()[0] <= 3  # only the last key is left
+
+
+def test_files_grow_in_number_not_in_rows(spark, monkeypatch):
+    monkeypatch.setattr(arrival, "FILE_ROWS", 10, raising=False)
+    frame = moments(spark, *[(n * 7 % 100, "a", n) for n in range(100)])
+    path = arrival.land_in_order([frame], "t")
+    seen = []
+    run.drain(arrival.arrivals(spark, path, frame), lambda batch, number: seen.append(batch.count()))
+    assert sum(seen) == 100 and len(seen) == 10 and max(seen) < 20
