@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from typing import Any
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     GBTRegressor,
     GeneralizedLinearRegression,
@@ -14,6 +16,9 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.ml.prep import BinIndexer
+from millrace.session import cut_lineage
+
 SEED = 42
 
 
@@ -32,6 +37,23 @@ def boosted_trees(label: str, features: str = "scaled", **params: Any) -> GBTReg
     return GBTRegressor(labelCol=label, featuresCol=features, **settings)
 
 
+def fit_boosted(estimator: GBTRegressor, train: DataFrame) -> PipelineModel:
+    """Boosted trees of `train` from one weighted row per combination of bins, instead of its rows.
+
+    The trees see no more of a feature than its bin, and of squared errors only the number and the mean label of the rows
+    of a bin count: what a mean leaves out is the same for every split. With few features the combinations are bounded
+    by the bins (32 to the power of the features), so the rounds cost the same at every size.
+    """
+    features, label = estimator.getFeaturesCol(), estimator.getLabelCol()
+    binned = BinIndexer(features, "_bins", estimator.getMaxBins()).fit(train)
+    # A missing label stays missing, and the fit refuses it.
+    mean = F.when(F.count(label) == F.count(F.lit(1)), F.avg(F.col(label).cast("double")))
+    rows = binned.transform(train).select(vector_to_array("_bins").alias("_bins"), label)
+    weighted = rows.groupBy("_bins").agg(F.count(F.lit(1)).cast("double").alias("_weight"), mean.alias(label))
+    weighted = cut_lineage(weighted.withColumn("_bins", array_to_vector("_bins")))
+    return PipelineModel([binned, estimator.copy().setFeaturesCol("_bins").setWeightCol("_weight").fit(weighted)])
+
+
 def forest_regressor(label: str, features: str = "scaled", **params: Any) -> RandomForestRegressor:
     return RandomForestRegressor(labelCol=label, featuresCol=features, **{"seed": SEED, **params})
 

@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.order import numbered
@@ -70,6 +71,58 @@ class JoinIndexerModel(Transformer):
         return joined.withColumn(self.out, number).drop("_value", "_number")
 
 
+class BinIndexer(Estimator):
+    """Each feature of a vector as the number of its bin, at most `bins` of them, as the tree learners bin features.
+
+    Few values get a bin each; more are cut at quantiles of all rows. Two passes, and at most some hundred numbers
+    a feature reach the driver.
+    """
+
+    def __init__(self, column: str, out: str, bins: int = 32):
+        super().__init__()
+        self.column, self.out, self.bins = column, out, bins
+
+    def _fit(self, dataset: DataFrame) -> BinIndexerModel:
+        rows = dataset.select(vector_to_array(self.column).alias("_values"))
+        first = rows.first()
+        if first is None:
+            raise ValueError("no rows to bin")
+        places = range(len(first["_values"]))
+        wanted = [k / self.bins for k in range(1, self.bins)]
+        found = rows.agg(
+            *[F.approx_count_distinct(F.col("_values")[i]).alias(f"n_{i}") for i in places],
+            *[F.percentile_approx(F.col("_values")[i], wanted, 10_000).alias(f"q_{i}") for i in places],
+        ).first()
+        # The estimate is off by some per cent; the values of a feature that may have few are looked at.
+        few = [i for i in places if found[f"n_{i}"] <= 2 * self.bins]
+        sets = rows.agg(*[F.sort_array(F.collect_set(F.col("_values")[i])).alias(f"s_{i}") for i in few]).first() if few else {}
+        cuts = []
+        for i in places:
+            values = sets[f"s_{i}"] if i in few else None
+            if values is not None and len(values) <= self.bins:
+                cuts.append([(low + high) / 2 for low, high in zip(values, values[1:])])
+            else:
+                cuts.append(sorted(set(found[f"q_{i}"])))
+        return BinIndexerModel(self.column, self.out, cuts)
+
+
+class BinIndexerModel(Transformer):
+    """The fitted cuts of each feature: a value's bin is the number of cuts below it. What is no finite number stays."""
+
+    def __init__(self, column: str, out: str, cuts: Sequence[Sequence[float]]):
+        super().__init__()
+        self.column, self.out, self.cuts = column, out, cuts
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        values = vector_to_array(self.column)
+
+        def number(i: int) -> Column:
+            below = sum(((values[i] > cut).cast("double") for cut in self.cuts[i]), F.lit(0.0))
+            return F.when(F.isnan(values[i]) | (F.abs(values[i]) == float("inf")), values[i]).otherwise(below)
+
+        return dataset.withColumn(self.out, array_to_vector(F.array(*[number(i) for i in range(len(self.cuts))])))
+
+
 def assemble(columns: Sequence[str], out: str = "features", invalid: str = "error") -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid=invalid)
 

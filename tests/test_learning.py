@@ -11,6 +11,7 @@ from pyspark.ml.evaluation import (
     RegressionEvaluator,
 )
 from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
@@ -201,3 +202,26 @@ def test_combinations_of_one_fit_measure_like_fits_of_their_own(spark):
         own = [f1.evaluate(logistic.fit(classes.where(f"fold <> {k}"), chosen).transform(classes.where(f"fold = {k}"))) for k in range(3)]
         assert math.isclose(row["metric"], sum(own) / 3, rel_tol=1e-9)
     assert f"threshold={best.getThreshold()}" in report.where("best").first()["params"]
+
+
+def test_boosting_on_weighted_bins_is_boosting_on_rows(spark, monkeypatch):
+    draw = random.Random(4)
+    rows = [([float(draw.randrange(9)), draw.randrange(5) / 7, -float(draw.randrange(3))], draw.random() * 9) for _ in range(1500)]
+    frame = spark.createDataFrame([(Vectors.dense(x), x[0] * x[1] + x[2] + y) for x, y in rows], ["scaled", "y"]).repartition(3)
+    trees = models.boosted_trees("y", maxIter=4, maxDepth=3)
+    fitted = []
+    monkeypatch.setattr(type(trees), "_fit_java", lambda self, df, real=type(trees)._fit_java: fitted.append(df) or real(self, df))
+    model = models.fit_boosted(trees, frame)
+    assert fitted[0].count() <= 9 * 5 * 3 and fitted[0].agg(F.sum("_weight")).first()[0] == 1500
+    theirs = trees.fit(frame).transform(frame).withColumnRenamed("prediction", "theirs")
+    assert model.transform(theirs).where(F.abs(F.col("prediction") - F.col("theirs")) > 1e-6).isEmpty()
+    missing = frame.withColumn("y", F.when(F.col("y") < 5, F.col("y")))
+    with pytest.raises(Exception):
+        models.fit_boosted(trees, missing)
+
+
+def test_bins_are_bounded(spark):
+    frame = spark.createDataFrame([(Vectors.dense([n / 3.0, n % 4]),) for n in range(999)], ["scaled"])
+    bins = prep.BinIndexer("scaled", "b", 8).fit(frame).transform(frame).select(vector_to_array("b").alias("b"))
+    sizes = [r["count"] for r in bins.groupBy(F.col("b")[0]).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 140 and bins.select(F.col("b")[1]).distinct().count() == 4
