@@ -206,3 +206,11 @@ def test_outliers_and_missing_values(spark, rows):
 def test_top_group_breaks_ties(spark):
     frame = spark.createDataFrame([("b",), ("a",), ("b",), ("a",)], "k STRING")
     assert tuple(O.top_group(frame, "k", F.count("*"), "k", "n").first()) == ("a", 2)
+
+
+def test_hash_split_is_the_split_by_number(spark):
+    frame = spark.range(2000)
+    for share in (0.0, 0.25, 0.8, 1.0):
+        inside, outside = O.hash_split(frame, ["id"], share)
+        assert inside.where(X.unit_hash("id") >= share).isEmpty() and outside.where(X.unit_hash("id") < share).isEmpty()
+        assert inside.count() + outside.count() == 2000
