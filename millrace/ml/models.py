@@ -107,6 +107,20 @@ def logistic_regression(label: str, features: str = "features", **params: Any) -
     return LogisticRegression(labelCol=label, featuresCol=features, **settings)
 
 
+def summed_in_one(pieces: int) -> tuple[int, int]:
+    """How many partitions, at least `pieces`, and which `aggregationDepth` let executors add up a gradient to one result.
+
+    The library adds up in steps of the root of that number, and most numbers leave two to seven sums, each as long as
+    there are features, to the driver. 28, 112, 448, ... partitions are added up four by four to seven, and these to one.
+    """
+    if pieces <= 1:
+        return 1, 2
+    steps = 1
+    while 7 * 4**steps < pieces:
+        steps += 1
+    return 7 * 4**steps, steps + 2
+
+
 def forest_classifier(label: str, features: str = "features", **params: Any) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=label, featuresCol=features, **{"seed": SEED, **params})
 

@@ -14,6 +14,7 @@ from pyspark.ml.feature import (
     RegexTokenizer,
     StopWordsRemover,
     StringIndexer,
+    VarianceThresholdSelector,
     VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -149,6 +150,11 @@ def hash_terms(column: str = "filtered", out: str = "features", size: int = 1 <<
     return HashingTF(inputCol=column, outputCol=out, numFeatures=size)
 
 
+def drop_constant(column: str = "hashed", out: str = "features") -> VarianceThresholdSelector:
+    """Features with more than one value in the rows of the fit. A linear model gives the others no weight."""
+    return VarianceThresholdSelector(featuresCol=column, outputCol=out, varianceThreshold=0.0)
+
+
 def count_terms(
     column: str = "filtered", out: str = "features", size: int = 10_000, min_docs: float = 5.0
 ) -> CountVectorizer:

@@ -49,6 +49,7 @@ def tune(
     parallelism: int | None = None,
     fold_column: str | None = None,
     weighted: DataFrame | None = None,
+    pieces: int | None = None,
 ) -> tuple[Model, DataFrame]:
     """Best model, and `params, metric, best` for each combination.
 
@@ -62,6 +63,7 @@ def tune(
     By default four fits run side by side, but only one of trees on a table that fills all cores: each keeps its rows.
 
     `weighted` stands for `train` in the fits (see `models.gather`), with the same folds; measures are of the rows of `train`.
+    With `pieces`, the rows of each fit are dealt to so many partitions (see `models.summed_in_one`).
     """
     if weighted is not None and fold_column is None:
         raise ValueError("weighted rows need the folds of the rows they stand for")
@@ -74,6 +76,10 @@ def tune(
         number = F.when(drawn < ratio, 1).otherwise(0) if folds is None else F.least(F.floor(drawn * folds), F.lit(folds - 1))
         train = cut_lineage(train.withColumn(fold_column, number.cast("int")))
     fitted = train if weighted is None else weighted
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows if pieces is None else rows.repartition(pieces)
+
     number = F.col(fold_column)
     if folds is not None:
         known = (F.lit(0) <= number) & (number < F.lit(folds))
@@ -86,14 +92,14 @@ def tune(
                 raise ValueError(f"no rows to train or to validate fold {held}")
             # Wrapped one by one, so that each has a copy of the job properties to itself.
             tasks = [
-                inheritable_thread_target(train.sparkSession)(partial(_measured, estimator, rest, valid, alike, evaluator))
+                inheritable_thread_target(train.sparkSession)(partial(_measured, estimator, dealt(rest), valid, alike, evaluator))
                 for alike in _alike(estimator, param_grid, evaluator)
             ]
             by_place = dict(pair for pairs in pool.map(lambda task: task(), tasks) for pair in pairs)
             measured.append([by_place[place] for place in range(len(param_grid))])
     means = [float(mean) for mean in np.mean(measured, axis=0)]
     place = int((np.argmax if evaluator.isLargerBetter() else np.argmin)(means))
-    return estimator.fit(fitted, param_grid[place]), _report(train, param_grid, means, evaluator.isLargerBetter())
+    return estimator.fit(dealt(fitted), param_grid[place]), _report(train, param_grid, means, evaluator.isLargerBetter())
 
 
 def _by_rounds(estimator: Estimator, evaluator: Evaluator) -> bool:

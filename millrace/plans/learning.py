@@ -810,17 +810,25 @@ def r12(spark, sf_dir, grids=TEXT_GRIDS | {"forest": {"maxDepth": [2, 4, 5], "nu
     roc = BinaryClassificationEvaluator(labelCol="target")
     f1 = MulticlassClassificationEvaluator(labelCol="target", metricName="f1")
     kinds = {
-        # A gradient has a number per hashed term: partial sums are added up on executors in as many steps as needed.
-        "logistic": (prep.hash_terms(), models.logistic_regression("target", aggregationDepth=4), f1),
-        "forest": (prep.count_terms(), models.forest_classifier("target"), roc),
+        "logistic": ([prep.hash_terms(out="hashed"), prep.drop_constant()], models.logistic_regression("target"), f1),
+        "forest": ([prep.count_terms()], models.forest_classifier("target"), roc),
     }
     reports = {}
-    for name, (features, estimator, evaluator) in kinds.items():
-        fitted = prep.build_pipeline([features]).fit(train)
-        parts = [cut_lineage(fitted.transform(part).select("id", "features", "target")) for part in (train, test)]
+    for name, (stages, estimator, evaluator) in kinds.items():
+        fitted = prep.build_pipeline(stages).fit(train)
+        if name == "logistic" and not fitted.stages[-1].selectedFeatures:
+            fitted = prep.build_pipeline([prep.hash_terms()]).fit(train)
+        # Without the names of some hundred thousand features, which no model needs.
+        features = F.col("features").alias("features", metadata={})
+        parts = [cut_lineage(fitted.transform(part).select("id", features, "target")) for part in (train, test)]
         folded = cut_lineage(with_folds(parts[0], "id", folds=folds[name]).select("features", "target", "fold"))
         grid = chosen_grid(estimator, grids[name])
-        best, _ = tuning.tune(estimator, folded, grid, evaluator, folds=folds[name], fold_column="fold")
+        pieces = None
+        if name == "logistic":
+            # A gradient has a number per hashed term: it is added up on executors, and one sum goes to the driver.
+            pieces, depth = models.summed_in_one(folded.rdd.getNumPartitions())
+            estimator.setAggregationDepth(depth)
+        best, _ = tuning.tune(estimator, folded, grid, evaluator, folds=folds[name], fold_column="fold", pieces=pieces)
         reports[name] = sound_classes(best, *parts, "target", "probability")
     return all_reports(reports)
 

@@ -257,3 +257,31 @@ def test_trees_of_gathered_rows_are_trees_of_all_rows(spark):
         assert errors[0] == pytest.approx(errors[1], rel=0.1)
     with pytest.raises(ValueError):
         tuning.tune(models.on_gathered(estimator), with_bins, choices, evaluator, weighted=weighted)
+
+
+def test_a_gradient_reaches_the_driver_once(spark):
+    frame = spark.range(0, 400, 1, 8).select(
+        (F.col("id") % 2).cast("double").alias("target"),
+        F.split(F.concat_ws(" ", F.col("id") % 7, F.col("id") % 3, F.lit("same")), " ").alias("filtered"),
+    )
+    stages = [prep.hash_terms(out="hashed"), prep.drop_constant()]
+    rows = prep.build_pipeline(stages).fit(frame).transform(frame)
+    # Seven words and three of the same names: what all texts have, or none has, is no feature.
+    assert vector_size(rows, "features") == 7 and vector_size(rows, "hashed") == 1 << 18
+    pieces, depth = models.summed_in_one(16)
+    assert pieces >= 16 and models.summed_in_one(1)[0] == 1 and models.summed_in_one(113)[0] == 448
+    spark.sparkContext.setJobGroup("one sum", "")
+    models.logistic_regression("target", aggregationDepth=depth).fit(rows.repartition(pieces))
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("one sum")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    ends = [tracker.getStageInfo(max(job.stageIds)).numTasks for job in jobs]
+    # The eights read the rows and deal them.
+    assert ends.count(1) > 5 and set(ends) <= {1, 8}
+    whole = models.logistic_regression("target", "hashed").fit(rows)
+    model = models.logistic_regression("target").fit(rows)
+    assert sorted(round(c, 9) for c in model.coefficients if c) == sorted(round(c, 9) for c in whole.coefficients if c)
+
+
+def vector_size(df, column):
+    return len(df.select(vector_to_array(column).alias("v")).first()["v"])
