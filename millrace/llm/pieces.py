@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -33,6 +34,7 @@ _WORDS_KEPT = 250_000
 _PAIRS_KEPT = 400_000
 _GROUP_BYTES = 1 << 20
 _LONGEST_KEPT = 40
+_WORDS_AT_ONCE = 16_384
 _INFINITY = float("inf")
 
 
@@ -279,22 +281,28 @@ class Transducer:
         return ids
 
     def solve_all(self, words: list[str]) -> None:
-        """Solve many short words at once: the finite paths of all, advanced place by place.
+        """Solve many short words, some thousands of similar length at a time."""
+        words = sorted(words, key=len)
+        for at in range(0, len(words), _WORDS_AT_ONCE):
+            self._solve_together(words[at : at + _WORDS_AT_ONCE])
+
+    def _solve_together(self, words: list[str]) -> None:
+        """The finite paths of words ordered by length, advanced place by place.
 
         Words with characters that no piece reads, and long ones, are left to `solve`.
         """
-        n = len(words)
+        n, width = len(words), len(words[-1])
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=n)
-        chars = np.array(words, dtype=f"U{_LONGEST_KEPT}").view(np.uint32).reshape(n, _LONGEST_KEPT).astype(np.uint64)
-        last = np.full((n, _LONGEST_KEPT + 1), -1, dtype=np.int64)
+        chars = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(n, width)
+        last = np.full((n, width + 1), -1, dtype=np.int32)
         step, shift = np.uint64(_STEP), np.uint64(29)
-        for start in range(int(sizes.max(initial=0))):
+        for start in range(width):
             rows = np.flatnonzero((sizes > start) & ((last[:, start] >= 0) | (start == 0)))
             names = np.zeros(len(rows), dtype=np.uint64)
-            for end in range(start + 1, _LONGEST_KEPT + 1):
+            for end in range(start + 1, width + 1):
                 inside = sizes[rows] >= end
                 rows, names = rows[inside], names[inside]
-                names = (names + chars[rows, end - 1] + np.uint64(1)) * step
+                names = (names + chars[rows, end - 1].astype(np.uint64) + np.uint64(1)) * step
                 names ^= names >> shift
                 at = np.minimum(np.searchsorted(self.known_names, names), len(self.known_names) - 1)
                 known = self.known_names[at] == names
@@ -304,7 +312,8 @@ class Transducer:
                 whole = np.flatnonzero(piece >= 0)
                 if not len(whole):
                     continue
-                codes, which = np.unique(((last[rows[whole], start] + 1) << 32) | piece[whole], return_inverse=True)
+                before = last[rows[whole], start].astype(np.int64)
+                codes, which = np.unique(((before + 1) << 32) | piece[whole], return_inverse=True)
                 fits = np.array([self._fits(c) for c in codes.tolist()], dtype=bool)[which]
                 last[rows[whole[fits]], end] = piece[whole[fits]]
         lengths = np.array([len(t) for t in self.texts])
@@ -319,7 +328,7 @@ class Transducer:
             many[live] += 1
             live = live[place[live] > 0]
         ends = np.cumsum(many)
-        flat = np.empty(int(ends[-1]) if n else 0, dtype=np.int32)
+        flat = np.empty(int(ends[-1]), dtype=np.int32)
         for rows, back, piece in found:
             flat[ends[rows] - 1 - back] = piece
         raw, solved = flat.tobytes(), self.solved
@@ -413,6 +422,17 @@ def groups(values: pa.Array, sizes: pa.Array, limit: int):
         row = stop
 
 
+def in_groups(batches: Iterator[pa.Array], sizes: Callable, limit: int, work: Callable) -> Iterator[pa.Array]:
+    """`work` on groups of bounded size; each result is sent on before the next group is worked on.
+
+    Arrow keeps what a batch has taken and given back; it goes before the next batch.
+    """
+    for values in batches:
+        for part in groups(values, sizes(values), limit):
+            yield work(part)
+        pa.default_memory_pool().release_unused()
+
+
 @lru_cache(maxsize=2)
 def compiled(model: bytes) -> Transducer:
     return Transducer(model)
@@ -433,8 +453,8 @@ def encode(spark: SparkSession, text: Column, model_path: str = MODEL_PATH) -> C
     shared = spark.sparkContext.broadcast(read_model(model_path))
 
     @F.arrow_udf("array<int>")
-    def run(values: pa.Array) -> pa.Array:
-        return compiled(shared.value).encode_array(values)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return in_groups(batches, pc.binary_length, _GROUP_BYTES, compiled(shared.value).encode_array)
 
     return run(text.cast("string"))
 
@@ -444,8 +464,8 @@ def decode(spark: SparkSession, ids: Column, model_path: str = MODEL_PATH) -> Co
     shared = spark.sparkContext.broadcast(read_model(model_path))
 
     @F.arrow_udf("string")
-    def run(values: pa.Array) -> pa.Array:
-        return compiled(shared.value).decode_array(values)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return in_groups(batches, pc.list_value_length, _GROUP_BYTES // 4, compiled(shared.value).decode_array)
 
     return run(ids)
 
@@ -458,9 +478,13 @@ def round_trip(spark: SparkSession, text: Column, model_path: str = MODEL_PATH)
     shared = spark.sparkContext.broadcast(read_model(model_path))
 
     @F.arrow_udf("struct<ids: array<int>, decoded: string>")
-    def run(values: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         transducer = compiled(shared.value)
-        ids = transducer.encode_array(values)
-        return pa.StructArray.from_arrays([ids, transducer.decode_array(ids)], ["ids", "decoded"])
+
+        def both(part: pa.Array) -> pa.Array:
+            ids = transducer.encode_array(part)
+            return pa.StructArray.from_arrays([ids, transducer.decode_array(ids)], ["ids", "decoded"])
+
+        return in_groups(batches, pc.binary_length, _GROUP_BYTES, both)
 
     return run(text.cast("string"))

@@ -1,8 +1,14 @@
 """The second pass of the near-duplicate groups: few links, whole results, bounded tables of the pieces."""
 
+import os
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import pieces, similar
 
@@ -110,3 +116,42 @@ def test_tables_of_solved_words_stay_small(monkeypatch):
     for text in texts:
         assert transducer.encode_all([text]) == [whole.encode(text)]
         assert len(transducer.solved) <= 50 and len(transducer.codes) <= 40 and len(transducer.pairs) <= 10
+
+
+@pytest.mark.skipif(not os.path.exists(pieces.MODEL_PATH), reason="no tokenizer files")
+def test_pieces_solve_many_new_words_in_bounded_memory():
+    rng = random.Random(8)
+    words = list({pieces.SPACE + "".join(rng.choices("abcdefghilmnoprstu", k=rng.randint(3, 9))) for _ in range(60_000)})
+    words += [pieces.SPACE + "the" * 13, pieces.SPACE + "漢字"]
+    transducer = pieces.Transducer(pieces.read_model())
+    transducer._fits = lambda code: True  # its tables are bounded by themselves
+    tracemalloc.start()
+    transducer.solve_all(words)
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak - kept < 20e6
+
+    sample = rng.sample(words, 300) + words[-2:]
+    transducer = pieces.Transducer(pieces.read_model())
+    transducer.solve_all(sample)
+    alone = pieces.Transducer(pieces.read_model())
+    assert [transducer.solved.get(w) or transducer.solve(w) for w in sample] == [alone.solve(w) for w in sample]
+
+
+@pytest.mark.skipif(not os.path.exists(pieces.MODEL_PATH), reason="no tokenizer files")
+def test_pieces_of_a_batch_are_sent_on_in_groups(spark, monkeypatch):
+    texts = [None, "", *(f"text {i} " * 40 for i in range(50)), "x" * 3000, None]
+    seen = []
+    done = pieces.in_groups(iter([pa.array(texts), pa.array([], pa.string())]), pc.binary_length, 1000, lambda p: seen.append(p) or p)
+    first = next(done)
+    assert len(seen) == 1 and first.equals(seen[0])
+    parts = [first, *done]
+    assert pa.concat_arrays(parts).to_pylist() == texts
+    assert all(len(p) == 1 or sum(len(t or "") for t in p.to_pylist()) <= 1000 for p in parts)
+
+    monkeypatch.setattr(pieces, "_GROUP_BYTES", 1000)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    both = df.select("i", "text", pieces.round_trip(spark, F.col("text")).alias("b"), pieces.encode(spark, F.col("text")).alias("e"))
+    rows = both.withColumn("d", pieces.decode(spark, F.col("e"))).orderBy("i").collect()
+    assert [r["b"]["ids"] for r in rows] == [r["e"] for r in rows]
+    assert [r["d"] for r in rows] == [r["b"]["decoded"] for r in rows] == texts
