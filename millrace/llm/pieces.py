@@ -29,9 +29,10 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-# Together some 60 MB a worker when full; then the older half goes. Half as many take twice the time.
+# Words some 40 MB a worker when full; then the older half goes. Half as many take twice the time.
 _WORDS_KEPT = 250_000
-_PAIRS_KEPT = 400_000
+# Pairs of ids take 9 bytes each, touched as they come; of pairs of strings a sixteenth is kept, some 10 MB.
+_PAIRS_KEPT = 1 << 20
 _GROUP_BYTES = 1 << 20
 _LONGEST_KEPT = 40
 _WORDS_AT_ONCE = 16_384
@@ -132,7 +133,10 @@ class Transducer:
         at = sorted((_name(t), self.ids.get(t, -1)) for t in self.beginnings)
         self.known_names = np.array([n for n, _ in at], dtype=np.uint64)
         self.known_ids = np.array([i for _, i in at], dtype=np.int64)
-        self.codes: dict[int, bool] = {}
+        #: Pairs of ids asked for in bulk, 1 added: each has one place, where the last that falls there stays.
+        self.code_bits = _PAIRS_KEPT.bit_length() - 1
+        self.codes = np.zeros(1 << self.code_bits, dtype=np.int64)
+        self.code_fits = np.zeros(1 << self.code_bits, dtype=bool)
         self.output = [t.replace(SPACE, " ").encode() for t in self.texts]
         for i, kind in enumerate(kinds):
             if kind == _BYTE:
@@ -157,11 +161,18 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             steps.append((best, parts[0], parts[-1]))
 
+    def shared(self, piece: str) -> str:
+        """The model's own copy of a piece, so that tables hold no further ones."""
+        at = self.ids.get(piece)
+        return piece if at is None else self.texts[at]
+
     def history(self, piece: str) -> list[tuple[float, str, str]] | None:
         """The merges that build a piece, ended by a step that never comes; None if they do not build it."""
         if piece not in self.built:
             parts, steps = self.merges(piece)
-            self.built[piece] = [*steps, (-_INFINITY, piece, piece)] if len(parts) == 1 else None
+            whole = self.shared(piece)
+            steps = [(score, self.shared(first), self.shared(last)) for score, first, last in steps]
+            self.built[whole] = [*steps, (-_INFINITY, whole, whole)] if len(parts) == 1 else None
         return self.built[piece]
 
     def allowed(self, left: str, right: str) -> bool:
@@ -169,8 +180,8 @@ class Transducer:
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            _keep(self.pairs, _PAIRS_KEPT // 4)
-            known = self.pairs[key] = self.accepted(left, right)
+            _keep(self.pairs, _PAIRS_KEPT // 16)
+            known = self.pairs[self.shared(left), self.shared(right)] = self.accepted(left, right)
         return known
 
     def accepted(self, left: str, right: str) -> bool:
@@ -314,7 +325,7 @@ class Transducer:
                     continue
                 before = last[rows[whole], start].astype(np.int64)
                 codes, which = np.unique(((before + 1) << 32) | piece[whole], return_inverse=True)
-                fits = np.array([self._fits(c) for c in codes.tolist()], dtype=bool)[which]
+                fits = self._fit(codes)[which]
                 last[rows[whole[fits]], end] = piece[whole[fits]]
         lengths = np.array([len(t) for t in self.texts])
         place, many = sizes.copy(), np.zeros(n, dtype=np.int64)
@@ -337,24 +348,41 @@ class Transducer:
         for row in done.tolist():
             solved[words[row]] = raw[stop[row - 1] if row else 0 : stop[row]]
 
-    def _fits(self, code: int) -> bool:
-        known = self.codes.get(code)
-        if known is None:
-            left, right = (code >> 32) - 1, self.texts[code & 0xFFFFFFFF]
-            known = self.history(right) is not None if left < 0 else self.accepted(self.texts[left], right)
-            _keep(self.codes, _PAIRS_KEPT)
-            self.codes[code] = known
-        return known
+    def _fit(self, codes: np.ndarray) -> np.ndarray:
+        """Whether the right piece of each pair (the left id plus 1, 0 for none, in the upper bits) may follow the left."""
+        place = (codes.astype(np.uint64) * np.uint64(_STEP) >> np.uint64(64 - self.code_bits)).astype(np.int64)
+        fits = self.code_fits[place]
+        new = np.flatnonzero(self.codes[place] != codes + 1)
+        texts = self.texts
+        for row, code in zip(new.tolist(), codes[new].tolist()):
+            left, right = (code >> 32) - 1, texts[code & 0xFFFFFFFF]
+            fits[row] = self.history(right) is not None if left < 0 else self.accepted(texts[left], right)
+        # Of new pairs with one place the last is kept: the same one for both arrays.
+        kept = new[len(new) - 1 - np.unique(place[new][::-1], return_index=True)[1]]
+        self.codes[place[kept]], self.code_fits[place[kept]] = codes[kept] + 1, fits[kept]
+        return fits
+
+    def forget(self) -> None:
+        """Give up the solved words and pairs of strings. Workers outlive a task and hold what it leaves in
+        the stages after it, too; words come back within a megabyte or two of text."""
+        self.solved.clear()
+        self.pairs.clear()
 
     def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
         """`encode` for many texts; words not met before are solved together."""
         words = [None if t is None else self.split.findall(self.normalised(t)) for t in texts]
         solved = self.solved
         if self.kind == _BPE:
-            new = {w for found in words if found for w in found if w not in solved and len(w) <= _LONGEST_KEPT}
+            new = {w for w in set().union(*filter(None, words)) if w not in solved and len(w) <= _LONGEST_KEPT}
             # Characters 0 at the end of a word are lost in a fixed-width array.
             self.solve_all([w for w in new if "\0" not in w])
-        return [None if found is None else b"".join([solved.get(w) or self.solve(w) for w in found]) for found in words]
+        return [None if found is None else self.joined(found) for found in words]
+
+    def joined(self, words: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.solved.get, words))
+        except TypeError:  # some are not solved, or not kept
+            return b"".join([self.solved.get(w) or self.solve(w) for w in words])
 
     def encode_array(self, texts: pa.Array) -> pa.Array:
         """Ids of an Arrow array of texts, worked on in groups of bounded size."""
@@ -391,9 +419,7 @@ class Transducer:
         return (" " * self.prefix + text).replace(" ", SPACE)
 
     def encode(self, text: str) -> bytes:
-        solved = self.solved
-        words = self.split.findall(self.normalised(text))
-        return b"".join([solved.get(w) or self.solve(w) for w in words])
+        return self.joined(self.split.findall(self.normalised(text)))
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; ids the model lacks are skipped, bytes that are no UTF-8 become U+FFFD."""
@@ -433,6 +459,12 @@ def in_groups(batches: Iterator[pa.Array], sizes: Callable, limit: int, work: Ca
         pa.default_memory_pool().release_unused()
 
 
+def in_task(transducer: Transducer, batches: Iterator[pa.Array], sizes: Callable, limit: int, work: Callable) -> Iterator[pa.Array]:
+    """`in_groups` over the batches of a task; the tables that grew with them go at its end."""
+    yield from in_groups(batches, sizes, limit, work)
+    transducer.forget()
+
+
 @lru_cache(maxsize=2)
 def compiled(model: bytes) -> Transducer:
     return Transducer(model)
@@ -454,7 +486,8 @@ def encode(spark: SparkSession, text: Column, model_path: str = MODEL_PATH) -> C
 
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return in_groups(batches, pc.binary_length, _GROUP_BYTES, compiled(shared.value).encode_array)
+        transducer = compiled(shared.value)
+        return in_task(transducer, batches, pc.binary_length, _GROUP_BYTES, transducer.encode_array)
 
     return run(text.cast("string"))
 
@@ -485,6 +518,6 @@ def round_trip(spark: SparkSession, text: Column, model_path: str = MODEL_PATH)
             ids = transducer.encode_array(part)
             return pa.StructArray.from_arrays([ids, transducer.decode_array(ids)], ["ids", "decoded"])
 
-        return in_groups(batches, pc.binary_length, _GROUP_BYTES, both)
+        return in_task(transducer, batches, pc.binary_length, _GROUP_BYTES, both)
 
     return run(text.cast("string"))
