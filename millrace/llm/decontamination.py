@@ -23,9 +23,11 @@ BROADCAST_ROWS = 200_000
 
 # Placeholders (private-use characters, which no token keeps), patterns, units.
 NUMBER, NAME, UNIT = "", "", ""
-NUMBERS = r"[0-9]+(?:[.,:/][0-9]+)*"
+# Repeated groups are possessive (`*+`): each step of a plain `*` takes stack in the JVM, and a long enough run of
+# names or numbers ended the executor. Nothing follows them, so they match the same.
+NUMBERS = r"[0-9]+(?:[.,:/][0-9]+)*+"
 # A name follows a space after anything but the end of a sentence; neighbouring names are one.
-NAMES = r"\s(?<![.!?:\s]\s)\s{0,2}(\p{Lu}[\p{L}\p{N}'’-]*(?:\s{1,3}\p{Lu}[\p{L}\p{N}'’-]*)*)"
+NAMES = r"\s(?<![.!?:\s]\s)\s{0,2}(\p{Lu}[\p{L}\p{N}'’-]*(?:\s{1,3}\p{Lu}[\p{L}\p{N}'’-]*)*+)"
 BREAKS = r"[\s\p{P}\p{S}]+"
 UNITS = (
     "mm cm m km in inch inches ft feet yd yards mi miles mg g kg lb lbs oz grams kilograms pounds ml l liters litres "

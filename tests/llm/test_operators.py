@@ -418,3 +418,18 @@ def test_templates_keep_equal_windows_and_odd_punctuation(spark):
     bench = spark.createDataFrame([(1, item), (2, quoted)], "item_id long, text string")
     found = {(r["_id"], r["item_id"]) for r in decontamination.contaminated(frame(spark, rows), bench).collect()}
     assert found == {(1, 1), (2, 2)}
+
+
+def test_templates_of_long_runs_of_names_and_numbers(spark):
+    """A run of any length is one placeholder, and takes no stack for each of its words (the JVM ended at some 1,200)."""
+    item = "If the farmer meets Anna Smith at the market and buys 12 kg of apples, then Anna Smith pays 30 dollars for the 12 boxes."
+    names, numbers = (" ".join(["Wörd"] * 30_000), ":".join(["12"] * 30_000))
+    rows = [(1, f"we saw {names} and {item}"), (2, f"we count {numbers} and {item}"), (3, f"we saw {names} and {numbers} there")]
+    df = frame(spark, rows)
+    parts = [decontamination.tokens(F.col("text")), *decontamination.slot_values(F.col("text"))]
+    whole, named, numbered = (len(part) for part in frame(spark, [(1, item)]).select(*parts).first())
+    sizes = df.select("doc_id", *[F.size(part) for part in parts]).collect()
+    # Inside a sentence "If" is one more name.
+    assert sorted(map(tuple, sizes)) == [(1, whole + 4, named + 2, numbered), (2, whole + 4, named + 1, numbered + 1), (3, 6, 1, 1)]
+    found = decontamination.contaminated(df, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert {(r["_id"], r["item_id"]) for r in found.collect()} == {(1, 7), (2, 7)}
