@@ -99,7 +99,9 @@ def on_gathered(estimator: Any) -> Any:
 
 
 def forest_regressor(label: str, features: str = "scaled", **params: Any) -> RandomForestRegressor:
-    return RandomForestRegressor(labelCol=label, featuresCol=features, **{"seed": SEED, **params})
+    """Rows keep the nodes they are in: else each pass walks all trees from the root and sends them to each task."""
+    settings = {"seed": SEED, "cacheNodeIds": True, **params}
+    return RandomForestRegressor(labelCol=label, featuresCol=features, **settings)
 
 
 def logistic_regression(label: str, features: str = "features", **params: Any) -> LogisticRegression:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
+from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -84,20 +85,23 @@ def tune(
     if folds is not None:
         known = (F.lit(0) <= number) & (number < F.lit(folds))
         number = F.when(known, number).otherwise(F.raise_error(F.lit(f"fold number must be in range [0, {folds})")))
-    measured = []
+    tasks = []
+    for held in range(folds or 1):
+        rest, valid = fitted.where(number != held), train.where(number == held)
+        if folds is not None and (rest.isEmpty() or valid.isEmpty()):
+            raise ValueError(f"no rows to train or to validate fold {held}")
+        # Wrapped one by one, so that each has a copy of the job properties to itself.
+        tasks += [
+            inheritable_thread_target(train.sparkSession)(partial(_measured, estimator, dealt(rest), valid, alike, evaluator))
+            for alike in _alike(estimator, param_grid, evaluator)
+        ]
+    # The fits of all folds share the threads: none waits for the slowest of a fold.
     with ThreadPoolExecutor(parallelism) as pool:
-        for held in range(folds or 1):
-            rest, valid = fitted.where(number != held), train.where(number == held)
-            if folds is not None and (rest.isEmpty() or valid.isEmpty()):
-                raise ValueError(f"no rows to train or to validate fold {held}")
-            # Wrapped one by one, so that each has a copy of the job properties to itself.
-            tasks = [
-                inheritable_thread_target(train.sparkSession)(partial(_measured, estimator, dealt(rest), valid, alike, evaluator))
-                for alike in _alike(estimator, param_grid, evaluator)
-            ]
-            by_place = dict(pair for pairs in pool.map(lambda task: task(), tasks) for pair in pairs)
-            measured.append([by_place[place] for place in range(len(param_grid))])
-    means = [float(mean) for mean in np.mean(measured, axis=0)]
+        by_place: dict[int, list[float]] = {}
+        for place, metric in chain.from_iterable(pool.map(lambda task: task(), tasks)):
+            by_place.setdefault(place, []).append(metric)
+    measured = [by_place[place] for place in range(len(param_grid))]
+    means = [float(mean) for mean in np.mean(measured, axis=1)]
     place = int((np.argmax if evaluator.isLargerBetter() else np.argmin)(means))
     return estimator.fit(dealt(fitted), param_grid[place]), _report(train, param_grid, means, evaluator.isLargerBetter())
 

@@ -670,7 +670,7 @@ def with_folds(train, *ids, folds=FOLDS):
 
 
 TRIP_SPLIT_SQL = "substr(md5(id || '|42'), 1, 8) <= 'cccccccc'"
-# The grids of the trip models. Here and below, queries go through a part of the forests' grids (see README).
+# The grids of the trip models. Here and below, `r11` goes through a part of the forest's grid (see README).
 TRIP_GRIDS = {
     "generalized": {"maxIter": [15, 20, 25], "regParam": [0.6, 0.9]},
     "boosted": {"maxIter": [15, 20, 25]},
@@ -689,7 +689,7 @@ def chosen_grid(estimator, values):
         ["linear", *TRIP_GRIDS], f"SELECT count(*) AS n, true AS finite, true AS fits FROM clean WHERE NOT {TRIP_SPLIT_SQL}"
     ),
 )
-def r10_models(spark, sf_dir, grids=TRIP_GRIDS | {"forest": {"maxDepth": [5, 10], "numTrees": [50]}}):
+def r10_models(spark, sf_dir, grids=TRIP_GRIDS):
     label = "trip_duration"
     train, test = prepared_trips(spark, sf_dir)
     folded = cut_lineage(with_folds(train, "id"))

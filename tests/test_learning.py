@@ -2,6 +2,7 @@ import math
 import random
 import threading
 import time
+from itertools import product
 
 import pytest
 from pyspark.ml import Estimator, PipelineModel
@@ -17,6 +18,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.ml import metrics, models, prep, tuning
+from millrace.plans import learning
 from millrace.plans.learning import STOP_WORDS
 from millrace.session import cut_lineage
 
@@ -285,3 +287,76 @@ def test_a_gradient_reaches_the_driver_once(spark):
 
 def vector_size(df, column):
     return len(df.select(vector_to_array(column).alias("v")).first()["v"])
+
+
+def watched_tuning(monkeypatch):
+    """Combinations and folds that a job tunes, by estimator; of each it fits the first only."""
+    asked = {}
+
+    def watched(estimator, train, param_grid, evaluator, folds=3, **options):
+        asked[type(estimator).__name__] = (folds, [{p.name: v for p, v in chosen.items()} for chosen in param_grid])
+        small = dict(param_grid[0]) | {p: 2 for p in param_grid[0] if p.name in ("maxIter", "maxDepth", "numTrees")}
+        return estimator.fit(train, small), None
+
+    monkeypatch.setattr(tuning, "tune", watched)
+    return asked
+
+
+def written_lines(spark, folder, n=400):
+    """Order lines made here, as the table `lineitem` of a folder."""
+    key = F.col("id")
+    spark.range(n).select(
+        (key * 31 + 1).alias("l_orderkey"), (key * 17 % 900).alias("l_partkey"), (key * 7 % 100).alias("l_suppkey"),
+        (key % 6 + 2).cast("int").alias("l_linenumber"), (key % 50 + 1.0).alias("l_quantity"), (key * 13 % 900 + 100.0).alias("l_extendedprice"),
+        (key % 11 / 100).alias("l_discount"), (key % 9 / 100).alias("l_tax"), F.when(key % 3 == 0, "O").otherwise("F").alias("l_linestatus"),
+        F.lit("2024-03-01 00:00:00").cast("timestamp_ntz").alias("l_shipdate"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def every(**values):
+    return [dict(zip(values, chosen)) for chosen in product(*values.values())]
+
+
+def in_order(choices):
+    return sorted(choices, key=lambda chosen: sorted(chosen.items()))
+
+
+def test_trip_models_go_through_their_whole_grids(spark, tmp_path, monkeypatch):
+    asked = watched_tuning(monkeypatch)
+    done = learning.r10_models(spark, written_lines(spark, tmp_path))
+    assert {r["model"] for r in done.collect()} == {"linear", "generalized", "boosted", "forest"}
+    folds, forests = asked["RandomForestRegressor"]
+    assert folds == 3 and in_order(forests) == in_order(every(maxDepth=[5, 10, 15], numTrees=[50, 80]))
+    assert in_order(asked["GBTRegressor"][1]) == every(maxIter=[15, 20, 25])
+    assert in_order(asked["GeneralizedLinearRegression"][1]) == in_order(every(maxIter=[15, 20, 25], regParam=[0.6, 0.9]))
+
+
+def test_fits_of_all_folds_run_side_by_side(spark):
+    running, most, lock = [0], [0], threading.Lock()
+
+    class Slow(Marking):
+        def _fit(self, dataset):
+            with lock:
+                running[0] += 1
+                most[0] = max(most[0], running[0])
+            time.sleep(1.5)
+            with lock:
+                running[0] -= 1
+            return self.inner.fit(dataset)
+
+    inner = models.linear_regression("y")
+    evaluator = RegressionEvaluator(labelCol="y")
+    frame = folded_line(spark)
+    _, report = tuning.tune(Slow(inner), frame, [{}], evaluator, folds=3, fold_column="fold")
+    own = [evaluator.evaluate(inner.fit(frame.where(f"fold <> {k}")).transform(frame.where(f"fold = {k}"))) for k in range(3)]
+    assert most[0] == 3 and report.first()["metric"] == pytest.approx(sum(own) / 3)
+
+
+def test_forests_that_keep_nodes_are_the_same(spark):
+    draw = random.Random(8)
+    rows = [(Vectors.dense([draw.random(), draw.random(), float(draw.randrange(5))]), draw.random() * 9) for _ in range(600)]
+    frame = spark.createDataFrame(rows, ["scaled", "y"]).repartition(3).cache()
+    kept, walked = (models.forest_regressor("y", numTrees=6, maxDepth=12, **more).fit(frame) for more in ({}, {"cacheNodeIds": False}))
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:] and kept.totalNumNodes > 1000
+    frame.unpersist()
