@@ -332,6 +332,19 @@ def test_trip_models_go_through_their_whole_grids(spark, tmp_path, monkeypatch):
     assert in_order(asked["GeneralizedLinearRegression"][1]) == in_order(every(maxIter=[15, 20, 25], regParam=[0.6, 0.9]))
 
 
+def test_text_models_go_through_their_whole_grids(spark, tmp_path, monkeypatch):
+    asked = watched_tuning(monkeypatch)
+    number = F.col("id")
+    text = F.concat_ws(" ", F.lit("some good text with"), F.element_at(F.array(*map(F.lit, ["apples", "pears", "plums"])), (number % 3 + 1).cast("int")))
+    spark.range(200).select(number.alias("doc_id"), text.alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(200).select(number.alias("doc_id"), (number % 2).cast("int").alias("quality")).write.parquet(f"{tmp_path}/labels.parquet")
+    assert {r["model"] for r in learning.r12(spark, str(tmp_path)).collect()} == {"logistic", "forest"}
+    folds, forests = asked["RandomForestClassifier"]
+    assert folds == 5 and in_order(forests) == in_order(every(maxDepth=[2, 4, 5], numTrees=[20, 30, 40]))
+    folds, logistic = asked["LogisticRegression"]
+    assert folds == 3 and in_order(logistic) == in_order(every(maxIter=[30, 40, 50], threshold=[0.8, 0.85]))
+
+
 def test_fits_of_all_folds_run_side_by_side(spark):
     running, most, lock = [0], [0], threading.Lock()
 
