@@ -18,6 +18,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.ml import metrics, models, prep, tuning
+from millrace.operators import tables as O
 from millrace.plans import learning
 from millrace.plans.learning import STOP_WORDS
 from millrace.session import cut_lineage
@@ -373,3 +374,19 @@ def test_forests_that_keep_nodes_are_the_same(spark):
     kept, walked = (models.forest_regressor("y", numTrees=6, maxDepth=12, **more).fit(frame) for more in ({}, {"cacheNodeIds": False}))
     assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:] and kept.totalNumNodes > 1000
     frame.unpersist()
+
+
+def test_fires_are_parsed_and_split_once(spark, tmp_path, monkeypatch):
+    """The written rows are those of `hash_split` and `with_folds`, and the text is read by one pass."""
+    written = []
+    monkeypatch.setattr(learning, "cut_lineage", lambda df, real=cut_lineage: written.append(real(df)) or written[-1])
+    asked = watched_tuning(monkeypatch)
+    learning.r13_fires(spark, written_lines(spark, tmp_path))
+    typed, train, test = written
+    assert asked["RandomForestRegressor"][0] == 3 and {"_training", "fold"} <= set(typed.columns)
+    columns = [c for c in typed.columns if c not in ("_training", "fold")]
+    first, second = O.hash_split(typed, columns)
+    assert first.where("NOT _training").isEmpty() and second.where("_training").isEmpty()
+    assert (train.count(), test.count()) == (first.count(), second.count()) and test.count() > 0
+    assert typed.where(F.col("fold") != tuning.fold_of(*columns, folds=3, seed=7)).isEmpty()
+    assert not any("csv" in part for df in (train, test) for part in df.inputFiles())
